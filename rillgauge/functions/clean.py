@@ -24,6 +24,15 @@ def trimmed(c: str | Column) -> Column:
     return F.trim(col(c), F.lit(WHITE_SPACE))
 
 
+def once(*columns: Column) -> Column:
+    """Named columns as a one-row generator, for filters over costly expressions.
+
+    A filter on a projected expression is pushed below the projection and the
+    expression computed again in both places; a generated column is computed once.
+    """
+    return F.inline(F.array(F.struct(*columns)))
+
+
 def blank_to_null(c: str | Column) -> Column:
     """Trimmed text, NULL when nothing is left."""
     return F.nullif(trimmed(c), F.lit(""))

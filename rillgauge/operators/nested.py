@@ -8,57 +8,97 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillgauge.functions import clean
+from rillgauge.operators.sizing import broadcast_if_small
 from rillgauge.schemas import EARLY_LABEL
+from rillgauge.session import materialised
 
 PART_ROWS = 100_000
 
 
-def nest_measurements(
-    rows: DataFrame, keys: Sequence[str], part_rows: int = PART_ROWS
-) -> DataFrame:
-    """One record per key with its measurements in source order and its last unit.
+def long_groups(rows: DataFrame, keys: Sequence[str], part_rows: int) -> DataFrame:
+    """Blocks of the keys with more than ``part_rows`` rows, each with its part number.
 
-    Input columns: the keys (not NULL), ``date``, ``value``, ``unit``, ``pos`` (source
-    order) and ``block`` (a coarse run of consecutive positions, such as an input
-    split). A key with more than ``part_rows`` measurements becomes several records,
-    ``part`` 0, 1, ..., cut between blocks; their arrays joined in part order are
-    the whole list. So no task ever collects more than a part plus a block.
+    Rows are counted by key and block, with partial sums before the shuffle, so a
+    key of any size reaches the window as one short row per block.
     """
     of_key = Window.partitionBy(*keys)
     earlier = of_key.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    long_keys = (
+    return (
         rows.groupBy(*keys, "block")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("pos").alias("last_pos"),
-            F.max_by("unit", "pos").alias("block_unit"),
-        )
+        .agg(F.count(F.lit(1)).alias("n"))
         .select(
             *keys,
             "block",
             F.sum("n").over(of_key).alias("total"),
             F.floor(F.coalesce(F.sum("n").over(earlier), F.lit(0)) / part_rows).alias("part"),
-            F.max_by("block_unit", "last_pos").over(of_key).alias("key_unit"),
+            (F.max("block").over(of_key) == F.col("block")).alias("is_last"),
         )
         .filter(F.col("total") > part_rows)
         .drop("total")
     )
-    entry = F.struct("pos", F.col("date").alias("date"), F.col("value").alias("value"))
+
+
+def _last_units(rows: DataFrame, long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Unit of the last row of each long key, read from its last block only."""
+    ends = broadcast_if_small(long.filter("is_last").select(*keys, "block"))
     return (
-        rows.join(long_keys, [*keys, "block"], "left")
-        .groupBy(*keys, F.coalesce("part", F.lit(0).cast("bigint")).alias("part"))
+        rows.join(ends, [*keys, "block"], "left_semi")
+        .groupBy(*keys)
+        .agg(F.max_by("unit", "pos").alias("key_unit"))
+    )
+
+
+def nest_measurements(
+    rows: DataFrame,
+    keys: Sequence[str],
+    carried: Sequence[str] = (),
+    part_rows: int = PART_ROWS,
+) -> DataFrame:
+    """One record per key with its measurements in source order and its last unit.
+
+    Input columns: the keys (not NULL), columns ``carried`` along that are constant
+    within a key, ``date``, ``value``, ``unit``, ``pos`` (source order) and ``block``
+    (a coarse run of consecutive positions, such as an input split).
+
+    A key with more than ``part_rows`` measurements becomes several records, ``part``
+    0, 1, ..., cut between blocks; their arrays joined in part order are the whole
+    list. So no task ever collects more than a part plus a block. The few long keys
+    are found first, by a counting pass; usually there are none and the rows are
+    then shuffled exactly once.
+    """
+    long = materialised(long_groups(rows, keys, part_rows), "long_groups")
+    part = F.lit(0).cast("bigint")
+    any_long = not long.isEmpty()
+    if any_long:
+        cuts = broadcast_if_small(long.drop("is_last"))
+        rows = rows.join(cuts, [*keys, "block"], "left")
+        part = F.coalesce("part", part)
+    entry = F.struct("pos", "date", "value", "unit")
+    # The lists do not shrink by partial collection: shuffle first, collect once.
+    records = (
+        rows.withColumn("part", part)
+        .repartition(*keys, "part")
+        .groupBy(*keys, "part")
         .agg(
-            F.coalesce(F.max("key_unit"), F.max_by("unit", "pos")).alias("unit"),
-            F.array_sort(F.collect_list(entry)).alias("entries"),
+            *[F.max(c).alias(c) for c in carried],
+            F.sort_array(F.collect_list(entry)).alias("entries"),
         )
         .select(
             *keys,
+            *carried,
             "part",
-            "unit",
-            F.transform("entries", lambda e: F.struct(e["date"].alias("date"), e["value"].alias("value")))
-            .alias("measurements"),
+            F.element_at("entries", -1)["unit"].alias("unit"),
+            F.transform(
+                "entries", lambda e: F.struct(e["date"].alias("date"), e["value"].alias("value"))
+            ).alias("measurements"),
         )
     )
+    if any_long:
+        units = broadcast_if_small(_last_units(rows.drop("part"), long, keys))
+        records = records.join(units, [*keys], "left").withColumn(
+            "unit", F.coalesce("key_unit", "unit")
+        ).drop("key_unit")
+    return records
 
 
 def _year_text(date_text: Column) -> Column:
@@ -78,14 +118,16 @@ def split_by_year(sites: DataFrame) -> DataFrame:
     grows.
     """
     early = F.col("label") == EARLY_LABEL
-    years = F.array_distinct(
-        F.filter(
-            F.transform("measurements", lambda m: _year_text(m["date"])), lambda y: y.isNotNull()
-        )
+    dated = sites.withColumn(
+        "years",
+        F.when(early, F.transform("measurements", lambda m: _year_text(m["date"]))).otherwise(
+            F.array("label")
+        ),
     )
-    of_year = F.filter("measurements", lambda m: _year_text(m["date"]) == F.col("year"))
+    of_year = F.filter("measurements", lambda m, i: F.get("years", i) == F.col("year"))
     return (
-        sites.withColumn("year", F.explode(F.when(early, years).otherwise(F.array("label"))))
+        dated.withColumn("year", F.explode(F.array_distinct("years")))
+        .filter(F.col("year").isNotNull())
         .withColumn("measurements", F.when(early, of_year).otherwise(F.col("measurements")))
         .withColumn("unit", F.when(~early, F.col("unit")))
         .withColumn("safe_name", clean.safe_name("pollutant"))
@@ -113,6 +155,6 @@ def sorted_measurements(measurements: str = "measurements") -> Column:
         ),
     )
     return F.transform(
-        F.array_sort(keyed),
+        F.sort_array(keyed),
         lambda e: F.struct(e["date"].alias("date"), e["value"].alias("value")),
     )

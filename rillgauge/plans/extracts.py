@@ -14,11 +14,13 @@ from rillgauge.operators.sizing import broadcast_if_small
 def facility_lookup(raw_facilities: DataFrame) -> DataFrame:
     """Location of each facility: the last row with id, state and both coordinates."""
     fields = raw_facilities.select(
-        clean.blank_to_null("NPDES_ID").alias("npdes"),
-        clean.to_finite_text_number(clean.trimmed("GEOCODE_LATITUDE")).alias("lat"),
-        clean.to_finite_text_number(clean.trimmed("GEOCODE_LONGITUDE")).alias("lon"),
-        clean.blank_to_null("STATE_CODE").alias("state"),
-        "source_pos",
+        clean.once(
+            clean.blank_to_null("NPDES_ID").alias("npdes"),
+            clean.to_finite_text_number(clean.trimmed("GEOCODE_LATITUDE")).alias("lat"),
+            clean.to_finite_text_number(clean.trimmed("GEOCODE_LONGITUDE")).alias("lon"),
+            clean.blank_to_null("STATE_CODE").alias("state"),
+            F.col("source_pos"),
+        )
     )
     return (
         fields.dropna(subset=["npdes", "lat", "lon", "state"])
@@ -31,22 +33,25 @@ def facility_lookup(raw_facilities: DataFrame) -> DataFrame:
 def valid_measurements(raw_dmr: DataFrame) -> DataFrame:
     """Rows with a value, no no-data code and a well-formed period date."""
     fields = raw_dmr.select(
-        "label",
-        clean.blank_to_null("EXTERNAL_PERMIT_NMBR").alias("npdes"),
-        F.coalesce(clean.trimmed("PARAMETER_DESC"), F.lit("")).alias("pollutant"),
-        F.coalesce(clean.trimmed("DMR_UNIT_DESC"), F.lit("")).alias("unit"),
-        clean.trimmed("MONITORING_PERIOD_END_DATE").alias("date"),
-        clean.blank_to_null("DMR_VALUE_NMBR").alias("value"),
-        clean.blank_to_null("NODI_CODE").alias("nodi"),
-        F.col("source_pos").alias("pos"),
-        F.struct("source_pos.file", "source_pos.block").alias("block"),
+        clean.once(
+            F.col("label"),
+            clean.trimmed("EXTERNAL_PERMIT_NMBR").alias("npdes"),
+            F.coalesce(clean.trimmed("PARAMETER_DESC"), F.lit("")).alias("pollutant"),
+            F.coalesce(clean.trimmed("DMR_UNIT_DESC"), F.lit("")).alias("unit"),
+            clean.trimmed("MONITORING_PERIOD_END_DATE").alias("date"),
+            clean.trimmed("DMR_VALUE_NMBR").alias("value"),
+            clean.trimmed("NODI_CODE").alias("nodi"),
+            F.col("source_pos").alias("pos"),
+        )
     )
     return fields.filter(
-        F.col("npdes").isNotNull()
-        & F.col("nodi").isNull()
-        & F.col("value").isNotNull()
+        (F.coalesce("nodi", F.lit("")) == "")
+        & (F.col("value") != "")
         & clean.to_period_date("date").isNotNull()
-    ).drop("nodi")
+    ).select(
+        "label", "npdes", "pollutant", "unit", "date", "value", "pos",
+        F.struct("pos.file", "pos.block").alias("block"),
+    )
 
 
 def site_measurements(
@@ -59,8 +64,8 @@ def site_measurements(
     """
     lookup = broadcast_if_small(facility_lookup(raw_facilities))
     rows = valid_measurements(raw_dmr).join(lookup, "npdes")
-    keys = ["label", "state", "npdes", "pollutant", "lat", "lon"]
-    return nested.nest_measurements(rows, keys, part_rows).select(
+    keys = ["label", "state", "npdes", "pollutant"]
+    return nested.nest_measurements(rows, keys, ["lat", "lon"], part_rows).select(
         *[f.name for f in S.SITE_RECORD.fields]
     )
 
@@ -74,7 +79,7 @@ def name_collisions(pollutants: DataFrame) -> DataFrame:
     """Safe names that stand for more than one pollutant within a year."""
     names = pollutants.select("year", "safe_name", "pollutant").distinct()
     return names.groupBy("year", "safe_name").agg(
-        F.array_sort(F.collect_set("pollutant")).alias("pollutants")
+        F.sort_array(F.collect_set("pollutant")).alias("pollutants")
     ).filter(F.size("pollutants") > 1)
 
 
