@@ -9,6 +9,7 @@ from rillgauge import schemas as S
 from rillgauge.functions import clean, geo
 from rillgauge.operators import nested, proximity
 from rillgauge.operators.sizing import broadcast_if_small
+from rillgauge.session import materialised
 
 
 def facility_lookup(raw_facilities: DataFrame) -> DataFrame:
@@ -59,11 +60,13 @@ def site_measurements(
 ) -> DataFrame:
     """Nested records by label, state, site and pollutant.
 
-    The facility lookup, one short row per site, is broadcast when it measures
-    small enough; the measurements are then shuffled once, by record.
+    The raw files are parsed once: the valid rows, six short columns of the source's
+    57, are written to the shared folder, counted by key from there and shuffled
+    once into records. The facility lookup, one short row per site, is broadcast
+    when it measures small enough.
     """
-    lookup = broadcast_if_small(facility_lookup(raw_facilities))
-    rows = valid_measurements(raw_dmr).join(lookup, "npdes")
+    lookup = broadcast_if_small(materialised(facility_lookup(raw_facilities), "places"))
+    rows = materialised(valid_measurements(raw_dmr).join(lookup, "npdes"), "rows")
     keys = ["label", "state", "npdes", "pollutant"]
     return nested.nest_measurements(rows, keys, ["lat", "lon"], part_rows).select(
         *[f.name for f in S.SITE_RECORD.fields]

@@ -54,17 +54,20 @@ def write_pollutant_json(pollutants: DataFrame, path: str) -> None:
     write_nested_json(pollutants, path, ["year", "safe_name"])
 
 
-def write_report(df: DataFrame, path: str, order: list[Column], limit: int | None = None) -> None:
+def write_report(
+    df: DataFrame, path: str, order: list[Column], limit: int | None = None, hidden: tuple[str, ...] = ()
+) -> None:
     """Sorted CSV report with a header, replacing an earlier one.
 
-    Reports are small (top rows, sectors, or states by years), so adaptive
-    execution leaves one sorted file; a report that outgrows that stays a
-    sequence of sorted files instead of being forced through one task.
+    ``hidden`` columns only order the rows. Reports are small (top rows, sectors, or
+    states by years), so adaptive execution leaves one sorted file; a report that
+    outgrows that stays a sequence of sorted files instead of being forced through
+    one task.
     """
     ordered = df.orderBy(*order)
     if limit is not None:
         ordered = ordered.limit(limit)
-    ordered.write.mode("overwrite").option("header", True).csv(path)
+    ordered.drop(*hidden).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_list(names: DataFrame, path: str) -> None:
