@@ -25,8 +25,8 @@ def _orders_daily(spark, sf_dir):
 
 
 def _lineitem_monthly(spark, sf_dir, key="l_suppkey"):
-    rows = t.table(spark, sf_dir, "lineitem")
-    return ts.bucket_mean(rows, [key], "l_shipdate", "l_quantity", unit="month")
+    rows = t.table(spark, sf_dir, "lineitem").withColumn("root", F.sqrt("l_quantity"))
+    return ts.bucket_mean(rows, [key], "l_shipdate", "root", unit="month")
 
 
 ORDERS_DAILY = """
@@ -146,7 +146,7 @@ FROM months
 
 def _months_sql(key):
     return f"""months AS (
-  SELECT {key}, CAST(date_trunc('month', l_shipdate) AS DATE) AS bucket, avg(l_quantity) AS value
+  SELECT {key}, CAST(date_trunc('month', l_shipdate) AS DATE) AS bucket, avg(sqrt(l_quantity)) AS value
   FROM lineitem GROUP BY ALL)"""
 
 
