@@ -62,13 +62,13 @@ def _listed(measurements="measurements"):
 
 def event_sites(spark, sf_dir):
     return extracts.site_measurements(
-        t.dmr_from_events(spark, sf_dir), t.raw_facilities(spark, sf_dir, "events")
+        t.as_stored(t.dmr_from_events(spark, sf_dir)), t.raw_facilities(spark, sf_dir, "events")
     )
 
 
 def line_sites(spark, sf_dir):
     return extracts.site_measurements(
-        t.dmr_from_lineitem(spark, sf_dir), t.raw_facilities(spark, sf_dir, "lineitem")
+        t.as_stored(t.dmr_from_lineitem(spark, sf_dir)), t.raw_facilities(spark, sf_dir, "lineitem")
     )
 
 
@@ -94,7 +94,7 @@ FROM event_rows GROUP BY label, state, npdes, pollutant, lat, lon
 
 def sites_in_parts(spark, sf_dir):
     """Records cut into small parts: their sizes and readings add up to the whole."""
-    dmr = t.dmr_from_lineitem(spark, sf_dir)
+    dmr = t.as_stored(t.dmr_from_lineitem(spark, sf_dir))
     parts = extracts.site_measurements(dmr, t.raw_facilities(spark, sf_dir, "lineitem"), part_rows=50)
     return parts.groupBy("npdes", "pollutant").agg(
         F.sum(F.size("measurements")).alias("n"),
@@ -125,7 +125,7 @@ FROM event_rows GROUP BY npdes, pollutant
 
 
 def valid_rows(spark, sf_dir):
-    rows = extracts.valid_measurements(t.dmr_from_lineitem(spark, sf_dir))
+    rows = extracts.valid_measurements(t.as_stored(t.dmr_from_lineitem(spark, sf_dir)))
     return rows.groupBy("npdes", "pollutant", "unit").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -292,14 +292,14 @@ ORDER BY name
 
 
 def collisions(spark, sf_dir):
-    found = extracts.name_collisions(_part_names(spark, sf_dir))
-    return found.select("year", "safe_name", F.array_join("pollutants", "|").alias("pollutants"))
+    return extracts.name_collisions(_part_names(spark, sf_dir))
 
 
 COLLISIONS = f"""
-WITH {PART_NAMES}
-SELECT '2020' AS year, safe_name, string_agg(DISTINCT pollutant, '|' ORDER BY pollutant) AS pollutants
-FROM named GROUP BY safe_name HAVING count(DISTINCT pollutant) > 1
+WITH {PART_NAMES},
+names AS (SELECT DISTINCT safe_name, pollutant FROM named)
+SELECT '2020' AS year, safe_name, pollutant FROM names
+WHERE safe_name IN (SELECT safe_name FROM names GROUP BY safe_name HAVING count(*) > 1)
 """
 
 CASES = [

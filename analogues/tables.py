@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillgauge import schemas as S
+from rillgauge.functions import clean
 
 EVENT_PARAMETERS = {
     "purchase": S.N_PARAM,
@@ -75,6 +76,15 @@ def dmr_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def as_stored(dmr: DataFrame) -> DataFrame:
+    """Extract columns computed once, as if they were read from a stored table."""
+    names = (
+        "label EXTERNAL_PERMIT_NMBR PARAMETER_DESC DMR_UNIT_DESC MONITORING_PERIOD_END_DATE "
+        "DMR_VALUE_NMBR NODI_CODE source_pos"
+    )
+    return dmr.select(clean.once(*[F.col(n) for n in names.split()]))
+
+
 def permit_of(nation: str, key: str) -> Column:
     """Permit id: two digits of the nation, as a state code, then the key."""
     return F.concat(F.lpad(F.col(nation).cast("string"), 2, "0"), F.lpad(F.col(key).cast("string"), 7, "0"))

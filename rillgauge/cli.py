@@ -66,14 +66,12 @@ def run_timeseries(spark, a):
 
 
 def _write_forecast(result, output, run):
-    if result is None:
+    if result.predictions is None:
         log.warning("not enough data to model")
-        return
-    sinks.write_run(result.predictions, f"{output}/predictions", run)
-    sinks.write_run(result.metrics, f"{output}/metrics", run)
-    sinks.write_run(result.importance, f"{output}/importance", run)
-    if result.skipped is not None:
-        sinks.write_run(result.skipped, f"{output}/skipped", run)
+    for name in ("predictions", "metrics", "importance", "skipped"):
+        table = getattr(result, name)
+        if table is not None:
+            sinks.write_run(table, f"{output}/{name}", run)
 
 
 def run_daily_forecast(spark, a):

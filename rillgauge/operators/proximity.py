@@ -85,17 +85,29 @@ def matched_ids(
     return located.join(near, same_cell & inside, "left_semi").select(id_column).distinct()
 
 
+MODES = ("all", "only", "exclude")
+
+
 def keep_by_match(
     sites: DataFrame, matched: DataFrame, mode: str = "all", id_column: str = "npdes"
 ) -> DataFrame:
-    """All sites, only matched ones, or only the others."""
+    """All sites, only matched ones, or only the others, by semi or anti join."""
+    if mode not in MODES:
+        raise ValueError(f"unknown mode: {mode}")
     if mode == "all":
         return sites
-    if mode not in ("only", "exclude"):
-        raise ValueError(f"unknown mode: {mode}")
     return sites.join(matched, id_column, "left_semi" if mode == "only" else "left_anti")
 
 
+def keep_flagged(flagged: DataFrame, mode: str = "all") -> DataFrame:
+    """The same choice over sites that already carry ``is_ad``."""
+    if mode not in MODES:
+        raise ValueError(f"unknown mode: {mode}")
+    if mode == "all":
+        return flagged
+    return flagged.filter(F.col("is_ad") if mode == "only" else ~F.col("is_ad"))
+
+
 def with_match_flag(sites: DataFrame, matched: DataFrame, id_column: str = "npdes") -> DataFrame:
     """Class of each site: digester or other."""
     flagged = matched.select(id_column, F.lit(True).alias("is_ad"))

@@ -79,11 +79,10 @@ def pollutant_measurements(sites: DataFrame) -> DataFrame:
 
 
 def name_collisions(pollutants: DataFrame) -> DataFrame:
-    """Safe names that stand for more than one pollutant within a year."""
+    """Pollutants that share their safe name with another one within a year, one per row."""
     names = pollutants.select("year", "safe_name", "pollutant").distinct()
-    return names.groupBy("year", "safe_name").agg(
-        F.sort_array(F.collect_set("pollutant")).alias("pollutants")
-    ).filter(F.size("pollutants") > 1)
+    shared = names.groupBy("year", "safe_name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return names.join(shared, ["year", "safe_name"], "left_semi")
 
 
 def pollutant_catalogue(pollutants: DataFrame) -> DataFrame:
@@ -133,10 +132,9 @@ def site_view(
     shown = scope
     if pollutant:
         shown = shown.filter(clean.safe_name("pollutant") == clean.safe_name(F.lit(pollutant)))
-    shown = nested.measurements_of_year(shown, year)
-    shown = proximity.keep_by_match(shown, matched, ad_mode)
+    flagged = proximity.with_match_flag(nested.measurements_of_year(shown, year), matched)
     return (
-        proximity.with_match_flag(shown, matched)
+        proximity.keep_flagged(flagged, ad_mode)
         .withColumn("measurements", nested.sorted_measurements())
         .withColumn("on_map", geo.usable(F.col("lat"), F.col("lon")))
     )

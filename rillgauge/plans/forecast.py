@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -34,11 +35,11 @@ MONTHLY = Training(rate=0.3, patience=50)
 
 @dataclass(frozen=True)
 class Forecast:
-    """Result tables of a run; each has a ``series`` column."""
+    """Result tables of a run, each with a ``series`` column; None where nothing was fitted."""
 
-    predictions: DataFrame
-    metrics: DataFrame
-    importance: DataFrame
+    predictions: DataFrame | None = None
+    metrics: DataFrame | None = None
+    importance: DataFrame | None = None
     skipped: DataFrame | None = None
 
 
@@ -77,7 +78,7 @@ def _importance(spark: SparkSession, series: str, names: Sequence[str], model) -
 
 def train_series(
     featured: DataFrame, series: Sequence[str], names: Sequence[str], settings: Training
-) -> Forecast | None:
+) -> Forecast:
     """One model per listed series over a stored feature table with ``series`` and ``is_test``.
 
     The list is bounded by the caller's top n, and a series by the calendar, so
@@ -93,15 +94,10 @@ def train_series(
         predictions.append(model.transform(test).drop("vector", "is_test"))
         importance.append(_importance(spark, key, names, model))
     if not predictions:
-        return None
-    scored = predictions[0]
-    for more in predictions[1:]:
-        scored = scored.unionByName(more)
-    weights = importance[0]
-    for more in importance[1:]:
-        weights = weights.unionByName(more)
-    scored = scored.withColumnRenamed("target", "y_test")
-    return Forecast(scored, ts.error_metrics(scored, ["series"], "y_test", "prediction"), weights)
+        return Forecast()
+    scored = reduce(DataFrame.unionByName, predictions).withColumnRenamed("target", "y_test")
+    metrics = ts.error_metrics(scored, ["series"], "y_test", "prediction")
+    return Forecast(scored, metrics, reduce(DataFrame.unionByName, importance))
 
 
 def daily_series(dmr: DataFrame, parameter: str, unit: str = S.CONCENTRATION_UNIT) -> DataFrame:
@@ -121,22 +117,24 @@ def daily_model_table(dmr: DataFrame, parameter: str) -> DataFrame:
     return ts.split_first(featured.dropna(subset=ts.DAILY_FEATURES), ["series"])
 
 
-def daily_forecast(dmr: DataFrame, parameter: str, settings: Training = DAILY) -> Forecast | None:
-    """Forecast the daily mean of a parameter; None when there is nothing to split."""
+def daily_forecast(dmr: DataFrame, parameter: str, settings: Training = DAILY) -> Forecast:
+    """Forecast the daily mean of a parameter; empty when there is nothing to split."""
     table = materialised(daily_model_table(dmr, parameter), "daily")
     if table.filter("is_test").isEmpty() or table.filter(~F.col("is_test")).isEmpty():
-        return None
+        return Forecast()
     return train_series(table, [parameter], ts.DAILY_FEATURES, settings)
 
 
-def monthly_series(dmr: DataFrame, parameter: str, ids: DataFrame) -> DataFrame:
-    """Monthly mean of a parameter for the listed permits; absent months stay absent."""
-    permit = "EXTERNAL_PERMIT_NMBR"
-    rows = dmr.filter(F.col("PARAMETER_DESC") == parameter).join(
-        F.broadcast(ids.select(permit)), permit, "left_semi"
+def monthly_series(dmr: DataFrame, parameter: str, permits: Sequence[str]) -> DataFrame:
+    """Monthly mean of a parameter for the listed permits; absent months stay absent.
+
+    The list is a filter on raw columns, so files sorted by permit skip row groups.
+    """
+    rows = dmr.filter(
+        (F.col("PARAMETER_DESC") == parameter) & F.col("EXTERNAL_PERMIT_NMBR").isin(list(permits))
     )
     readings = rows.select(
-        F.col(permit).alias("series"),
+        F.col("EXTERNAL_PERMIT_NMBR").alias("series"),
         clean.to_period_date("MONITORING_PERIOD_END_DATE").alias("day"),
         clean.to_finite_text_number("DMR_VALUE_STANDARD_UNITS").alias("reading"),
     ).dropna()
@@ -147,25 +145,23 @@ def facility_forecasts(
     dmr: DataFrame, permits: DataFrame, state: str | None, parameter: str,
     f_param: str = S.F_PARAM, n: int = 5, settings: Training = MONTHLY, leak_free: bool = False,
     min_points: int = 24, min_featured: int = 12,
-) -> Forecast | None:
+) -> Forecast:
     """One monthly forecast for each of the n permits with the largest load.
 
-    The permits broadcast for the semi join are the n rows of the ranking.
+    Permits with too few months are left out and listed in ``skipped`` with the reason.
     """
     rows = dmr if state is None else dmr.filter(F.col("state") == state)
-    top = materialised(
-        reports.top_facilities_by_load(dmr, permits, state, parameter, f_param, n), "top"
+    ranking = reports.top_facilities_by_load(dmr, permits, state, parameter, f_param, n)
+    top = [r.EXTERNAL_PERMIT_NMBR for r in ranking.collect()]
+    if not top:
+        return Forecast()
+    featured = materialised(
+        ts.monthly_features(monthly_series(rows, parameter, top), ["series"], leak_free), "monthly"
     )
-    featured = ts.monthly_features(monthly_series(rows, parameter, top), ["series"], leak_free)
     gates = ts.series_gates(featured, ["series"], ts.MONTHLY_FEATURES, min_points, min_featured)
     ready = ts.split_last(featured.dropna(subset=ts.MONTHLY_FEATURES), ["series"])
-    gates = materialised(gates, "gates")
     kept = [r.series for r in gates.filter("skip_reason IS NULL").orderBy("series").limit(n).collect()]
-    skipped = gates.filter("skip_reason IS NOT NULL")
-    if not kept:
-        return None
-    table = materialised(ready.filter(F.col("series").isin(kept)), "monthly")
-    result = train_series(table, kept, ts.MONTHLY_FEATURES, settings)
-    return Forecast(result.predictions, result.metrics, result.importance, skipped)
+    result = train_series(ready, kept, ts.MONTHLY_FEATURES, settings)
+    return replace(result, skipped=gates.filter("skip_reason IS NOT NULL"))
 
 

@@ -136,6 +136,22 @@ def test_partitions_and_predicates_reach_the_scan(spark, rows, raw, tmp_path):
     assert "PartitionFilters: [state#" in plan
 
 
+def test_hot_folder_is_split_over_tasks(spark, tmp_path):
+    """A state with most of the rows is written by several tasks, a small one by one."""
+    df = spark.range(60_000).select(
+        F.md5(F.col("id").cast("string")).alias("text"),
+        F.when(F.col("id") % 20 == 0, F.lit("TX")).otherwise(F.lit("OH")).alias("state"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        sinks.write_partitioned(df.repartition(8), str(tmp_path / "t"), ["state"], sort=["text"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {s: len(list((tmp_path / "t" / f"state={s}").glob("part-*"))) for s in ("OH", "TX")}
+    assert files["OH"] >= 4 and files["TX"] == 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 60_000
+
+
 def test_inspector(rows):
     df = rows("k int, v double, s string, y string", (1, 0.5, "a", "2020"), (2, 1.5, "b", "2021"), (3, None, "b", "2021"))
     assert [r.k for r in inspector.inspect(df, filters=[("v", ">", "0.6")]).collect()] == [2]

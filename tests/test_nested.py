@@ -1,6 +1,6 @@
 import random
 
-from pyspark.sql import functions as F
+import pytest
 
 from helpers import N, reading, write_csv
 from rillgauge import schemas as S
@@ -134,7 +134,7 @@ def test_catalogue_and_lists(spark, tmp_path):
     text = "".join(p.read_text() for p in sorted((tmp_path / "list").glob("part-*.txt")))
     assert text == "A-B\nNitrogen_total_[as_N]\n"
     clash = extracts.name_collisions(pollutants).collect()
-    assert [(r.year, r.safe_name, r.pollutants) for r in clash] == [("2020", "A-B", ["A-B", "A/B"])]
+    assert {tuple(r) for r in clash} == {("2020", "A-B", "A-B"), ("2020", "A-B", "A/B")}
     years = [r.year for r in extracts.catalogue_years(spark).orderBy("year").collect()]
     assert (years[0], years[-1], len(years)) == ("1983", "2025", 43)
     assert extracts.catalogue_states(spark).count() == 56
@@ -183,4 +183,6 @@ def test_site_view(spark):
     assert set(view(ad_mode="exclude")) == {"B", "C"}
     assert set(view(state="TX")) == {"C"}
     assert set(view(label_only=True)) == {"B", "C"}
+    with pytest.raises(ValueError):
+        view(ad_mode="some")
     assert extracts.site_count(extracts.site_view(sites, ads, "2021")).first().sites == 4
