@@ -70,6 +70,7 @@ def nest_measurements(
     part = F.lit(0).cast("bigint")
     any_long = not long.isEmpty()
     if any_long:
+        units = broadcast_if_small(_last_units(rows, long, keys))
         cuts = broadcast_if_small(long.drop("is_last"))
         rows = rows.join(cuts, [*keys, "block"], "left")
         part = F.coalesce("part", part)
@@ -94,7 +95,6 @@ def nest_measurements(
         )
     )
     if any_long:
-        units = broadcast_if_small(_last_units(rows.drop("part"), long, keys))
         records = records.join(units, [*keys], "left").withColumn(
             "unit", F.coalesce("key_unit", "unit")
         ).drop("key_unit")
