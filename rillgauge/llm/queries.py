@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillgauge.llm import bpe, exact
+from rillgauge.llm import bpe, counts, exact, secrets
 from rillgauge.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -36,13 +37,30 @@ WINDOW best AS (PARTITION BY content ORDER BY len DESC, doc_id)
 """
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.id_digests(bpe.encode(docs, BYTE_BPE, BYTE_RANKS, public_tokenizers.PATTERN))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *(secrets.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLES: dict[str, str] = {"op1_exact_dedup": OP1_SQL}
