@@ -15,6 +15,7 @@ import json
 import re
 import zlib
 from array import array
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from rillgauge.llm.common import ready, row_slices, whole_text
 
-REMEMBERED = 700_000  # distinct fragments kept by a worker; beyond it they are encoded again
+REMEMBERED = 500_000  # distinct fragments kept by a worker; beyond it they are encoded again
 SLICE_BYTES = 4 << 20
 LATIN = "0-9A-Za-zÀ-ÖØ-öø-ſ"
 PUNCTUATION = r"!-/:-@\[-`{-~"
@@ -82,14 +83,11 @@ class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids, and back."""
 
     def __init__(self, path: str, ranks_path: str | None = None, split: str | None = None):
-        from tokenizers import Tokenizer
-
+        self.path = path
         self.tokens = token_bytes(path)
         self.pattern = fragment_pattern([t for t in self.tokens if t])
-        self.whole = Tokenizer.from_file(path)
-        self.whole.no_truncation()
-        self.whole.no_padding()
-        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as file:
+            self.added = [t["content"] for t in json.load(file).get("added_tokens", [])]
         self.quick = None
         if ranks_path:
             import tiktoken
@@ -102,6 +100,16 @@ class Encoder:
         self.latin = re.compile("[\\x00-ɏ]*\\Z")
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def whole(self):
+        """The library's tokenizer; made when a fragment or text first needs it."""
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
     def _fragment(self, text: str) -> bytes:
         if self.quick is not None and (text.isascii() or self.latin.match(text)):
             ids = self.quick.encode_ordinary(text)

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillgauge.llm import bpe, counts, exact, secrets
+from rillgauge.llm import bpe, counts, exact, packing, planes, secrets
 from rillgauge.llm.common import table
+from rillgauge.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -37,6 +38,20 @@ WINDOW best AS (PARTITION BY content ORDER BY len DESC, doc_id)
 """
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut(table(spark, sf_dir, "documents"), BYTE_BPE, BYTE_RANKS, public_tokenizers.PATTERN)
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("token_ids").alias("ids_crc32")))
+
+
+def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "planes")
+    planes.write(table(spark, sf_dir, "documents"), folder, BYTE_BPE, BYTE_RANKS, public_tokenizers.PATTERN)
+    return planes.read(spark, folder).select(
+        "doc_id", "start", F.expr("cast(octet_length(token_ids) div 4 as bigint)").alias("n_tokens"),
+        F.crc32("token_ids").alias("ids_crc32"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
@@ -59,6 +74,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_packing": op5_packing,
+    "op6_token_planes": op6_token_planes,
     "op8_token_counts": op8_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_secret_scan": op10_secret_scan,
