@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rillgauge.llm import bpe
 from rillgauge.llm.common import ready, row_slices, whole_text
@@ -281,5 +282,5 @@ def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc
                 names=[*batch.schema.names[:keep], "sequence_id", "offset"],
             )
 
-    schema = pieces.schema.add("sequence_id", "bigint").add("offset", "bigint")
+    schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     return rows.mapInArrow(place, schema)
