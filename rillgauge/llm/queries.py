@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillgauge.llm import bpe, counts, exact, packing, planes, secrets, substring
+from rillgauge.llm import bpe, counts, exact, langid, packing, planes, secrets, substring
 from rillgauge.llm.common import table
 from rillgauge.session import scratch_path
 
@@ -43,6 +43,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.fit(docs.where("NOT held_out"))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(table(spark, sf_dir, "documents"), BYTE_BPE, BYTE_RANKS, public_tokenizers.PATTERN)
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("token_ids").alias("ids_crc32")))
@@ -80,6 +86,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
     "op6_token_planes": op6_token_planes,
     "op8_token_counts": op8_token_counts,
