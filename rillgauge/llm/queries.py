@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillgauge.llm import bpe, counts, exact, langid, packing, planes, secrets, substring
+from rillgauge.llm import bpe, counts, exact, langid, ordermin, packing, planes, secrets, substring
 from rillgauge.llm.common import table
 from rillgauge.session import scratch_path
 
@@ -63,6 +63,10 @@ def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), PIECES)
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
     "op6_token_planes": op6_token_planes,
+    "op7_near_dedup": op7_near_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_secret_scan": op10_secret_scan,
