@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillgauge.llm import bpe, counts, exact, langid, ordermin, packing, planes, secrets, substring
+from rillgauge.llm import bpe, counts, covertree, exact, langid, ordermin, packing, planes, secrets, substring
 from rillgauge.llm.common import table
 from rillgauge.session import scratch_path
 
@@ -38,6 +38,10 @@ WINDOW best AS (PARTITION BY content ORDER BY len DESC, doc_id)
 """
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
@@ -89,6 +93,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
