@@ -1,7 +1,7 @@
 """Token counts of a sentence-piece vocabulary, each distinct pre-token counted once.
 
-A cut before every run of blanks is safe when no piece holds a blank behind another character;
-this is checked on the vocabulary. Documents are read in blocks, and a block gives its distinct
+A cut before every run of blanks is safe when no piece holds a blank behind another character, and one between a
+Latin letter and a mark when no piece holds the two in a row; both are read off the vocabulary. Documents are read in blocks, and a block gives its distinct
 pre-tokens and, packed, how often each occurs in each document. The pre-tokens of all blocks meet by a shuffle,
 are counted by the library once each, and the counts are joined to the blocks' frequencies; no ids are kept.
 """
@@ -25,7 +25,8 @@ from rillgauge.llm.common import ready, row_slices, whole_text
 BLOCK_BYTES = 32 << 20  # of text in a block
 ROWS = 50_000  # of a batch of pre-tokens
 SPACE = "▁"  # fixed value: the letter that stands for a blank in such vocabularies
-PRE_TOKEN = re.compile(" *[^ ]+| +")
+LATIN = "0-9A-Za-zÀ-ÖØ-öø-ſ"
+MARKS = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
 
 
 class PieceCounter:
@@ -35,19 +36,24 @@ class PieceCounter:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size()) if not self.model.is_control(i)]
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces):
             raise ValueError("a piece holds a blank behind another character; texts can't be cut at blanks")
+        inner = {m for p in pieces if not p.startswith("<0x") for m in re.findall(rf"(?<=[{LATIN}])\W", p)}
+        marks = re.escape("".join(m for m in MARKS if m != "_" and m not in inner))
+        #: The pre-tokens of a text that is led by a blank.
+        self.pattern = (rf" *[{LATIN}]+(?=[{marks}])|" if marks else "") + " *[^ ]+| +"
         self.letter = len(self.model.encode("a"))
 
     def __call__(self, pre_tokens: list[str]) -> list[int]:
         """Pieces of each pre-token.
 
-        The library puts a blank in front of a text, which stands for the pre-token's first one; it gives an
-        empty text no piece, so blanks alone are counted behind a letter.
+        The library puts a blank in front of a text, which stands for the pre-token's first one. It gives an
+        empty text no piece, and a pre-token that was cut off a letter has no blank: these are counted behind a letter.
         """
-        found = self.model.encode([t[1:] if t.strip(" ") else f"a{t}" for t in pre_tokens], num_threads=1)
-        return [len(x) - (not t.strip(" ")) * self.letter for x, t in zip(found, pre_tokens, strict=True)]
+        behind = [not t.strip(" ") or t[0] != " " for t in pre_tokens]
+        found = self.model.encode([f"a{t}" if b else t[1:] for t, b in zip(pre_tokens, behind)], num_threads=1)
+        return [len(x) - b * self.letter for x, b in zip(found, behind)]
 
 
 _COUNTERS: dict[str, PieceCounter] = {}
@@ -57,22 +63,23 @@ def counter(path: str) -> PieceCounter:
     return _COUNTERS.get(path) or _COUNTERS.setdefault(path, PieceCounter(path))
 
 
-def pre_tokens(text: str) -> list[str]:
-    """The pre-tokens of a text, each led by a blank; an empty text has none."""
-    return PRE_TOKEN.findall(" " + text.replace(SPACE, " ")) if text else []
+def pre_tokens(text: str, pattern: re.Pattern) -> list[str]:
+    """The pre-tokens of a text; an empty text has none."""
+    return pattern.findall(" " + text.replace(SPACE, " ")) if text else []
 
 
 class Block:
     """Documents of one block: how often each of the block's distinct pre-tokens occurs in each."""
 
-    def __init__(self):
+    def __init__(self, pattern: re.Pattern):
+        self.pattern = pattern
         self.number: dict[str, int] = {}
         self.keys, self.n_bytes, self.distinct, self.local, self.often, self.size = [], [], [], [], [], 0
 
     def add(self, keys: list, texts: list[str]) -> None:
         number = self.number
         for text in texts:
-            found = Counter(pre_tokens(text))
+            found = Counter(pre_tokens(text, self.pattern))
             size = len(text.encode())
             self.n_bytes.append(size)
             self.size += size
@@ -92,22 +99,23 @@ class Block:
         return [words[i] for i in order], place[local], often
 
 
-def _blocks(batches):
-    """(block id, block) of one task's rows; the id names the task, the place in it and the block's pre-tokens."""
-    part, n, block = TaskContext.get().partitionId(), 0, Block()
+def _blocks(batches, pattern: str):
+    """(block id, block) of one task's rows; the id holds the task, the place in it and a mark of the pre-tokens."""
+    cut = re.compile(pattern)
+    part, n, block = TaskContext.get().partitionId(), 0, Block(cut)
 
-    def named():
-        mark = zlib.crc32("\n".join(block.number).encode("utf-8", "surrogatepass"), block.size & 0xFFFFFFFF)
-        return f"{part}-{n}-{mark}"
+    def name() -> int:
+        mark = zlib.crc32("\n".join(block.number).encode(), block.size & 0xFFFFFFFF)
+        return (part << 40) + (n << 20) + (mark & 0xFFFFF)
 
     for batch in batches:
         for rows in row_slices(batch, 1, BLOCK_BYTES // 8):
             block.add(rows.column(0).to_pylist(), rows.column(1).to_pylist())
             if block.size >= BLOCK_BYTES:
-                yield named(), block
-                n, block = n + 1, Block()
+                yield name(), block
+                n, block = n + 1, Block(cut)
     if block.keys:
-        yield named(), block
+        yield name(), block
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -131,17 +139,18 @@ def token_counts(
     both times, as a scan does; otherwise the query fails.
     """
     ready(docs.sparkSession)
+    pattern = counter(path).pattern
     id_kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("key"), whole_text(text_col).alias("text"))
 
     def words(batches):
-        for name, block in _blocks(batches):
+        for name, block in _blocks(batches, pattern):
             found = block.ordered()[0]
             for i in range(0, len(found), ROWS):
                 part = found[i : i + ROWS]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([name] * len(part), pa.string()),
+                        pa.array(np.full(len(part), name)),
                         pa.array(np.arange(i, i + len(part)), pa.int32()), pa.array(part, pa.string()),
                     ],
                     names=["block", "number", "word"],
@@ -154,16 +163,16 @@ def token_counts(
                 once = rows.column(2).dictionary_encode()  # equal words are neighbours
                 each = np.array(pieces(once.dictionary.to_pylist()), dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(each[once.indices.to_numpy()], pa.int64())],
+                    [rows.column(0), rows.column(1), pa.array(each[once.indices.to_numpy()], pa.int32())],
                     names=["block", "number", "pieces"],
                 )
 
     def frequencies(batches):
-        for name, block in _blocks(batches):
+        for name, block in _blocks(batches, pattern):
             _, local, often = block.ordered()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([name]), pa.array([block.keys], pa.list_(id_type)),
+                    pa.array([name], pa.int64()), pa.array([block.keys], pa.list_(id_type)),
                     pa.array([block.n_bytes], pa.list_(pa.int64())), pa.array([block.distinct], pa.list_(pa.int64())),
                     pa.array([_packed(local)], pa.binary()), pa.array([_packed(often)], pa.binary()),
                 ],
@@ -187,13 +196,13 @@ def token_counts(
 
     id_type = to_arrow_type(docs.schema[id_col].dataType)
     counted = (
-        source.mapInArrow(words, "block string, number int, word string")
+        source.mapInArrow(words, "block bigint, number int, word string")
         .repartition("word").sortWithinPartitions("word")
-        .mapInArrow(count, "block string, number int, pieces bigint")
+        .mapInArrow(count, "block bigint, number int, pieces int")
     )
     held = source.mapInArrow(
         frequencies,
-        f"block string, keys array<{id_kind}>, n_bytes array<bigint>, distinct array<bigint>, local binary, often binary",
+        f"block bigint, keys array<{id_kind}>, n_bytes array<bigint>, distinct array<bigint>, local binary, often binary",
     )
     out = held.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(
         sums, f"key {id_kind}, n_bytes bigint, n_tokens bigint"
