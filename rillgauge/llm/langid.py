@@ -224,6 +224,13 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return out.toDF(*docs.columns, "lang_pred", "score", "entropy")
 
 
+def recognised(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows whose language is known, with the columns of the frame."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = predict(docs, model, text_col).toDF(*names, "lang_pred", "score", "entropy")
+    return rows.where(F.col("lang_pred") != UNKNOWN).select(*names).toDF(*docs.columns)
+
+
 def held_out(key: Column) -> Column:
     """Whether a document is kept from learning: crc32 of the id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(key.cast("string")) % 3 == 1, F.lit(False))

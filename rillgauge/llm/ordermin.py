@@ -241,6 +241,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class with all its columns: that with the class's id.
+
+    Of rows that repeat this id one stays, the first in the order of their texts. See :func:`near_duplicates`.
+    """
+    found = materialised(near_duplicates(docs, id_col, text_col), "near")
+    kept = found.where("kept").select(F.col(id_col).alias("k"))
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("key"), F.col(text_col).alias("text"))
+    rows = keyed.join(kept, F.col("key").eqNullSafe(F.col("k")), "left_semi")
+    repeated = materialised(
+        found.groupBy(F.col(id_col).alias("r")).count().where("count > 1").select("r"), "repeated"
+    )
+    if repeated.isEmpty():
+        return rows.select("row.*")
+    same = F.col("key").eqNullSafe(F.col("r"))
+    first = Window.partitionBy("key").orderBy("text")
+    one = rows.join(repeated, same, "left_semi").withColumn("n", F.row_number().over(first)).where("n = 1")
+    return rows.join(repeated, same, "left_anti").select("row").unionByName(one.select("row")).select("row.*")
+
+
 def _repeated(member: DataFrame) -> DataFrame:
     """Links between the copies of an id that has several texts."""
     lowest = member.groupBy("key").agg(F.min("copy").alias("a"), F.max("copy").alias("z")).where("a != z")
