@@ -16,8 +16,7 @@ from rillgauge.llm.common import WHITE, whole_text
 from rillgauge.session import materialised
 
 SALTS = 16
-_TOP = F.lit("9223372036854775807").cast("decimal(20,0)")
-_WIDTH = F.lit("18446744073709551618").cast("decimal(20,0)")
+TOP, WIDTH = 2**63 - 1, 2**64 + 2  # the largest id, and more than there are ids
 
 
 def normalised(text: Column) -> Column:
@@ -29,16 +28,20 @@ def sha256(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+def _whole(number: int) -> Column:
+    return F.lit(str(number)).cast("decimal(20,0)")
+
+
 def _rank(length: Column, key: Column) -> Column:
     """Greater is better: more code points, then the smaller id, a null id last."""
-    turned = F.coalesce(_TOP - key.cast("decimal(20,0)") + F.lit(1), F.lit(0).cast("decimal(20,0)"))
-    return (length.cast("decimal(10,0)") * _WIDTH + turned).cast("decimal(38,0)")
+    turned = F.coalesce(_whole(TOP) - key.cast("decimal(20,0)") + F.lit(1), F.lit(0).cast("decimal(20,0)"))
+    return (length.cast("decimal(10,0)") * _whole(WIDTH) + turned).cast("decimal(38,0)")
 
 
 def _key(rank: Column) -> Column:
     """The id in a rank."""
-    turned = rank % _WIDTH
-    return F.when(turned > 0, _TOP - turned + F.lit(1)).cast("bigint")
+    turned = rank % _whole(WIDTH)
+    return F.when(turned > 0, _whole(TOP) - turned + F.lit(1)).cast("bigint")
 
 
 def _base(docs: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
@@ -87,11 +90,8 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .select("digest", "key", "length", "rank", "size")
         )
     rows = rows.withColumn("winner", _rank(F.col("length"), F.col("key")) == F.col("rank"))
-    first = Window.partitionBy("key", "rank", "digest").orderBy(F.lit(0))
-    winners = rows.where("winner").withColumn("kept", F.row_number().over(first) == 1)
-    out = winners.select("key", "rank", "size", "digest", "kept").unionByName(
-        rows.where("NOT winner").select("key", "rank", "size", "digest", F.lit(False).alias("kept"))
-    )
+    first = Window.partitionBy("key", "digest", "winner").orderBy(F.lit(0))
+    out = rows.withColumn("kept", (F.row_number().over(first) == 1) & F.col("winner"))
     return out.select(
         F.col("key").alias(id_col), _key(F.col("rank")).alias("keep_id"),
         F.col("size").cast("bigint").alias("group_size"), "kept", "digest",
