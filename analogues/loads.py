@@ -113,7 +113,7 @@ BY_PRIMARY_SECTOR = BY_SECTOR.replace("unnest([c_mktsegment, n_name])", "c_mktse
 
 
 def by_period_region(spark, sf_dir):
-    states = [f"{i:02d}" for i in range(25)]
+    states = [f"{i:02d}" for i in range(0, 25, 2)]
     return reports.regional_timeseries(t.dmr_from_lineitem(spark, sf_dir), states).orderBy(
         *reports.regional_order()
     )
@@ -128,7 +128,7 @@ SELECT year(n.day)::VARCHAR AS year, n.state,
        round(sum(n.v * f.v * 3.78541), 0) AS total_annual_load_kg,
        count(*) AS num_paired_measurements
 FROM readings n JOIN readings f ON n.permit = f.permit AND n.day = f.day
-WHERE n.param = 'A' AND f.param = 'R'
+WHERE n.param = 'A' AND f.param = 'R' AND n.state::INTEGER % 2 = 0
 GROUP BY ALL ORDER BY state, year
 """
 
@@ -176,8 +176,7 @@ def undated_means(spark, sf_dir):
 
 
 def distinct_sectors(spark, sf_dir):
-    naics = t.naics_from_customer(spark, sf_dir)
-    pairs = naics.select("NPDES_ID", "NAICS_DESC").distinct()
+    pairs = reports.permit_sectors(t.naics_from_customer(spark, sf_dir))
     return pairs.groupBy("NAICS_DESC").agg(F.count(F.lit(1)).alias("permits"))
 
 
@@ -190,9 +189,8 @@ GROUP BY sector
 
 
 def distinct_permits(spark, sf_dir):
-    return t.dmr_from_orders(spark, sf_dir).select(
-        F.col("EXTERNAL_PERMIT_NMBR").alias("permit")
-    ).distinct()
+    permits = reports.distinct_permits(t.dmr_from_orders(spark, sf_dir))
+    return permits.withColumnRenamed("EXTERNAL_PERMIT_NMBR", "permit")
 
 
 DISTINCT_PERMITS = "SELECT DISTINCT o_custkey::VARCHAR AS permit FROM orders"
@@ -201,8 +199,7 @@ DISTINCT_PERMITS = "SELECT DISTINCT o_custkey::VARCHAR AS permit FROM orders"
 def permits_of_reporters(spark, sf_dir):
     """Permit rows limited to permits that report, a semi join."""
     permits = t.permits_from_customer(spark, sf_dir)
-    reporters = t.dmr_from_orders(spark, sf_dir).select("EXTERNAL_PERMIT_NMBR")
-    return permits.join(reporters, "EXTERNAL_PERMIT_NMBR", "left_semi").select(
+    return reports.reporting_permits(permits, t.dmr_from_orders(spark, sf_dir)).select(
         F.col("EXTERNAL_PERMIT_NMBR").alias("permit"),
         F.round("ACTUAL_AVERAGE_FLOW_NMBR", 3).alias("flow"),
     )

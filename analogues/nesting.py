@@ -10,7 +10,8 @@ from rillgauge import schemas as S
 from rillgauge.functions import clean
 from rillgauge.operators import nested, proximity
 from rillgauge.plans import extracts
-from rillgauge.session import materialised
+from rillgauge.session import materialised, scratch_path
+from rillgauge.sources import scans, sinks
 
 EVENT_NAMES = "CASE event_type " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in t.EVENT_PARAMETERS.items()
@@ -93,22 +94,16 @@ FROM event_rows GROUP BY label, state, npdes, pollutant, lat, lon
 
 
 def sites_in_parts(spark, sf_dir):
-    """Records cut into small parts: their sizes and readings add up to the whole."""
+    """Records cut by month: readings in source order, the last unit of each."""
     dmr = t.as_stored(t.dmr_from_lineitem(spark, sf_dir))
-    parts = extracts.site_measurements(dmr, t.raw_facilities(spark, sf_dir, "lineitem"), part_rows=50)
-    return parts.groupBy("npdes", "pollutant").agg(
-        F.sum(F.size("measurements")).alias("n"),
-        F.sum(
-            F.aggregate("measurements", F.lit(0.0), lambda a, m: a + m["value"].cast("double"))
-        ).alias("total"),
-        F.min("unit").alias("unit"),
-    )
+    parts = extracts.site_measurements(dmr, t.raw_facilities(spark, sf_dir, "lineitem"), by_month=True)
+    return parts.select("npdes", "pollutant", "cal_year", "part", "unit", _listed())
 
 
 SITES_IN_PARTS = f"""
 WITH {ROWS}
-SELECT npdes, pollutant, count(*) AS n, sum(val::DOUBLE) AS total, min(unit) AS unit
-FROM line_rows GROUP BY npdes, pollutant
+SELECT npdes, pollutant, year(day)::VARCHAR AS cal_year, month(day) AS part, arg_max(unit, pos) AS unit, {LIST} AS readings
+FROM line_rows GROUP BY npdes, pollutant, year(day), month(day)
 """
 
 
@@ -230,11 +225,41 @@ SELECT count(DISTINCT (npdes, pollutant)) AS sites FROM all_rows WHERE year(day)
 """
 
 
-def _matching(mode):
+def two_label_sites(spark, sf_dir):
+    """The readings of each site spread over the early label and that of the year, in a stored table."""
+    dmr = t.as_stored(
+        t.dmr_from_lineitem(spark, sf_dir).withColumn(
+            "label", F.when(F.expr("source_pos.row % 16 >= 8"), F.lit("2012")).otherwise(F.lit(S.EARLY_LABEL))
+        )
+    )
+    path = scratch_path(spark, "sites")
+    sinks.write_sites(extracts.site_measurements(dmr, t.raw_facilities(spark, sf_dir, "lineitem")), path)
+    return scans.read_sites(spark, path)
+
+
+def _two_labels(year, **options):
+    def build(spark, sf_dir):
+        view = extracts.site_view(two_label_sites(spark, sf_dir), _ad_sites(spark, sf_dir), year, **options)
+        return view.select("npdes", "pollutant", "state", _listed())
+
+    return build
+
+
+def _two_labels_sql(condition):
+    """Readings of a day are in the order of labels, then of the source."""
+    return f"""
+WITH {ROWS},
+labelled AS (SELECT *, CASE WHEN pos % 16 >= 8 THEN '2012' ELSE 'PREFY2009' END AS place FROM line_rows)
+SELECT npdes, pollutant, state, string_agg(period || '=' || val, ';' ORDER BY day, place, pos) AS readings
+FROM labelled WHERE {condition} GROUP BY npdes, pollutant, state
+"""
+
+
+def _matching(mode, threshold=S.PROXIMITY_DEGREES):
     def build(spark, sf_dir):
         sites = t.located_vectors(spark, sf_dir, 0, 1, "npdes")
         ads = t.located_vectors(spark, sf_dir, 2, 3, "npdes")
-        matched = proximity.matched_ids(sites, ads)
+        matched = proximity.matched_ids(sites, ads, threshold=threshold)
         return proximity.keep_by_match(sites, matched, mode).select("npdes")
 
     return build
@@ -314,8 +339,20 @@ CASES = [
     Case("site_view_only_matched", _view("only"), _view_sql("is_ad")),
     Case("site_view_exclude_matched", _view("exclude"), _view_sql("NOT is_ad")),
     Case("site_view_count", view_count, VIEW_COUNT),
+    Case("site_view_two_labels", _two_labels("1997"), _two_labels_sql("year(day) = 1997")),
+    Case(
+        "site_view_of_state", _two_labels("1997", state="03"), _two_labels_sql("year(day) = 1997 AND state = '03'")
+    ),
+    Case(
+        "site_view_label_only", _two_labels("1997", label_only=True),
+        _two_labels_sql("year(day) = 1997 AND place = 'PREFY2009'"),
+    ),
     Case("proximity_semi", _matching("only"), f"SELECT vec_id AS npdes FROM embeddings e WHERE {NEAR}"),
     Case("proximity_anti", _matching("exclude"), f"SELECT vec_id AS npdes FROM embeddings e WHERE NOT {NEAR}"),
+    Case(
+        "proximity_wide", _matching("only", 0.015),
+        f"SELECT vec_id AS npdes FROM embeddings e WHERE {NEAR.replace('0.01', '0.015')}",
+    ),
     Case(
         "proximity_flag",
         flagged,

@@ -262,9 +262,6 @@ SELECT o_orderkey,
 FROM orders
 """
 
-MODEL = forecast.Training(rounds=10, rate=0.3, patience=5, depth=4)
-
-
 def daily_model_rows(spark, sf_dir):
     """Feature rows and split of the daily forecast, before any fit."""
     table = forecast.daily_model_table(_daily_dmr(spark, sf_dir), S.N_PARAM)
@@ -311,26 +308,79 @@ FROM complete
 """
 
 
+def _through_run(spark, table):
+    """A result table as its stored run gives it back."""
+    path = scratch_path(spark, "run")
+    sinks.write_run(table, path, "check")
+    return spark.read.parquet(path).where("run = 'check'")
+
+
 def gbt_daily(spark, sf_dir):
-    result = forecast.daily_forecast(_daily_dmr(spark, sf_dir), S.N_PARAM, MODEL)
-    return result.predictions.select("series", "bucket", "y_test", "prediction")
+    """Predicted days: the value as it was, and whether there is a finite prediction."""
+    result = forecast.daily_forecast(_daily_dmr(spark, sf_dir), S.N_PARAM)
+    return _through_run(spark, result.predictions).select(
+        "series", "bucket", F.round("y_test", 4).alias("y_test"),
+        (F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))).alias("is_finite"),
+    )
+
+
+GBT_DAILY = f"""
+SELECT '{S.N_PARAM}' AS series, bucket, target AS y_test, TRUE AS is_finite
+FROM ({DAILY_MODEL_ROWS}) WHERE is_test
+"""
 
 
 def gbt_facilities(spark, sf_dir):
+    """Per series: test months, whether the stored errors are those of the stored predictions, and whether importances add up."""
     result = forecast.facility_forecasts(
-        t.dmr_from_lineitem(spark, sf_dir),
-        t.permits_from_customer(spark, sf_dir),
-        None,
-        S.N_PARAM,
-        n=3,
-        settings=MODEL,
+        t.dmr_from_lineitem(spark, sf_dir), t.permits_from_customer(spark, sf_dir), None, S.N_PARAM, n=3
+    )
+    metrics = _through_run(spark, result.metrics).select("series", "n", "mae", "rmse")
+    error = F.col("y_test") - F.col("prediction")
+    again = _through_run(spark, result.predictions).groupBy("series").agg(
+        F.avg(F.abs(error)).alias("mae_again"), F.sqrt(F.avg(error * error)).alias("rmse_again")
     )
-    return result.metrics.join(
-        result.importance.groupBy("series").agg(F.max_by("feature", "importance").alias("top_feature")),
-        "series",
+    shares = _through_run(spark, result.importance).groupBy("series").agg(F.sum("importance").alias("total"))
+
+    def near(a, b):
+        return F.abs(F.col(a) - F.col(b)) <= 1e-9 * (1 + F.abs(F.col(b)))
+
+    return metrics.join(again, "series").join(shares, "series").select(
+        "series", F.col("n").alias("n_test"), (near("mae", "mae_again") & near("rmse", "rmse_again")).alias("errors_agree"),
+        ((F.abs(F.col("total") - 1) < 1e-6) | (F.col("total") == 0)).alias("importance_adds_up"),
     )
 
 
+GBT_FACILITIES = """
+WITH readings AS (
+  SELECT lpad(s_nationkey::VARCHAR, 2, '0') || lpad(s_suppkey::VARCHAR, 7, '0') AS series, l_returnflag AS flag,
+         l_quantity AS v, CAST(date_trunc('month', l_shipdate) AS DATE) AS month
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+top AS (
+  SELECT series FROM readings GROUP BY series
+  HAVING count_if(flag = 'A') > 0 AND count_if(flag = 'R') > 0
+  ORDER BY avg(v) FILTER (flag = 'A') * avg(v) FILTER (flag = 'R') DESC, series LIMIT 3),
+months AS (SELECT series, count(DISTINCT month) AS n FROM readings JOIN top USING (series) WHERE flag = 'A' GROUP BY series)
+SELECT series, greatest(1, floor(0.2::DOUBLE * (n - 12)))::BIGINT AS n_test, TRUE AS errors_agree, TRUE AS importance_adds_up
+FROM months WHERE n >= 24
+"""
+
+
+def empty_report(spark, sf_dir):
+    """A report over a year without readings is an empty table with its header, stored and read back."""
+    path = scratch_path(spark, "report")
+    report = reports.industry_load(t.dmr_from_events(spark, sf_dir), t.naics_from_customer(spark, sf_dir), "1900")
+    sinks.write_report(report, path, reports.industry_order())
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+def stored_list(spark, sf_dir):
+    """The name list as its file gives it back."""
+    path = scratch_path(spark, "names")
+    sinks.write_list(nesting.names(spark, sf_dir), path)
+    return spark.read.text(path).withColumnRenamed("value", "name")
+
+
 CASES = [
     Case("dmr_ingest_round_trip", dmr_round_trip, DMR_ROUND_TRIP),
     Case("backfill_state", facilities_round_trip, FACILITIES_ROUND_TRIP),
@@ -343,6 +393,8 @@ CASES = [
     Case("predicate_inspect", inspected, INSPECTED),
     Case("try_parse", parsed, PARSED),
     Case("daily_model_rows", daily_model_rows, DAILY_MODEL_ROWS),
-    Case("gbt_forecast", gbt_daily),
-    Case("gbt_facility_forecasts", gbt_facilities),
+    Case("gbt_forecast", gbt_daily, GBT_DAILY),
+    Case("gbt_facility_forecasts", gbt_facilities, GBT_FACILITIES),
+    Case("empty_report", empty_report, loads.BY_SECTOR.replace("GROUP BY", "AND 1 = 0 GROUP BY")),
+    Case("name_list_stored", stored_list, nesting.NAMES),
 ]

@@ -5,21 +5,25 @@ from __future__ import annotations
 import argparse
 import logging
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
 from rillgauge import schemas as S
 from rillgauge.operators import inspect as inspector
 from rillgauge.plans import extracts, forecast, ingest, reports
-from rillgauge.session import get_session
+from rillgauge.session import get_session, release
 from rillgauge.sources import scans, sinks
 
 log = logging.getLogger(__name__)
 
+TRAINING = {"rounds": int, "rate": float, "depth": int, "bins": int, "tolerance": float}
+
 
 def run_ingest_dmr(spark, a):
     rows = ingest.ingest_dmr(spark, a.input, a.output, a.start_year, a.end_year)
-    log.info("stored %d rows", rows)
+    log.info("stored %d rows", rows["rows"])
+    log.info("malformed lines: %d", rows["malformed"])
 
 
 def run_ingest_facilities(spark, a):
@@ -27,20 +31,21 @@ def run_ingest_facilities(spark, a):
 
 
 def run_ingest_permits(spark, a):
-    ingest.ingest_permits(spark, a.input, a.output)
+    log.info("stored %d rows", ingest.ingest_permits(spark, a.input, a.output))
 
 
 def run_ingest_naics(spark, a):
-    ingest.ingest_naics(spark, a.input, a.output)
+    log.info("stored %d rows", ingest.ingest_naics(spark, a.input, a.output))
 
 
-def _report(report, path, order, limit=None, hidden=()):
+def _report(report, path, order, limit=None, hidden=(), shown=reports.PREVIEW_ROWS):
+    """Store a report and print its first ``shown`` rows, or all of them when it is None."""
     sinks.write_report(report, path, order, limit, hidden)
     written = report.sparkSession.read.option("header", True).csv(path)
     if written.isEmpty():
         log.warning("no paired readings found")
     else:
-        written.show(reports.PREVIEW_ROWS, truncate=False)
+        written.show(written.count() if shown is None else shown, truncate=False)
 
 
 def run_hotspots(spark, a):
@@ -61,8 +66,9 @@ def run_industry(spark, a):
 
 
 def run_timeseries(spark, a):
-    report = reports.regional_timeseries(scans.read_dmr(spark, a.dmr), a.states)
-    _report(report, a.output, reports.regional_order())
+    dmr = scans.read_dmr(spark, a.dmr)
+    log.info("rows of the states: %d", reports.paired_rows(dmr, a.states).count())
+    _report(reports.regional_timeseries(dmr, a.states), a.output, reports.regional_order(), shown=None)
 
 
 def _write_forecast(result, output, run):
@@ -74,15 +80,20 @@ def _write_forecast(result, output, run):
             sinks.write_run(table, f"{output}/{name}", run)
 
 
+def _training(a, default):
+    given = {k: getattr(a, k) for k in TRAINING if getattr(a, k) is not None}
+    return replace(default, **given)
+
+
 def run_daily_forecast(spark, a):
-    result = forecast.daily_forecast(scans.read_dmr(spark, a.dmr), a.parameter)
+    result = forecast.daily_forecast(scans.read_dmr(spark, a.dmr), a.parameter, _training(a, forecast.DAILY))
     _write_forecast(result, a.output, a.run)
 
 
 def run_facility_forecasts(spark, a):
     result = forecast.facility_forecasts(
         scans.read_dmr(spark, a.dmr), scans.read_permits(spark, a.permits), a.state, a.parameter,
-        n=a.n, leak_free=a.leak_free,
+        n=a.n, settings=_training(a, forecast.MONTHLY), leak_free=a.leak_free,
     )
     _write_forecast(result, a.output, a.run)
 
@@ -94,28 +105,34 @@ def run_site_extract(spark, a):
             scans.scan_dmr(spark, a.input, labels),
             scans.scan_facilities(spark, f"{a.input}/ICIS_FACILITIES.csv"),
         )
-        sinks.write_site_json(sites, a.output)
+        sinks.write_sites(sites, a.output)
+        stored = scans.read_sites(spark, a.output)
+        log.info("facilities located: %d", stored.select("npdes").distinct().count())
+        if a.json:
+            sinks.write_site_json(stored, a.json)
 
 
 def run_pollutant_extract(spark, a):
-    pollutants = extracts.pollutant_measurements(scans.read_site_json(spark, a.input))
+    pollutants = extracts.pollutant_measurements(scans.read_sites(spark, a.input))
     sinks.write_pollutant_json(pollutants, a.output)
 
 
 def run_catalogue(spark, a):
-    pollutants = scans.read_pollutant_json(spark, a.input)
+    pollutants = scans.pollutant_folders(spark, a.input)
+    for row in pollutants.groupBy("year").count().orderBy("year").collect():
+        log.info("%s: %d pollutants", row["year"], row["count"])
     sinks.write_table_json(extracts.pollutant_catalogue(pollutants), f"{a.output}/pollutants")
     sinks.write_table_json(extracts.catalogue_years(spark), f"{a.output}/years")
     sinks.write_table_json(extracts.catalogue_states(spark), f"{a.output}/states")
 
 
 def run_names(spark, a):
-    sinks.write_list(extracts.pollutant_names(scans.read_pollutant_json(spark, a.input)), a.output)
+    sinks.write_list(extracts.pollutant_names(scans.pollutant_folders(spark, a.input)), a.output)
 
 
 def run_view(spark, a):
     view = extracts.site_view(
-        scans.read_site_json(spark, a.input), scans.scan_ad_sites(spark, a.ad_sites), a.year,
+        scans.read_sites(spark, a.input), scans.scan_ad_sites(spark, a.ad_sites), a.year,
         state=a.state, pollutant=a.pollutant, ad_mode=a.ad, label_only=a.label_only,
     )
     sinks.write_table_json(view, a.output)
@@ -125,7 +142,9 @@ def run_inspect(spark, a):
     df = spark.read.parquet(a.path)
     df.printSchema()
     if not a.schema:
-        inspector.inspect(df, a.columns, a.filter or (), a.rows).show(a.rows, truncate=40)
+        matching = inspector.inspect(df, a.columns, a.filter or (), rows=None)
+        log.info("matching rows: %d", matching.count())
+        matching.show(a.rows, truncate=40)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -139,6 +158,10 @@ def parser() -> argparse.ArgumentParser:
         p.set_defaults(run_job=run)
         return p
 
+    def training(p):
+        for name, kind in TRAINING.items():
+            p.add_argument(f"--{name}", type=kind)
+
     p = job("ingest-dmr", run_ingest_dmr, "input", "output")
     p.add_argument("--start-year", type=int, required=True)
     p.add_argument("--end-year", type=int, required=True)
@@ -157,18 +180,18 @@ def parser() -> argparse.ArgumentParser:
     p = job("daily-forecast", run_daily_forecast, "dmr", "output")
     p.add_argument("--parameter", default=S.N_PARAM)
     p.add_argument("--run", required=True)
+    training(p)
     p = job("facility-forecasts", run_facility_forecasts, "dmr", "permits", "output")
     p.add_argument("--state", default="OH")
     p.add_argument("--parameter", default=S.N_PARAM)
     p.add_argument("-n", type=int, default=5)
     p.add_argument("--leak-free", action="store_true")
     p.add_argument("--run", required=True)
+    training(p)
 
     p = job("site-extract", run_site_extract, "input", "output")
-    p.add_argument(
-        "--labels", nargs="+",
-        default=scans.labels_for_years(S.CATALOGUE_FIRST_YEAR, S.CATALOGUE_LAST_YEAR),
-    )
+    p.add_argument("--labels", nargs="+", help="labels to take; all that are there by default")
+    p.add_argument("--json", help="folder of a JSON export")
     job("pollutant-extract", run_pollutant_extract, "input", "output")
     job("catalogue", run_catalogue, "input", "output")
     job("pollutant-names", run_names, "input", "output")
@@ -190,4 +213,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     arguments = parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO)
-    arguments.run_job(spark or get_session(f"rillgauge {arguments.job}"), arguments)
+    spark = spark or get_session(f"rillgauge {arguments.job}")
+    try:
+        arguments.run_job(spark, arguments)
+    finally:
+        release(spark)

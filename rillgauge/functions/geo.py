@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def cells_per_degree(threshold: float) -> int:
+    """Whole number of grid cells in a degree, none of them narrower than the threshold."""
+    fitting = math.floor(1 / threshold) if threshold > 0 else 0
+    if fitting < 1:
+        raise ValueError("the threshold must be over 0 and at most 1 degree")
+    return fitting
+
+
 def grid_cell(degrees: Column, threshold: float) -> Column:
     """Index of the nearest grid line, halves rounded up (also below zero)."""
-    return F.floor(degrees * F.lit(round(1 / threshold)) + F.lit(0.5))
+    return F.floor(degrees * F.lit(cells_per_degree(threshold)) + F.lit(0.5))
 
 
 def usable(lat: Column, lon: Column) -> Column:

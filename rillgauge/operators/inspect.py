@@ -32,6 +32,8 @@ def predicate(df: DataFrame, filters: Sequence[Filter]) -> Column:
             raise ValueError(f"no such column: {name}")
         kind = df.schema[name].dataType
         if op in ("in", "not in"):
+            if isinstance(value, str):  # from the command line: values parted by commas
+                value = [v.strip() for v in value.split(",")]
             listed = F.col(name).isin([F.lit(v).cast(kind) for v in value])
             combined = combined & (listed if op == "in" else ~listed)
         elif op in COMPARISONS:

@@ -4,82 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillgauge.functions import clean
-from rillgauge.operators.sizing import broadcast_if_small
 from rillgauge.schemas import EARLY_LABEL
-from rillgauge.session import materialised
 
-PART_ROWS = 100_000
-
-
-def long_groups(rows: DataFrame, keys: Sequence[str], part_rows: int) -> DataFrame:
-    """Blocks of the keys with more than ``part_rows`` rows, each with its part number.
-
-    Rows are counted by key and block, with partial sums before the shuffle, so a
-    key of any size reaches the window as one short row per block.
-    """
-    of_key = Window.partitionBy(*keys)
-    earlier = of_key.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        rows.groupBy(*keys, "block")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            *keys,
-            "block",
-            F.sum("n").over(of_key).alias("total"),
-            F.floor(F.coalesce(F.sum("n").over(earlier), F.lit(0)) / part_rows).alias("part"),
-            (F.max("block").over(of_key) == F.col("block")).alias("is_last"),
-        )
-        .filter(F.col("total") > part_rows)
-        .drop("total")
-    )
-
-
-def _last_units(rows: DataFrame, long: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Unit of the last row of each long key, read from its last block only."""
-    ends = broadcast_if_small(long.filter("is_last").select(*keys, "block"))
-    return (
-        rows.join(ends, [*keys, "block"], "left_semi")
-        .groupBy(*keys)
-        .agg(F.max_by("unit", "pos").alias("key_unit"))
+def year_text(date_text: Column) -> Column:
+    """Year of a valid period date as text, NULL for any other text."""
+    return F.when(
+        clean.to_period_date(date_text).isNotNull(),
+        F.right(date_text, F.lit(4)).cast("int").cast("string"),
     )
 
 
 def nest_measurements(
-    rows: DataFrame,
-    keys: Sequence[str],
-    carried: Sequence[str] = (),
-    part_rows: int = PART_ROWS,
+    rows: DataFrame, keys: Sequence[str], carried: Sequence[str] = (), by_month: bool = False
 ) -> DataFrame:
-    """One record per key with its measurements in source order and its last unit.
+    """One record per key and calendar year with its measurements in source order and its last unit.
 
     Input columns: the keys (not NULL), columns ``carried`` along that are constant
-    within a key, ``date``, ``value``, ``unit``, ``pos`` (source order) and ``block``
-    (a coarse run of consecutive positions, such as an input split).
-
-    A key with more than ``part_rows`` measurements becomes several records, ``part``
-    0, 1, ..., cut between blocks; their arrays joined in part order are the whole
-    list. So no task ever collects more than a part plus a block. The few long keys
-    are found first, by a counting pass; usually there are none and the rows are
-    then shuffled exactly once.
+    within a key, ``date``, ``value``, ``unit`` and ``pos`` (source order).
+
+    Every key is cut by ``cal_year``, a value of the row, so a record is bounded by the
+    calendar, the same data gives the same records however it is split, and rows are shuffled
+    once. ``by_month`` cuts further, for keys reported many times a day: ``part`` is
+    then the month, else 0.
     """
-    long = materialised(long_groups(rows, keys, part_rows), "long_groups")
-    part = F.lit(0).cast("bigint")
-    any_long = not long.isEmpty()
-    if any_long:
-        units = broadcast_if_small(_last_units(rows, long, keys))
-        cuts = broadcast_if_small(long.drop("is_last"))
-        rows = rows.join(cuts, [*keys, "block"], "left")
-        part = F.coalesce("part", part)
+    month = F.month(clean.to_period_date("date")).cast("bigint")
+    cut = [*keys, "cal_year", "part"]
     entry = F.struct("pos", "date", "value", "unit")
     # The lists do not shrink by partial collection: shuffle first, collect once.
-    records = (
-        rows.withColumn("part", part)
-        .repartition(*keys, "part")
-        .groupBy(*keys, "part")
+    return (
+        rows.withColumns(
+            {"cal_year": year_text(F.col("date")), "part": month if by_month else F.lit(0).cast("bigint")}
+        )
+        .repartition(*cut)
+        .groupBy(*cut)
         .agg(
             *[F.max(c).alias(c) for c in carried],
             F.sort_array(F.collect_list(entry)).alias("entries"),
@@ -87,6 +48,7 @@ def nest_measurements(
         .select(
             *keys,
             *carried,
+            "cal_year",
             "part",
             F.element_at("entries", -1)["unit"].alias("unit"),
             F.transform(
@@ -94,55 +56,42 @@ def nest_measurements(
             ).alias("measurements"),
         )
     )
-    if any_long:
-        records = records.join(units, [*keys], "left").withColumn(
-            "unit", F.coalesce("key_unit", "unit")
-        ).drop("key_unit")
-    return records
-
-
-def _year_text(date_text: Column) -> Column:
-    """Year of a valid period date as text, NULL for any other text."""
-    return F.when(
-        clean.to_period_date(date_text).isNotNull(),
-        F.right(date_text, F.lit(4)).cast("int").cast("string"),
-    )
 
 
 def split_by_year(sites: DataFrame) -> DataFrame:
     """Site records by year and pollutant name.
 
-    Records of a yearly label keep their label as the year and pass through.
-    Records of the consolidated early label are split by the year of each
-    measurement and lose their unit. Row-wise: no shuffle, and a record never
-    grows.
+    Records of a yearly label keep their label as the year; those of the consolidated early
+    label take their calendar year and lose their unit. Row-wise, a few columns of each record.
     """
     early = F.col("label") == EARLY_LABEL
-    dated = sites.withColumn(
-        "years",
-        F.when(early, F.transform("measurements", lambda m: _year_text(m["date"]))).otherwise(
-            F.array("label")
-        ),
+    return sites.select(
+        "npdes", "pollutant", F.when(~early, F.col("unit")).alias("unit"), "lat", "lon", "cal_year", "part",
+        "measurements", F.when(early, F.col("cal_year")).otherwise(F.col("label")).alias("year"),
+        clean.safe_name("pollutant").alias("safe_name"),
     )
-    of_year = F.filter("measurements", lambda m, i: F.get("years", i) == F.col("year"))
+
+
+def measurements_of_year(sites: DataFrame, year: str) -> DataFrame:
+    """Records with the measurements dated in a year."""
+    return sites.filter(F.col("cal_year") == year)
+
+
+def one_per_site(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Records of the same site put together: measurements in the order of labels and parts, the last unit."""
+    held = F.sort_array(F.collect_list(F.struct("label", "part", "unit", "measurements")))
     return (
-        dated.withColumn("year", F.explode(F.array_distinct("years")))
-        .filter(F.col("year").isNotNull())
-        .withColumn("measurements", F.when(early, of_year).otherwise(F.col("measurements")))
-        .withColumn("unit", F.when(~early, F.col("unit")))
-        .withColumn("safe_name", clean.safe_name("pollutant"))
+        records.groupBy(*keys)
+        .agg(held.alias("held"), F.max(F.struct("lat", "lon")).alias("place"))
         .select(
-            "npdes", "pollutant", "unit", "lat", "lon", "part", "measurements", "year", "safe_name",
+            *keys,
+            "place.*",
+            F.element_at("held", -1)["unit"].alias("unit"),
+            F.flatten(F.col("held.measurements")).alias("measurements"),
         )
     )
 
 
-def measurements_of_year(sites: DataFrame, year: str) -> DataFrame:
-    """Measurements dated in a year; records left without any are dropped."""
-    kept = F.filter("measurements", lambda m: m["date"].endswith(f"/{year}"))
-    return sites.withColumn("measurements", kept).filter(F.size("measurements") > 0)
-
-
 def sorted_measurements(measurements: str = "measurements") -> Column:
     """Measurements in date order (ties in source order), with the value as a number."""
     keyed = F.transform(

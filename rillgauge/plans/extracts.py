@@ -49,26 +49,20 @@ def valid_measurements(raw_dmr: DataFrame) -> DataFrame:
         (F.coalesce("nodi", F.lit("")) == "")
         & (F.col("value") != "")
         & clean.to_period_date("date").isNotNull()
-    ).select(
-        "label", "npdes", "pollutant", "unit", "date", "value", "pos",
-        F.struct("pos.file", "pos.block").alias("block"),
-    )
+    ).select("label", "npdes", "pollutant", "unit", "date", "value", "pos")
 
 
-def site_measurements(
-    raw_dmr: DataFrame, raw_facilities: DataFrame, part_rows: int = nested.PART_ROWS
-) -> DataFrame:
-    """Nested records by label, state, site and pollutant.
+def site_measurements(raw_dmr: DataFrame, raw_facilities: DataFrame, by_month: bool = False) -> DataFrame:
+    """Nested records by label, state, site, pollutant and calendar year.
 
-    The raw files are parsed once: the valid rows, six short columns of the source's
-    57, are written to the shared folder, counted by key from there and shuffled
-    once into records. The facility lookup, one short row per site, is broadcast
+    The raw files are parsed once, and their valid rows, six short columns of the source's
+    57, are shuffled once into records. The facility lookup, one short row per site, is broadcast
     when it measures small enough.
     """
     lookup = broadcast_if_small(materialised(facility_lookup(raw_facilities), "places"))
-    rows = materialised(valid_measurements(raw_dmr).join(lookup, "npdes"), "rows")
+    rows = valid_measurements(raw_dmr).join(lookup, "npdes")
     keys = ["label", "state", "npdes", "pollutant"]
-    return nested.nest_measurements(rows, keys, ["lat", "lon"], part_rows).select(
+    return nested.nest_measurements(rows, keys, ["lat", "lon"], by_month).select(
         *[f.name for f in S.SITE_RECORD.fields]
     )
 
@@ -120,19 +114,22 @@ def site_view(
     sites: DataFrame, ad_sites: DataFrame, year: str, state: str | None = None,
     pollutant: str | None = None, ad_mode: str = "all", label_only: bool = False,
 ) -> DataFrame:
-    """What the map shows: sites with measurements in a year, classed by proximity.
+    """What the map shows: one row per site and pollutant with its measurements of a year, classed by proximity.
 
-    ``pollutant`` is a safe or display name. ``label_only`` looks only at the file
+    ``sites`` is the stored extract; its partitions are the calendar year and the state. ``pollutant`` is a safe or display name. ``label_only`` looks only at the file
     label of the year, missing measurements of that year kept under another label.
     """
-    scope = sites if state is None else sites.filter(F.col("state") == state)
+    scope = nested.measurements_of_year(sites, year)
+    if state is not None:
+        scope = scope.filter(F.col("state") == state)
     if label_only:
         scope = scope.filter(F.col("label") == clean.label_of_year(F.lit(year)))
-    matched = proximity.matched_ids(scope, ad_sites)
+    matched = proximity.matched_ids(scope.select("npdes", "lat", "lon").distinct(), ad_sites)
     shown = scope
     if pollutant:
         shown = shown.filter(clean.safe_name("pollutant") == clean.safe_name(F.lit(pollutant)))
-    flagged = proximity.with_match_flag(nested.measurements_of_year(shown, year), matched)
+    whole = nested.one_per_site(shown, ["npdes", "pollutant", "state"])
+    flagged = proximity.with_match_flag(whole, matched)
     return (
         proximity.keep_flagged(flagged, ad_mode)
         .withColumn("measurements", nested.sorted_measurements())
@@ -141,5 +138,5 @@ def site_view(
 
 
 def site_count(view: DataFrame) -> DataFrame:
-    """Number of sites shown; a site whose record is cut into parts counts once."""
-    return view.agg(F.count_distinct("npdes", "pollutant").alias("sites"))
+    """Number of sites shown, one a row."""
+    return view.agg(F.count(F.lit(1)).alias("sites"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -15,22 +16,28 @@ from rillgauge import schemas as S
 from rillgauge.functions import clean
 from rillgauge.operators import timeseries as ts
 from rillgauge.plans import reports
-from rillgauge.session import materialised
+from rillgauge.session import materialised, shared_dir
 
 
 @dataclass(frozen=True)
 class Training:
-    """Boosting settings: bounded rounds, and how long the error may stop improving."""
+    """Boosting settings.
 
-    rounds: int = 50
+    Rounds end early when the error on the test rows falls by less than ``tolerance`` of itself from
+    one round to the next.
+    """
+
+    rounds: int = 1000
     rate: float = 0.05
-    patience: int = 10
     depth: int = 6
+    bins: int = 256
+    tolerance: float = 0.001
     seed: int = 42
 
 
-DAILY = Training(rate=0.05, patience=10)
-MONTHLY = Training(rate=0.3, patience=50)
+DAILY = Training(rate=0.05)
+MONTHLY = Training(rate=0.3)
+FITS_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -43,30 +50,13 @@ class Forecast:
     skipped: DataFrame | None = None
 
 
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """Rounds kept by early stopping: the best one before ``patience`` rounds without a better."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def fit(train: DataFrame, test: DataFrame, settings: Training) -> GBTRegressionModel:
-    """Fit with early stopping on the test rows.
-
-    The error curve has one number per round. When the best round is not the
-    last, the model is refitted to that many rounds, which gives its prefix.
-    """
-    booster = GBTRegressor(
-        featuresCol="vector", labelCol="target", stepSize=settings.rate,
-        maxDepth=settings.depth, maxIter=settings.rounds, seed=settings.seed,
-    )
-    model = booster.fit(train)
-    kept = best_round(model.evaluateEachIteration(test, "squared"), settings.patience)
-    return model if kept == settings.rounds else booster.copy({booster.maxIter: kept}).fit(train)
+def fit(rows: DataFrame, settings: Training) -> GBTRegressionModel:
+    """Fit on the rows that are not ``is_test``; the others decide when to stop."""
+    return GBTRegressor(
+        featuresCol="vector", labelCol="target", validationIndicatorCol="is_test", stepSize=settings.rate,
+        maxDepth=settings.depth, maxBins=settings.bins, maxIter=settings.rounds,
+        validationTol=settings.tolerance, seed=settings.seed,
+    ).fit(rows)
 
 
 def _importance(spark: SparkSession, series: str, names: Sequence[str], model) -> DataFrame:
@@ -81,18 +71,23 @@ def train_series(
 ) -> Forecast:
     """One model per listed series over a stored feature table with ``series`` and ``is_test``.
 
-    The list is bounded by the caller's top n, and a series by the calendar, so
-    the loop runs a few fits over small tables.
+    The list is bounded by the caller's top n, and a series by the calendar, so these are a
+    few fits over small tables; independent ones run side by side.
     """
     spark = featured.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     vectors = VectorAssembler(inputCols=list(names), outputCol="vector").transform(featured)
-    predictions, importance = [], []
-    for key in series:
+
+    def one(key: str) -> tuple[DataFrame, DataFrame]:
         rows = vectors.filter(F.col("series") == key)
-        test = rows.filter("is_test")
-        model = fit(rows.filter(~F.col("is_test")), test, settings)
-        predictions.append(model.transform(test).drop("vector", "is_test"))
-        importance.append(_importance(spark, key, names, model))
+        model = fit(rows, settings)
+        scored = model.transform(rows.filter("is_test")).drop("vector", "is_test")
+        return scored, _importance(spark, key, names, model)
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        fitted = list(pool.map(one, series))
+    predictions, importance = [f[0] for f in fitted], [f[1] for f in fitted]
     if not predictions:
         return Forecast()
     scored = reduce(DataFrame.unionByName, predictions).withColumnRenamed("target", "y_test")
@@ -150,15 +145,23 @@ def facility_forecasts(
 
     Permits with too few months are left out and listed in ``skipped`` with the reason.
     """
+    spark = dmr.sparkSession
     rows = dmr if state is None else dmr.filter(F.col("state") == state)
-    ranking = reports.top_facilities_by_load(dmr, permits, state, parameter, f_param, n)
+    ranking = reports.top_facilities_by_load(dmr, reports.reporting_permits(permits, rows), state, parameter, f_param, n)
     top = [r.EXTERNAL_PERMIT_NMBR for r in ranking.collect()]
     if not top:
         return Forecast()
     featured = materialised(
         ts.monthly_features(monthly_series(rows, parameter, top), ["series"], leak_free), "monthly"
     )
-    gates = ts.series_gates(featured, ["series"], ts.MONTHLY_FEATURES, min_points, min_featured)
+    counted = ts.series_gates(featured, ["series"], ts.MONTHLY_FEATURES, min_points, min_featured)
+    # Every ranked permit is either fitted or skipped, one without any month too.
+    ranked = spark.createDataFrame([(k,) for k in top], "series string")
+    gates = ranked.join(counted, "series", "left").select(
+        "series", F.coalesce("points", F.lit(0)).alias("points"),
+        F.coalesce("featured_points", F.lit(0)).alias("featured_points"),
+        F.when(F.col("points").isNull(), F.lit("too few points")).otherwise(F.col("skip_reason")).alias("skip_reason"),
+    )
     ready = ts.split_last(featured.dropna(subset=ts.MONTHLY_FEATURES), ["series"])
     kept = [r.series for r in gates.filter("skip_reason IS NULL").orderBy("series").limit(n).collect()]
     result = train_series(ready, kept, ts.MONTHLY_FEATURES, settings)

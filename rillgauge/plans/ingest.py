@@ -72,23 +72,36 @@ def naics_table(raw: DataFrame) -> DataFrame:
 
 
 def ingest_dmr(
-    spark: SparkSession, input_dir: str, output: str, start_year: int, end_year: int
-) -> int:
-    """Store a range of years; returns the rows written. A re-run replaces them."""
+    spark: SparkSession, input_dir: str, output: str, start_year: int, end_year: int, max_malformed: float = 0.01
+) -> dict[str, int]:
+    """Store a range of years; a re-run replaces them.
+
+    Returns the rows written and the malformed lines, which are left out. More than a share
+    ``max_malformed`` of the lines is an error.
+    """
     present = scans.present_labels(
         spark, input_dir, scans.labels_for_years(start_year, end_year)
     )
     if not present:
-        return 0
-    seen = Observation("dmr")
-    table = dmr_table(scans.scan_dmr(spark, input_dir, present), start_year, end_year)
+        return {"rows": 0, "malformed": 0}
+    seen, read = Observation("dmr"), Observation("lines")
+    # A line break inside the outermost fields leaves the number of fields right, but a quote astray.
+    astray = F.coalesce(F.col(S.DMR_COLUMNS[0]).contains('"') | F.col(S.DMR_COLUMNS[-1]).startswith('"'), F.lit(False))
+    bad = F.col("malformed").isNotNull() | astray
+    lines = scans.scan_dmr(spark, input_dir, present, checked=True).observe(
+        read, F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("malformed")
+    )
+    table = dmr_table(lines.filter(~bad), start_year, end_year)
     sinks.write_partitioned(
         table.observe(seen, F.count(F.lit(1)).alias("rows")),
         output,
         ["year", "state"],
         sort=["PARAMETER_DESC", "EXTERNAL_PERMIT_NMBR"],
     )
-    return seen.get["rows"]
+    malformed = read.get["malformed"]
+    if malformed > max_malformed * read.get["lines"]:
+        raise ValueError(f"{malformed} of {read.get['lines']} lines are malformed")
+    return {"rows": seen.get["rows"], "malformed": malformed}
 
 
 def ingest_facilities(spark: SparkSession, path: str, output: str) -> dict[str, int]:
@@ -99,11 +112,20 @@ def ingest_facilities(spark: SparkSession, path: str, output: str) -> dict[str,
     return seen.get
 
 
-def ingest_permits(spark: SparkSession, path: str, output: str) -> None:
-    table = permit_table(scans.scan_permits(spark, path))
-    sinks.write_partitioned(table, output, ["PERMIT_TYPE_CODE"], sort=["EXTERNAL_PERMIT_NMBR"])
+def _stored(table: DataFrame, output: str, keys: list[str], sort: list[str]) -> int:
+    """Store a table; returns its rows, counted during the write."""
+    seen = Observation()
+    sinks.write_partitioned(table.observe(seen, F.count(F.lit(1)).alias("rows")), output, keys, sort)
+    return seen.get["rows"]
+
+
+def ingest_permits(spark: SparkSession, path: str, output: str) -> int:
+    """Store the permits; returns the rows read."""
+    return _stored(
+        permit_table(scans.scan_permits(spark, path)), output, ["PERMIT_TYPE_CODE"], ["EXTERNAL_PERMIT_NMBR"]
+    )
 
 
-def ingest_naics(spark: SparkSession, path: str, output: str) -> None:
-    table = naics_table(scans.scan_naics(spark, path))
-    sinks.write_partitioned(table, output, ["state"], sort=["NPDES_ID"])
+def ingest_naics(spark: SparkSession, path: str, output: str) -> int:
+    """Store the industry codes; returns the rows read."""
+    return _stored(naics_table(scans.scan_naics(spark, path)), output, ["state"], ["NPDES_ID"])

@@ -62,7 +62,7 @@ def industry_load(
     """
     if primary_only:
         naics = naics.filter(F.col("PRIMARY_INDICATOR_FLAG") == "Y")
-    sectors = naics.select("NPDES_ID", "NAICS_DESC").distinct()
+    sectors = permit_sectors(naics)
     by_permit = paired.roll_up(
         paired.paired_totals(dmr.filter(F.col("year") == year), p, reported_only=False),
         [p.entity],
@@ -80,6 +80,11 @@ def industry_order() -> list[Column]:
     return [F.col("total_annual_load_kg").desc(), F.col("NAICS_DESC")]
 
 
+def paired_rows(dmr: DataFrame, states: Sequence[str], p: Pairing = Pairing()) -> DataFrame:
+    """The rows of both parameters in the states: what the regional series is made from."""
+    return dmr.filter(F.col("state").isin(list(states)) & F.col(p.parameter).isin(p.n_param, p.f_param))
+
+
 def regional_timeseries(dmr: DataFrame, states: Sequence[str], p: Pairing = Pairing()) -> DataFrame:
     """Total load and pair count by year and state."""
     totals = paired.paired_totals_by(
@@ -97,6 +102,21 @@ def regional_order() -> list[Column]:
     return [F.col("state"), F.col("year")]
 
 
+def reporting_permits(permits: DataFrame, dmr: DataFrame) -> DataFrame:
+    """Permit rows of the permits that report, before anything is computed from them."""
+    return permits.join(dmr.select("EXTERNAL_PERMIT_NMBR"), "EXTERNAL_PERMIT_NMBR", "left_semi")
+
+
+def distinct_permits(dmr: DataFrame) -> DataFrame:
+    """The permits that report, each once."""
+    return dmr.select("EXTERNAL_PERMIT_NMBR").distinct()
+
+
+def permit_sectors(naics: DataFrame) -> DataFrame:
+    """Each sector of each permit once."""
+    return naics.select("NPDES_ID", "NAICS_DESC").distinct()
+
+
 def top_facilities_by_load(
     dmr: DataFrame, permits: DataFrame, state: str | None, n_param: str, f_param: str, n: int,
 ) -> DataFrame:

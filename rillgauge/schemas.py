@@ -133,6 +133,7 @@ SITE_RECORD = T.StructType(
         T.StructField("unit", T.StringType()),
         T.StructField("lat", T.DoubleType()),
         T.StructField("lon", T.DoubleType()),
+        T.StructField("cal_year", T.StringType()),
         T.StructField("part", T.LongType()),
         T.StructField("measurements", T.ArrayType(MEASUREMENT)),
         T.StructField("label", T.StringType()),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SCRATCH: list[str] = []
+
+
 def get_session(app: str) -> SparkSession:
     """Session for a submitted job; memory and parallelism come from submit-time settings."""
     return (
@@ -19,24 +21,26 @@ def get_session(app: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints.
-
-    A temporary folder of this machine is used only by a local master that
-    names none; a cluster without the setting is an error.
-    """
+    """The folder the session names for checkpoints; all executors must share it."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="rillgauge-")
-    spark.conf.set("spark.checkpoint.dir", named)
     return named
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/rillgauge-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark).rstrip('/')}/rillgauge-{uuid.uuid4().hex}"
+    _SCRATCH.append(folder)
+    return f"{folder}/{name}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the scratch folders of this process; frames that read them must be done with."""
+    jvm = spark.sparkContext._jvm
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialised(df: DataFrame, name: str = "table") -> DataFrame:

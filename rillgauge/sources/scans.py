@@ -14,7 +14,7 @@ log = logging.getLogger(__name__)
 
 
 # Fixed value: name pattern of the measurement files; a yearly one carries "FY".
-LABEL_PATTERN = r"NPDES_DMRS_(?:FY)?(PREFY2009|[0-9]{4})\.csv"
+LABEL_PATTERN = r"(?:^|/)NPDES_DMRS_(?:FY([0-9]{4})|(PREFY2009))\.csv(?:/|$)"
 
 
 def _csv(spark: SparkSession, schema):
@@ -42,7 +42,8 @@ def source_pos() -> Column:
 
 def file_label(path: Column) -> Column:
     """Label in a measurement path: ``PREFY2009`` or a fiscal year, NULL for other files."""
-    return F.nullif(F.regexp_extract(path, LABEL_PATTERN, 1), F.lit(""))
+    found = F.concat(F.regexp_extract(path, LABEL_PATTERN, 1), F.regexp_extract(path, LABEL_PATTERN, 2))
+    return F.nullif(found, F.lit(""))
 
 
 def labels_for_years(start_year: int, end_year: int) -> list[str]:
@@ -57,24 +58,41 @@ def source_path(input_dir: str, label: str) -> str:
     return f"{input_dir.rstrip('/')}/NPDES_DMRS_{stem}.csv"
 
 
-def present_labels(spark: SparkSession, input_dir: str, labels: list[str]) -> list[str]:
+def present_labels(spark: SparkSession, input_dir: str, labels: list[str] | None = None) -> list[str]:
     """Requested labels that have a source; the others are reported and skipped.
 
-    Lists names only, no content is read, and only the distinct labels come back.
+    Without a request, every label that is there. A source is a file right in the folder with the
+    exact name, or a folder of that name with files right in it. Lists names
+    only, no content is read, and only the distinct labels come back.
     """
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(input_dir)
-    found = listing.select(file_label(F.col("path")).alias("label")).distinct()
+    label = file_label(F.col("path"))
+    early = label == S.EARLY_LABEL
+    name = F.concat(F.lit("NPDES_DMRS_"), F.when(early, label).otherwise(F.concat(F.lit("FY"), label)), F.lit(".csv"))
+    parts = F.split("path", "/")
+    at = F.array_position(parts, name).cast("int")
+    folder = input_dir.rstrip("/").rsplit("/", 1)[-1]
+    direct = (F.try_element_at(parts, at - 1) == folder) & (F.size(parts) - at <= 1)
+    found = listing.where(label.isNotNull() & (at > 1)).where(direct).select(label.alias("label")).distinct()
     present = {row.label for row in found.collect()}
+    if labels is None:
+        return sorted(present, key=lambda x: (x != S.EARLY_LABEL, x))
     for label in labels:
         if label not in present:
             log.warning("no measurement file for %s, skipped", label)
     return [label for label in labels if label in present]
 
 
-def scan_dmr(spark: SparkSession, input_dir: str, labels: list[str]) -> DataFrame:
-    """All requested measurement sources in one scan, with label and row position."""
+def scan_dmr(spark: SparkSession, input_dir: str, labels: list[str], checked: bool = False) -> DataFrame:
+    """All requested measurement sources in one scan, with label and row position.
+
+    ``checked`` adds ``malformed``: the text of a line with another number of fields, such as one half of
+    a record with a line break in it; NULL for good lines.
+    """
+    names = [*S.DMR_COLUMNS, *(["malformed"] if checked else [])]
     return (
-        _csv(spark, S.text_schema(S.DMR_COLUMNS))
+        _csv(spark, S.text_schema(names))
+        .option("columnNameOfCorruptRecord", "malformed")
         .csv([source_path(input_dir, label) for label in labels])
         .select(
             "*",
@@ -130,6 +148,22 @@ def read_naics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.NAICS_TABLE).parquet(path)
 
 
+def read_sites(spark: SparkSession, path: str) -> DataFrame:
+    """Stored site extract; filters on ``cal_year`` and ``state`` choose folders."""
+    return spark.read.schema(S.SITE_RECORD).parquet(path)
+
+
+def pollutant_folders(spark: SparkSession, path: str) -> DataFrame:
+    """``year`` and ``safe_name`` of the stored pollutant folders, from a listing; no content is read."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+
+    def named(key: str) -> Column:
+        text = F.regexp_extract("path", f"/{key}=([^/]*)/", 1)
+        return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+    return listing.select(named("year").alias("year"), named("safe_name").alias("safe_name")).distinct()
+
+
 def read_site_json(
     spark: SparkSession, path: str, label: str | None = None, states: list[str] | None = None
 ) -> DataFrame:

@@ -15,14 +15,28 @@ def balanced(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
+FILE_BYTES = 512 << 20
+
+
 def write_partitioned(
-    df: DataFrame, path: str, keys: list[str], sort: list[str] | None = None
+    df: DataFrame, path: str, keys: list[str], sort: list[str] | None = None, file_bytes: int = FILE_BYTES
 ) -> None:
     """Hive-partitioned Parquet; a re-run replaces exactly the folders it writes.
 
     Sorting inside each file by the columns queries filter on lets Parquet skip
-    row groups.
+    row groups. ``file_bytes`` of shuffled rows make a file, so that a large table does not become
+    very many small ones; a folder with fewer is one file.
     """
+    conf, name = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = conf.get(name)
+    conf.set(name, str(file_bytes))
+    try:
+        _write_partitioned(df, path, keys, sort)
+    finally:
+        conf.set(name, before)
+
+
+def _write_partitioned(df: DataFrame, path: str, keys: list[str], sort: list[str] | None) -> None:
     (
         balanced(df, keys)
         .sortWithinPartitions(*keys, *(sort or []))
@@ -46,6 +60,11 @@ def write_nested_json(df: DataFrame, path: str, keys: list[str]) -> None:
     )
 
 
+def write_sites(sites: DataFrame, path: str) -> None:
+    """The site extract as a table by calendar year and state."""
+    write_partitioned(sites, path, ["cal_year", "state"], sort=["npdes", "pollutant"])
+
+
 def write_site_json(sites: DataFrame, path: str) -> None:
     write_nested_json(sites, path, ["label", "state"])
 

@@ -47,8 +47,8 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     run("hotspots", dmr, facilities, tmp_path / "none", "--year", "2001")
 
     sites, pollutants = tmp_path / "sites", tmp_path / "pollutants"
-    run("site-extract", raw, sites)
-    assert len(read_json(sites / "label=2023" / "state=OH")) == 2
+    run("site-extract", raw, sites, "--json", tmp_path / "export")
+    assert len(read_json(tmp_path / "export" / "label=2023" / "state=OH")) == 2
     run("pollutant-extract", sites, pollutants)
     run("catalogue", pollutants, tmp_path / "menu")
     menu = [r["filename"] for r in read_json(tmp_path / "menu" / "pollutants")]
@@ -60,3 +60,5 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     capsys.readouterr()
     run("inspect", dmr, "-c", "state", "PARAMETER_DESC", "-f", "year", "=", "1999", "-n", 5)
     assert "A/B" in capsys.readouterr().out
+    run("inspect", dmr, "-c", "state", "-f", "state", "in", "TX, ZZ")
+    assert "OH" not in capsys.readouterr().out.split("state")[-1]

@@ -25,7 +25,7 @@ def raw(tmp_path):
 
 def test_dmr_ingest(spark, raw, tmp_path):
     output = str(tmp_path / "dmr")
-    assert ingest.ingest_dmr(spark, str(raw), output, 2000, 2024) == 6
+    assert ingest.ingest_dmr(spark, str(raw), output, 2000, 2024) == {"rows": 6, "malformed": 0}
     table = scans.read_dmr(spark, output)
     found = {
         (r.year, r.state, r.cal_year, r.label): r.n
@@ -55,8 +55,17 @@ def test_ingest_again_replaces(spark, raw, tmp_path):
 
 
 def test_absent_files_are_skipped(spark, raw, tmp_path):
-    assert scans.present_labels(spark, str(raw), ["2022", "2023"]) == ["2023"]
-    assert ingest.ingest_dmr(spark, str(raw), str(tmp_path / "none"), 2011, 2012) == 0
+    (raw / "archive").mkdir()
+    good = (raw / "NPDES_DMRS_FY2023.csv").read_text()
+    for name in ("archive/NPDES_DMRS_FY2015.csv", "NPDES_DMRS_2016.csv", "NPDES_DMRS_FY2017.csv.bak", "xNPDES_DMRS_FY2018.csv"):
+        (raw / name).write_text(good)
+    (raw / "NPDES_DMRS_FY2026.csv").mkdir()
+    (raw / "NPDES_DMRS_FY2026.csv" / "part-0.csv").write_text(good)
+    wanted = [str(y) for y in range(2015, 2024)]
+    assert scans.present_labels(spark, str(raw), wanted) == ["2023"]
+    assert scans.present_labels(spark, str(raw)) == ["PREFY2009", "2023", "2026"]
+    assert scans.scan_dmr(spark, str(raw), ["2023", "2026"]).count() == 6
+    assert ingest.ingest_dmr(spark, str(raw), str(tmp_path / "none"), 2011, 2012)["rows"] == 0
 
 
 def test_scan_orders_rows_and_reads_label_folders(spark, tmp_path):
@@ -142,11 +151,7 @@ def test_hot_folder_is_split_over_tasks(spark, tmp_path):
         F.md5(F.col("id").cast("string")).alias("text"),
         F.when(F.col("id") % 20 == 0, F.lit("TX")).otherwise(F.lit("OH")).alias("state"),
     )
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
-    try:
-        sinks.write_partitioned(df.repartition(8), str(tmp_path / "t"), ["state"], sort=["text"])
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sinks.write_partitioned(df.repartition(8), str(tmp_path / "t"), ["state"], sort=["text"], file_bytes=200_000)
     files = {s: len(list((tmp_path / "t" / f"state={s}").glob("part-*"))) for s in ("OH", "TX")}
     assert files["OH"] >= 4 and files["TX"] == 1
     assert spark.read.parquet(str(tmp_path / "t")).count() == 60_000
@@ -185,3 +190,48 @@ def test_runs_are_kept_apart(spark, rows, tmp_path):
     sinks.write_run(rows("x int", (3,)), path, "a")
     stored = spark.read.schema("x int, run string").parquet(path).collect()
     assert sorted((r.run, r.x) for r in stored) == [("a", 3), ("b", 2)]
+
+
+def test_malformed_lines_are_counted(spark, raw, tmp_path):
+    path = raw / "NPDES_DMRS_FY2022.csv"
+    write_csv(path, S.DMR_COLUMNS, [reading("OH1", N, "10/31/2021", str(i)) for i in range(20)])
+    extra = ",".join(["x"] * (len(S.DMR_COLUMNS) + 3))
+    broken = ",".join(['"a\nb"', *["y"] * (len(S.DMR_COLUMNS) - 1)])
+    path.write_bytes(path.read_bytes() + f"OH1,two\n{extra}\n{broken}\n".encode())
+    found = ingest.ingest_dmr(spark, str(raw), str(tmp_path / "dmr"), 2022, 2022, max_malformed=0.5)
+    assert found == {"rows": 20, "malformed": 4}
+    with pytest.raises(ValueError, match="malformed"):
+        ingest.ingest_dmr(spark, str(raw), str(tmp_path / "dmr"), 2022, 2022)
+
+
+def test_bad_bytes_are_replaced(spark, raw, tmp_path):
+    path = raw / "NPDES_DMRS_FY2022.csv"
+    write_csv(path, S.DMR_COLUMNS, [reading("OH1", "caf?", "10/31/2021", "1")])
+    path.write_bytes(path.read_bytes().replace(b"caf?", b"caf\xe9"))
+    assert ingest.ingest_dmr(spark, str(raw), str(tmp_path / "dmr"), 2022, 2022)["rows"] == 1
+    assert scans.read_dmr(spark, str(tmp_path / "dmr")).first().PARAMETER_DESC == "caf\ufffd"
+
+
+def test_counts_of_permits_and_codes(spark, tmp_path):
+    write_csv(tmp_path / "naics.csv", S.NAICS_COLUMNS, [{"NPDES_ID": "OH1"}, {"NPDES_ID": "TX1"}])
+    assert ingest.ingest_naics(spark, str(tmp_path / "naics.csv"), str(tmp_path / "naics")) == 2
+
+
+def test_measured_bytes_sees_nested_text(spark):
+    from rillgauge.operators.sizing import measured_bytes
+
+    df = spark.range(100).select(F.struct(F.lit("x" * 500).alias("t")).alias("s"), F.array(F.lit("y" * 300)).alias("a"))
+    assert measured_bytes(df) > 80_000
+    assert measured_bytes(spark.createDataFrame([(None, None)], "s struct<t:string>, a array<string>")) > 0
+
+
+def test_shared_folder_is_required(spark):
+    from rillgauge import session
+
+    named = spark.conf.get("spark.checkpoint.dir")
+    path = session.scratch_path(spark, "t")
+    spark.range(1).write.parquet(path)
+    assert path.startswith(named)
+    session.release(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

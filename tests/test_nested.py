@@ -66,31 +66,31 @@ def test_site_records(spark, tmp_path):
     ]
 
 
-def test_hot_keys_are_cut_into_parts(spark):
-    """One key holds a third of the rows; parts stay small and join to the whole list."""
+@pytest.mark.parametrize("by_month", [False, True])
+def test_hot_keys_are_cut_by_calendar(spark, by_month):
+    """One key holds a third of the rows; records hold one year or month, whatever the partitions."""
     rnd = random.Random(5)
     data = [
-        ("hot" if i % 3 == 0 else f"k{rnd.randrange(60)}", f"{i % 12 + 1}/1/2020", str(i), f"u{i}", i, i // 20)
+        ("hot" if i % 3 == 0 else f"k{rnd.randrange(60)}", f"{i % 12 + 1}/1/{2000 + i % 7}", str(i), f"u{i}", i)
         for i in range(3000)
     ]
     rnd.shuffle(data)
-    rows = spark.createDataFrame(data, "npdes string, date string, value string, unit string, pos int, block int")
-    limit = 100
-    records = nested.nest_measurements(rows, ["npdes"], part_rows=limit).collect()
-    by_key = {}
-    for r in sorted(records, key=lambda r: (r.npdes, r.part)):
-        by_key.setdefault(r.npdes, []).append(r)
-    assert [r.part for r in by_key["hot"]] == list(range(10))
-    for key, parts in by_key.items():
-        expected = sorted((d for d in data if d[0] == key), key=lambda d: d[4])
-        assert [m.value for r in parts for m in r.measurements] == [d[2] for d in expected]
-        assert all(len(r.measurements) < limit + 20 for r in parts)
-        assert {r.unit for r in parts} == {expected[-1][3]}
-    assert all(len(parts) == 1 for key, parts in by_key.items() if key != "hot")
+    rows = spark.createDataFrame(data, "npdes string, date string, value string, unit string, pos int")
+    kept = []
+    for parts in (1, 13):
+        records = nested.nest_measurements(rows.repartition(parts), ["npdes"], by_month=by_month).collect()
+        kept.append({(r.npdes, r.cal_year, r.part): ([m.value for m in r.measurements], r.unit) for r in records})
+        assert len(kept[-1]) == len(records)
+    expected = {}
+    for key, date, value, unit, pos in sorted(data, key=lambda d: d[4]):
+        month, _, year = date.split("/")
+        values, _ = expected.get((key, year, int(month) if by_month else 0), ([], None))
+        expected[key, year, int(month) if by_month else 0] = ([*values, value], unit)
+    assert kept == [expected, expected]
 
 
 def site(npdes, pollutant, label, measurements, unit="mg/L", lat=40.0, lon=-80.0, state="OH"):
-    return (npdes, pollutant, unit, lat, lon, 0, measurements, label, state)
+    return (npdes, pollutant, unit, lat, lon, measurements[0][0][-4:], 0, measurements, label, state)
 
 
 def sites_frame(spark, *sites):
@@ -100,9 +100,9 @@ def sites_frame(spark, *sites):
 def test_split_by_year(spark):
     sites = sites_frame(
         spark,
-        site("A", "x/y, z", "PREFY2009", [("01/31/1999", "1"), ("bad", "9"), ("1/31/2001", "2"), ("02/28/1999", "3")]),
+        site("A", "x/y, z", "PREFY2009", [("01/31/1999", "1"), ("02/28/1999", "3")]),
+        site("A", "x/y, z", "PREFY2009", [("1/31/2001", "2")]),
         site("A", "x/y, z", "2010", [("10/31/2009", "4")]),
-        site("B", "", "PREFY2009", [("bad", "1")]),
     )
     found = {(r.year, r.npdes, r.unit, r.safe_name): [m.value for m in r.measurements]
              for r in extracts.pollutant_measurements(sites).collect()}
@@ -119,7 +119,7 @@ def test_catalogue_and_lists(spark, tmp_path):
         site("A", "A/B", "2020", [("01/31/2020", "1")]),
         site("B", "A-B", "2020", [("01/31/2020", "1")]),
         site("B", "Nitrogen, total [as N]", "2021", [("01/31/2021", "1")]),
-        site("C", "Old, one", "PREFY2009", [("01/31/0099", "1")]),
+        site("C", "Old, one", "PREFY2009", [("01/31/99", "1")]),
     )
     pollutants = extracts.pollutant_measurements(sites)
     catalogue = [tuple(r) for r in extracts.pollutant_catalogue(pollutants).collect()]
@@ -162,7 +162,9 @@ def test_json_round_trip(spark, tmp_path):
 def test_site_view(spark):
     sites = sites_frame(
         spark,
-        site("A", "x, y", "2022", [("12/31/2021", "2"), ("11/30/2021", "1"), ("01/31/2022", "3")]),
+        site("A", "x, y", "2022", [("12/31/2021", "2"), ("11/30/2021", "1")], unit="ug/L"),
+        site("A", "x, y", "2022", [("01/31/2022", "3")]),
+        site("A", "x, y", "2021", [("01/31/2021", "5"), ("12/31/2021", "6")]),
         site("A", "other", "2022", [("12/31/2021", "2")]),
         site("B", "x, y", "2021", [("01/31/2021", "7")], lat=41.0),
         site("C", "x, y", "2021", [("01/31/2021", "7")], lat=0.0, state="TX"),
@@ -176,13 +178,42 @@ def test_site_view(spark):
 
     found = view()
     assert set(found) == {"A", "B", "C"}
-    assert [(m.date, m.value) for m in found["A"].measurements] == [("11/30/2021", 1.0), ("12/31/2021", 2.0)]
+    assert [(m.date, m.value) for m in found["A"].measurements] == [
+        ("01/31/2021", 5.0), ("11/30/2021", 1.0), ("12/31/2021", 6.0), ("12/31/2021", 2.0),
+    ]
+    assert found["A"].unit == "ug/L"
     assert (found["A"].is_ad, found["A"].site_class, found["B"].is_ad) == (True, "Anaerobic Digestion", False)
     assert (found["C"].is_ad, found["C"].on_map) == (False, False)
     assert set(view(ad_mode="only")) == {"A"}
     assert set(view(ad_mode="exclude")) == {"B", "C"}
     assert set(view(state="TX")) == {"C"}
-    assert set(view(label_only=True)) == {"B", "C"}
+    assert set(view(label_only=True)) == {"A", "B", "C"}
+    assert len(view(label_only=True)["A"].measurements) == 2
     with pytest.raises(ValueError):
         view(ad_mode="some")
     assert extracts.site_count(extracts.site_view(sites, ads, "2021")).first().sites == 4
+
+
+def test_view_reads_the_folders_of_its_year(spark, tmp_path):
+    sites = sites_frame(
+        spark,
+        site("A", "x", "2022", [("12/31/2021", "2")]), site("A", "x", "2021", [("01/31/2021", "1")]),
+        site("B", "x", "2020", [("01/31/2020", "1")], state="TX"),
+    )
+    path = str(tmp_path / "sites")
+    sinks.write_sites(sites, path)
+    ads = spark.createDataFrame([(40.005, -80.005)], "lat double, lon double")
+    view = extracts.site_view(scans.read_sites(spark, path), ads, "2021", state="OH")
+    assert [(r.npdes, len(r.measurements)) for r in view.collect()] == [("A", 2)]
+    plan = view._jdf.queryExecution().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line and "cal_year" in line]
+    assert filters and all("= 2021" in line and "= OH" in line for line in filters)
+
+
+def test_pollutant_folders_come_from_the_listing(spark, tmp_path):
+    names = ["a+b%", "x [as N]", "Nitrogen_total", "p:q"]
+    sites = sites_frame(spark, *(site("A", n, "2020", [("01/31/2020", "1")]) for n in names))
+    sinks.write_pollutant_json(extracts.pollutant_measurements(sites), str(tmp_path / "p"))
+    found = scans.pollutant_folders(spark, str(tmp_path / "p"))
+    stored = scans.read_pollutant_json(spark, str(tmp_path / "p")).select("year", "safe_name").distinct()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, stored.collect()))

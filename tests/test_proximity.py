@@ -16,8 +16,8 @@ def brute_force(sites, ads, t=0.01):
     }
 
 
-def matches(spark, sites, ads):
-    found = proximity.matched_ids(spark.createDataFrame(sites, SITE), spark.createDataFrame(ads, AD))
+def matches(spark, sites, ads, t=0.01):
+    found = proximity.matched_ids(spark.createDataFrame(sites, SITE), spark.createDataFrame(ads, AD), threshold=t)
     return [r.npdes for r in found.collect()]
 
 
@@ -47,6 +47,21 @@ def test_equals_brute_force(spark, seed, span, digits):
     assert set(found) == brute_force(sites, ads)
 
 
+@pytest.mark.parametrize("t", [0.003, 0.015, 0.03, 0.3, 0.6, 1.0])
+def test_any_threshold(spark, t):
+    rnd = random.Random(int(t * 1000))
+    sites = [(f"s{i}", 10 + rnd.uniform(-3, 3) * t, 20 + rnd.uniform(-3, 3) * t) for i in range(200)]
+    ads = [(10 + rnd.uniform(-3, 3) * t, 20 + rnd.uniform(-3, 3) * t) for _ in range(12)]
+    sites += [(f"e{i}", a[0] - 0.9994 * t, a[1]) for i, a in enumerate(ads)]
+    assert set(matches(spark, sites, ads, t)) == brute_force(sites, ads, t)
+
+
+def test_threshold_must_fit_a_degree(spark):
+    for t in (0.0, -1.0, 1.5):
+        with pytest.raises(ValueError):
+            matches(spark, [("s", 1.0, 1.0)], [(1.0, 1.0)], t)
+
+
 def test_crowded_cell_shrinks(spark):
     """Many locations in one cell: only its outline takes part in the join."""
     rnd = random.Random(9)
