@@ -18,6 +18,7 @@ readings AS (
          value < 300 AS reported
   FROM events)
 """
+READINGS_2024 = READINGS.replace("FROM events)", "FROM events WHERE day(ts) % 3 <> 0)")
 
 
 def load_by_key(spark, sf_dir):
@@ -50,7 +51,7 @@ def by_entity(spark, sf_dir):
 
 
 BY_ENTITY = f"""
-WITH {READINGS},
+WITH {READINGS_2024},
 loads AS (
   SELECT n.permit, n.v * f.v * 3.78541 AS load
   FROM readings n JOIN readings f ON n.permit = f.permit AND n.day = f.day
@@ -69,12 +70,12 @@ def top_entities(spark, sf_dir):
         t.dmr_from_events(spark, sf_dir),
         t.facilities_from_customer(spark, sf_dir),
         "2024",
-        rows=reports.PREVIEW_ROWS,
+        rows=reports.HOTSPOT_ROWS,
     )
 
 
 TOP_ENTITIES = (
-    BY_ENTITY.replace(", permit\nFROM", "\nFROM") + " ORDER BY mean DESC, permit LIMIT 50"
+    BY_ENTITY.replace(", permit\nFROM", "\nFROM") + " ORDER BY mean DESC, permit LIMIT 200"
 )
 
 
@@ -85,7 +86,7 @@ def by_sector(spark, sf_dir):
 
 
 BY_SECTOR = f"""
-WITH {READINGS},
+WITH {READINGS_2024},
 sectors AS (
   SELECT DISTINCT c_custkey::VARCHAR AS permit, unnest([c_mktsegment, n_name]) AS sector
   FROM customer JOIN nation ON c_nationkey = n_nationkey)

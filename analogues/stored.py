@@ -14,6 +14,7 @@ from analogues.case import Case
 from rillgauge import schemas as S
 from rillgauge.functions import clean
 from rillgauge.operators import inspect as inspector
+from rillgauge.operators import timeseries as ts
 from rillgauge.plans import extracts, forecast, ingest, reports
 from rillgauge.session import scratch_path
 from rillgauge.sources import scans, sinks
@@ -265,13 +266,10 @@ FROM orders
 def daily_model_rows(spark, sf_dir):
     """Feature rows and split of the daily forecast, before any fit."""
     table = forecast.daily_model_table(_daily_dmr(spark, sf_dir), S.N_PARAM)
+    places = {name: 4 for name in ts.DAILY_FEATURES if name.startswith(("lag", "rolling"))}
     return table.select(
-        F.col("bucket"),
-        F.round("target", 4).alias("target"),
-        F.round("lag_7", 4).alias("lag_7"),
-        F.round("rolling_mean_30", 4).alias("rolling_mean_30"),
-        "month_day_interaction",
-        "is_test",
+        "bucket", F.round("target", 4).alias("target"),
+        *(F.round(n, places[n]).alias(n) if n in places else F.col(n) for n in ts.DAILY_FEATURES), "is_test",
     )
 
 
@@ -293,16 +291,32 @@ filled AS (
            ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
   FROM spine LEFT JOIN daily USING (bucket)),
 featured AS (
-  SELECT bucket, value AS target, lag(value, 7) OVER w AS lag_7,
+  SELECT bucket, value AS target,
+         lag(value, 1) OVER w AS lag_1,
+         lag(value, 2) OVER w AS lag_2,
+         lag(value, 3) OVER w AS lag_3,
+         lag(value, 4) OVER w AS lag_4,
+         lag(value, 5) OVER w AS lag_5,
+         lag(value, 6) OVER w AS lag_6,
+         lag(value, 7) OVER w AS lag_7,
+         lag(value, 1) OVER w - lag(value, 2) OVER w AS lag_1_diff,
+         avg(value) OVER (ORDER BY bucket ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS rolling_mean_3,
+         avg(value) OVER (ORDER BY bucket ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_mean_7,
+         stddev_samp(value) OVER (ORDER BY bucket ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS rolling_std_7,
          avg(value) OVER (ORDER BY bucket ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS rolling_mean_30,
-         row_number() OVER w AS rn,
+         (isodow(bucket) - 1)::INTEGER AS day_of_week, weekofyear(bucket)::INTEGER AS week_of_year,
+         month(bucket)::INTEGER AS month,
+       row_number() OVER w AS rn,
          (dense_rank() OVER (
             ORDER BY month(bucket)::VARCHAR || '_' || (isodow(bucket) - 1)::VARCHAR) - 1)::INTEGER
            AS month_day_interaction
   FROM filled WINDOW w AS (ORDER BY bucket)),
 complete AS (SELECT * FROM featured WHERE rn > 30)
-SELECT bucket, round(target, 4) AS target, round(lag_7, 4) AS lag_7,
-       round(rolling_mean_30, 4) AS rolling_mean_30, month_day_interaction,
+SELECT bucket, round(target, 4) AS target,
+       round(lag_1, 4) AS lag_1, round(lag_2, 4) AS lag_2, round(lag_3, 4) AS lag_3, round(lag_4, 4) AS lag_4,
+       round(lag_5, 4) AS lag_5, round(lag_6, 4) AS lag_6, round(lag_7, 4) AS lag_7,
+       round(rolling_mean_7, 4) AS rolling_mean_7, round(rolling_std_7, 4) AS rolling_std_7, round(rolling_mean_3, 4) AS rolling_mean_3, round(rolling_mean_30, 4) AS rolling_mean_30, round(lag_1_diff, 4) AS lag_1_diff,
+       day_of_week, week_of_year, month, month_day_interaction,
        row_number() OVER (ORDER BY bucket) > floor(0.8::DOUBLE * count(*) OVER ()) AS is_test
 FROM complete
 """

@@ -58,7 +58,7 @@ def _position(source: str, block: Column, row: Column) -> Column:
 
 
 def dmr_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings of 2024: below 1 is reported as ``<1``, 300 and above as missing."""
+    """Readings under one label: below 1 is reported as ``<1``, 300 and above as missing; every third day is of 2023."""
     value = F.col("value").cast("string")
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("EXTERNAL_PERMIT_NMBR"),
@@ -70,7 +70,7 @@ def dmr_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" "), value).alias("DMR_VALUE_NMBR"),
         F.when(F.col("value") < 50, F.lit("mg/L")).otherwise(F.lit("ug/L")).alias("DMR_UNIT_DESC"),
         F.when(F.col("value") > 200, F.lit("C")).otherwise(F.lit(" ")).alias("NODI_CODE"),
-        F.lit("2024").alias("year"),
+        F.when(F.dayofmonth("ts") % 3 == 0, F.lit("2023")).otherwise(F.lit("2024")).alias("year"),
         F.lit("2024").alias("label"),
         _position("events", F.expr("event_id div 65536"), F.col("event_id")).alias("source_pos"),
     )
