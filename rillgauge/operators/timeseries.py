@@ -84,14 +84,15 @@ def interaction_code(keys: Sequence[str]) -> Column:
 
 
 # Feature names, in model order.
-DAILY_FEATURES = """
-lag_1 lag_2 lag_3 lag_4 lag_5 lag_6 lag_7 rolling_mean_7 rolling_std_7
-rolling_mean_3 rolling_mean_30 lag_1_diff day_of_week week_of_year month
-month_day_interaction
-""".split()
-MONTHLY_FEATURES = """
-month year quarter lag_1 lag_3 lag_12 rolling_mean_3 rolling_std_3 rolling_mean_12
-""".split()
+DAILY_FEATURES = [
+    "lag_1", "lag_2", "lag_3", "lag_4", "lag_5", "lag_6", "lag_7", "rolling_mean_7",
+    "rolling_std_7", "rolling_mean_3", "rolling_mean_30", "lag_1_diff", "day_of_week",
+    "week_of_year", "month", "month_day_interaction",
+]
+MONTHLY_FEATURES = [
+    "month", "year", "quarter", "lag_1", "lag_3", "lag_12", "rolling_mean_3", "rolling_std_3",
+    "rolling_mean_12",
+]
 
 
 def monthly_features(months: DataFrame, keys: Sequence[str], leak_free: bool = False) -> DataFrame:

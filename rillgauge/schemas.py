@@ -10,42 +10,41 @@ from pyspark.sql import types as T
 
 # The published column order of each source file. Names are
 # applied by position and the header line is skipped.
-DMR_COLUMNS = """
-ACTIVITY_ID EXTERNAL_PERMIT_NMBR VERSION_NMBR PERM_FEATURE_ID PERM_FEATURE_NMBR
-PERM_FEATURE_TYPE_CODE LIMIT_SET_ID LIMIT_SET_DESIGNATOR LIMIT_SET_SCHEDULE_ID
-LIMIT_ID LIMIT_BEGIN_DATE LIMIT_END_DATE NMBR_OF_SUBMISSION NMBR_OF_REPORT
-PARAMETER_CODE PARAMETER_DESC MONITORING_LOCATION_CODE STAY_TYPE_CODE
-LIMIT_VALUE_ID LIMIT_VALUE_TYPE_CODE LIMIT_VALUE_NMBR LIMIT_UNIT_CODE
-LIMIT_UNIT_DESC STANDARD_UNIT_CODE STANDARD_UNIT_DESC LIMIT_VALUE_STANDARD_UNITS
-STATISTICAL_BASE_CODE STATISTICAL_BASE_TYPE_CODE LIMIT_VALUE_QUALIFIER_CODE
-OPTIONAL_MONITORING_FLAG LIMIT_SAMPLE_TYPE_CODE LIMIT_FREQ_OF_ANALYSIS_CODE
-STAY_VALUE_NMBR LIMIT_TYPE_CODE DMR_EVENT_ID MONITORING_PERIOD_END_DATE
-DMR_SAMPLE_TYPE_CODE DMR_FREQ_OF_ANALYSIS_CODE REPORTED_EXCURSION_NMBR
-DMR_FORM_VALUE_ID VALUE_TYPE_CODE DMR_VALUE_ID DMR_VALUE_NMBR DMR_UNIT_CODE
-DMR_UNIT_DESC DMR_VALUE_STANDARD_UNITS DMR_VALUE_QUALIFIER_CODE
-VALUE_RECEIVED_DATE DAYS_LATE NODI_CODE EXCEEDENCE_PCT NPDES_VIOLATION_ID
-VIOLATION_CODE RNC_DETECTION_CODE RNC_DETECTION_DATE RNC_RESOLUTION_CODE
-RNC_RESOLUTION_DATE
-""".split()
-
-FACILITY_COLUMNS = """
-ICIS_FACILITY_INTEREST_ID NPDES_ID FACILITY_UIN FACILITY_TYPE_CODE FACILITY_NAME
-LOCATION_ADDRESS SUPPLEMENTAL_ADDRESS_TEXT CITY COUNTY_CODE STATE_CODE ZIP
-GEOCODE_LATITUDE GEOCODE_LONGITUDE IMPAIRED_WATERS
-""".split()
-
-PERMIT_COLUMNS = """
-ACTIVITY_ID EXTERNAL_PERMIT_NMBR VERSION_NMBR FACILITY_TYPE_INDICATOR
-PERMIT_TYPE_CODE MAJOR_MINOR_STATUS_FLAG PERMIT_STATUS_CODE
-TOTAL_DESIGN_FLOW_NMBR ACTUAL_AVERAGE_FLOW_NMBR STATE_WATER_BODY
-STATE_WATER_BODY_NAME PERMIT_NAME AGENCY_TYPE_CODE ORIGINAL_ISSUE_DATE
-ISSUE_DATE ISSUING_AGENCY EFFECTIVE_DATE EXPIRATION_DATE RETIREMENT_DATE
-TERMINATION_DATE PERMIT_COMP_STATUS_FLAG DMR_NON_RECEIPT_FLAG RNC_TRACKING_FLAG
-MASTER_EXTERNAL_PERMIT_NMBR TMDL_INTERFACE_FLAG EDMR_AUTHORIZATION_FLAG
-PRETREATMENT_INDICATOR_CODE RAD_WBD_HUC12S
-""".split()
-
-NAICS_COLUMNS = "NPDES_ID NAICS_CODE NAICS_DESC PRIMARY_INDICATOR_FLAG".split()
+DMR_COLUMNS = [
+    "ACTIVITY_ID", "EXTERNAL_PERMIT_NMBR", "VERSION_NMBR", "PERM_FEATURE_ID", "PERM_FEATURE_NMBR",
+    "PERM_FEATURE_TYPE_CODE", "LIMIT_SET_ID", "LIMIT_SET_DESIGNATOR", "LIMIT_SET_SCHEDULE_ID",
+    "LIMIT_ID", "LIMIT_BEGIN_DATE", "LIMIT_END_DATE", "NMBR_OF_SUBMISSION", "NMBR_OF_REPORT",
+    "PARAMETER_CODE", "PARAMETER_DESC", "MONITORING_LOCATION_CODE", "STAY_TYPE_CODE",
+    "LIMIT_VALUE_ID", "LIMIT_VALUE_TYPE_CODE", "LIMIT_VALUE_NMBR", "LIMIT_UNIT_CODE",
+    "LIMIT_UNIT_DESC", "STANDARD_UNIT_CODE", "STANDARD_UNIT_DESC", "LIMIT_VALUE_STANDARD_UNITS",
+    "STATISTICAL_BASE_CODE", "STATISTICAL_BASE_TYPE_CODE", "LIMIT_VALUE_QUALIFIER_CODE",
+    "OPTIONAL_MONITORING_FLAG", "LIMIT_SAMPLE_TYPE_CODE", "LIMIT_FREQ_OF_ANALYSIS_CODE",
+    "STAY_VALUE_NMBR", "LIMIT_TYPE_CODE", "DMR_EVENT_ID", "MONITORING_PERIOD_END_DATE",
+    "DMR_SAMPLE_TYPE_CODE", "DMR_FREQ_OF_ANALYSIS_CODE", "REPORTED_EXCURSION_NMBR",
+    "DMR_FORM_VALUE_ID", "VALUE_TYPE_CODE", "DMR_VALUE_ID", "DMR_VALUE_NMBR", "DMR_UNIT_CODE",
+    "DMR_UNIT_DESC", "DMR_VALUE_STANDARD_UNITS", "DMR_VALUE_QUALIFIER_CODE", "VALUE_RECEIVED_DATE",
+    "DAYS_LATE", "NODI_CODE", "EXCEEDENCE_PCT", "NPDES_VIOLATION_ID", "VIOLATION_CODE",
+    "RNC_DETECTION_CODE", "RNC_DETECTION_DATE", "RNC_RESOLUTION_CODE", "RNC_RESOLUTION_DATE",
+]
+
+FACILITY_COLUMNS = [
+    "ICIS_FACILITY_INTEREST_ID", "NPDES_ID", "FACILITY_UIN", "FACILITY_TYPE_CODE", "FACILITY_NAME",
+    "LOCATION_ADDRESS", "SUPPLEMENTAL_ADDRESS_TEXT", "CITY", "COUNTY_CODE", "STATE_CODE", "ZIP",
+    "GEOCODE_LATITUDE", "GEOCODE_LONGITUDE", "IMPAIRED_WATERS",
+]
+
+PERMIT_COLUMNS = [
+    "ACTIVITY_ID", "EXTERNAL_PERMIT_NMBR", "VERSION_NMBR", "FACILITY_TYPE_INDICATOR",
+    "PERMIT_TYPE_CODE", "MAJOR_MINOR_STATUS_FLAG", "PERMIT_STATUS_CODE", "TOTAL_DESIGN_FLOW_NMBR",
+    "ACTUAL_AVERAGE_FLOW_NMBR", "STATE_WATER_BODY", "STATE_WATER_BODY_NAME", "PERMIT_NAME",
+    "AGENCY_TYPE_CODE", "ORIGINAL_ISSUE_DATE", "ISSUE_DATE", "ISSUING_AGENCY", "EFFECTIVE_DATE",
+    "EXPIRATION_DATE", "RETIREMENT_DATE", "TERMINATION_DATE", "PERMIT_COMP_STATUS_FLAG",
+    "DMR_NON_RECEIPT_FLAG", "RNC_TRACKING_FLAG", "MASTER_EXTERNAL_PERMIT_NMBR",
+    "TMDL_INTERFACE_FLAG", "EDMR_AUTHORIZATION_FLAG", "PRETREATMENT_INDICATOR_CODE",
+    "RAD_WBD_HUC12S",
+]
+
+NAICS_COLUMNS = ["NPDES_ID", "NAICS_CODE", "NAICS_DESC", "PRIMARY_INDICATOR_FLAG"]
 
 # Columns held as numbers once stored.
 FACILITY_NUMBERS = ("GEOCODE_LATITUDE", "GEOCODE_LONGITUDE")
@@ -64,11 +63,12 @@ CATALOGUE_FIRST_YEAR = 1983
 CATALOGUE_LAST_YEAR = 2025
 
 # State and territory codes of the selection menu.
-STATE_CODES = """
-AK AL AR AS AZ CA CO CT DC DE FL GA GU HI IA ID IL IN KS KY LA MA MD ME MI MN MO
-MP MS MT NC ND NE NH NJ NM NV NY OH OK OR PA PR RI SC SD TN TX UT VA VI VT WA WI
-WV WY
-""".split()
+STATE_CODES = [
+    "AK", "AL", "AR", "AS", "AZ", "CA", "CO", "CT", "DC", "DE", "FL", "GA", "GU", "HI", "IA", "ID",
+    "IL", "IN", "KS", "KY", "LA", "MA", "MD", "ME", "MI", "MN", "MO", "MP", "MS", "MT", "NC", "ND",
+    "NE", "NH", "NJ", "NM", "NV", "NY", "OH", "OK", "OR", "PA", "PR", "RI", "SC", "SD", "TN", "TX",
+    "UT", "VA", "VI", "VT", "WA", "WI", "WV", "WY",
+]
 
 
 def text_schema(columns: list[str]) -> T.StructType:
