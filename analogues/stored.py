@@ -315,7 +315,9 @@ complete AS (SELECT * FROM featured WHERE rn > 30)
 SELECT bucket, round(target, 4) AS target,
        round(lag_1, 4) AS lag_1, round(lag_2, 4) AS lag_2, round(lag_3, 4) AS lag_3, round(lag_4, 4) AS lag_4,
        round(lag_5, 4) AS lag_5, round(lag_6, 4) AS lag_6, round(lag_7, 4) AS lag_7,
-       round(rolling_mean_7, 4) AS rolling_mean_7, round(rolling_std_7, 4) AS rolling_std_7, round(rolling_mean_3, 4) AS rolling_mean_3, round(rolling_mean_30, 4) AS rolling_mean_30, round(lag_1_diff, 4) AS lag_1_diff,
+       round(rolling_mean_7, 4) AS rolling_mean_7, round(rolling_std_7, 4) AS rolling_std_7,
+       round(rolling_mean_3, 4) AS rolling_mean_3,
+       round(rolling_mean_30, 4) AS rolling_mean_30, round(lag_1_diff, 4) AS lag_1_diff,
        day_of_week, week_of_year, month, month_day_interaction,
        row_number() OVER (ORDER BY bucket) > floor(0.8::DOUBLE * count(*) OVER ()) AS is_test
 FROM complete

@@ -116,8 +116,9 @@ def site_view(
 ) -> DataFrame:
     """What the map shows: one row per site and pollutant with its measurements of a year, classed by proximity.
 
-    ``sites`` is the stored extract; its partitions are the calendar year and the state. ``pollutant`` is a safe or display name. ``label_only`` looks only at the file
-    label of the year, missing measurements of that year kept under another label.
+    ``sites`` is the stored extract; its partitions are the calendar year and the state.
+    ``pollutant`` is a safe or display name. ``label_only`` looks only at the file label of the
+    year, missing measurements of that year kept under another label.
     """
     scope = nested.measurements_of_year(sites, year)
     if state is not None:
