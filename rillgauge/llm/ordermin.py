@@ -7,8 +7,9 @@ the bag of words alone. Texts that share a key are candidates; a candidate pair
 distance of its words, found in a band around the diagonal, is at most a fifth of the longer text.
 
 Exact copies are one class from the start and take part as one text. The texts of a key are not
-paired with each other: each is compared with the key's leader, and only those that the leader does not reach get
-leaders of their own, which are compared with all texts of the key that are in other components.
+all paired with each other: each is compared with a leader first. Where a key still holds several components, the texts
+outside its largest one take turns, more in each round, in being compared with all texts of the key in other components. So
+every candidate pair is either compared or already connected.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ SIMILARITY = 0.8
 SLICE_BYTES = 2 << 20
 COLUMNS = 65_536  # shingles hashed at once
 CANDIDATE_BYTES = 64 << 20  # up to this measured size the candidates' ids are broadcast
+BINS = 64  # classes of words whose counts bound an edit distance from below
+SINGLE_ROUNDS = 3  # rounds of one pair per text, before turns are taken
+FIRST_TURN = 16  # texts of a key that take their turn in the first round; each round has so many times more
 NO_ID = -(1 << 63)  # stands for a null id inside
 _ODD = mixed(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64))
 _TIMES, _PLUS = _ODD[:SKETCHES, None] | np.uint64(1), _ODD[SKETCHES:, None]
@@ -131,6 +135,23 @@ def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
     return edit_distance(a, b, int(longest * (1 - least) + 1e-9)) is not None
 
 
+def _profiles(texts: DataFrame) -> DataFrame:
+    """(``key``, ``bins``): how many words of the text fall into each of ``BINS`` classes of word hashes."""
+
+    def run(batches):
+        for batch in batches:
+            for part in row_slices(batch, 1, SLICE_BYTES):
+                bins = [
+                    np.bincount((word_hashes(t.encode()) % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype(np.int32)
+                    for t in part.column(1).to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(bins, pa.list_(pa.int32()))], names=["key", "bins"]
+                )
+
+    return texts.select("key", "text").mapInArrow(run, "key bigint, bins array<int>")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose texts are similar."""
     second = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
@@ -171,19 +192,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for part in row_slices(batch, 1, SLICE_BYTES):
                 texts = [t.encode() for t in part.column(1).to_pylist()]
                 digests = [sha256(b" ".join(t.split())).digest() for t in texts]
+                words = [len(t.split()) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(digests, pa.binary()), pa.array(sketches(texts), pa.list_(pa.int64()))],
-                    names=["key", "digest", "keys"],
+                    [
+                        part.column(0), pa.array(digests, pa.binary()), pa.array(words, pa.int64()),
+                        pa.array(sketches(texts), pa.list_(pa.int64())),
+                    ],
+                    names=["key", "digest", "words", "keys"],
                 )
 
-    found = materialised(source.mapInArrow(run, "key bigint, digest binary, keys array<bigint>"), "sketches")
+    found = materialised(source.mapInArrow(run, "key bigint, digest binary, words bigint, keys array<bigint>"), "sketches")
     firsts = found.groupBy("digest").agg(F.min("key").alias("copy"))
     member = materialised(found.select("key", "digest").join(firsts, "digest").select("key", "copy", "digest"), "copies")
 
     only = member.select(F.col("copy").alias("key"), "digest").distinct()
-    exploded = (
-        found.join(only, ["key", "digest"], "left_semi").select("key", F.explode("keys").alias("bucket")).distinct()
-    )
+    exploded = found.join(only, ["key", "digest"], "left_semi").select("key", "words", F.explode("keys").alias("bucket"))
     shared = exploded.groupBy("bucket").agg(F.min("key").alias("lead"), F.max("key").alias("top")).where("lead != top")
     buckets = materialised(exploded.join(shared.select("bucket", "lead"), "bucket"), "buckets")
     candidates = broadcast_if_small(materialised(buckets.select("key").distinct(), "candidates"), CANDIDATE_BYTES)
@@ -191,40 +214,78 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         source.join(candidates, "key", "left_semi").groupBy("key").agg(F.min("text").alias("text")), "texts"
     )
 
-    # First each text against one leader, then what that leaves unconnected.
+    profiles = materialised(_profiles(texts), "profiles")
+
+    # First each text against one leader, which connects most of them.
     pairs = buckets.where("key != lead").groupBy(F.col("key").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
     tested = materialised(pairs, "pairs")
     links = materialised(_verified(tested, texts), "links")
-    open_rows = buckets.select("bucket", "key", F.lit(True).alias("open"))
+    roots = materialised(components(links), "roots")
+    state, leaders = buckets.select("bucket", "key", "words", F.lit(False).alias("led")), FIRST_TURN
+    single = SINGLE_ROUNDS
     while True:
-        roots = materialised(components(links), "roots")
-        known = open_rows.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
-            "root", F.coalesce("root", "key")
+        # Texts outside their key's largest component are compared with all texts in other components.
+        known = state.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        parts = known.groupBy("bucket", "root").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(~F.col("led")).alias("waiting"), F.min("key").alias("low")
         )
-        leads = known.groupBy("bucket").agg(
-            F.min(F.when(F.col("open"), F.struct("key", "root"))).alias("lead"),
-            F.min("root").alias("low"), F.max("root").alias("high"),
-        ).where("low != high AND lead IS NOT NULL")
-        open_rows = materialised(
-            known.join(leads.select("bucket", "lead.*").toDF("bucket", "lead", "lead_root"), "bucket"), "open"
+        mains = (
+            parts.groupBy("bucket").agg(F.max(F.struct("n", "root", "waiting", "low")).alias("most"), F.sum("waiting").alias("waiting"))
+            .where("waiting > most.waiting").select("bucket", F.col("most.root").alias("main"), F.col("most.low").alias("low"))
         )
-        if open_rows.isEmpty():
+        rows = materialised(known.join(mains, "bucket"), "rows")
+        if rows.isEmpty():
             break
+        if single:
+            # At first each text meets one text of one key's largest component: as many pairs as texts.
+            single -= 1
+            pairs = (
+                rows.where("root != main").groupBy("key").agg(F.min("low").alias("low"))
+                .select(F.least("key", "low").alias("a"), F.greatest("key", "low").alias("b")).distinct()
+                .join(tested, ["a", "b"], "left_anti")
+            )
+            pairs = materialised(pairs, "pairs")
+            tested = tested.unionByName(pairs)
+            more = materialised(_verified(pairs, texts), "links")
+            if more.isEmpty():
+                single = 0
+            else:
+                roots = materialised(_joined(roots, more), "roots")
+            state = rows.select("bucket", "key", "words", "led")
+            continue
+        turn = Window.partitionBy("bucket").orderBy("key")
+        leads = materialised(
+            rows.where("root != main AND NOT led").withColumn("n", F.row_number().over(turn)).where(F.col("n") <= leaders)
+            .select("bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root"), F.col("words").alias("lead_words")),
+            "leads",
+        )
+        near = F.least("words", "lead_words") >= F.greatest("words", "lead_words") * SIMILARITY - 1e-9
+        # Each edit changes a bin's count by one at most, in either direction.
+        more, fewer = (
+            F.expr(f"aggregate(zip_with(bins, lead_bins, (x, y) -> greatest({d}, 0)), 0, (s, x) -> s + x)")
+            for d in ("x - y", "y - x")
+        )
+        near &= F.greatest(more, fewer) <= F.greatest("words", "lead_words") * (1 - SIMILARITY) + 1e-9
+        leading = leads.join(profiles.select(F.col("key").alias("lead"), F.col("bins").alias("lead_bins")), "lead")
         pairs = (
-            open_rows.where("root != lead_root")
+            rows.join(profiles, "key").join(leading, "bucket").where((F.col("root") != F.col("lead_root")) & near)
             .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
             .join(tested, ["a", "b"], "left_anti")
         )
         pairs = materialised(pairs, "pairs")
         tested = tested.unionByName(pairs)
-        links = links.unionByName(materialised(_verified(pairs, texts), "links"))
-        # The leader is done; whatever is connected with it by now needs no leader in this bucket.
-        open_rows = open_rows.select(
-            "bucket", "key",
-            (F.col("open") & (F.col("key") != F.col("lead")) & (F.col("root") != F.col("lead_root"))).alias("open"),
+        more = materialised(_verified(pairs, texts), "links")
+        if not more.isEmpty():
+            roots = materialised(_joined(roots, more), "roots")
+        done = leads.select("bucket", F.col("lead").alias("key"), F.lit(True).alias("done"))
+        state = rows.drop("root", "main", "low").join(done, ["bucket", "key"], "left").select(
+            "bucket", "key", "words", (F.col("led") | F.col("done").isNotNull()).alias("led")
         )
+        leaders *= FIRST_TURN
 
-    roots = components(links.unionByName(_repeated(member)))
+    repeated = materialised(_repeated(member), "repeated")
+    if not repeated.isEmpty():
+        roots = materialised(_joined(roots, repeated), "roots")
     rows = member.join(roots.select(F.col("node").alias("copy"), "root"), "copy", "left").withColumn(
         "root", F.coalesce("root", "copy")
     )
@@ -241,6 +302,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The roots after more links: only the components that these connect are worked on."""
+    new = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(roots, "node", "left_anti")
+    every = materialised(roots.unionByName(new.select("node", F.col("node").alias("root"))), "roots")
+
+    def root_of(name: str) -> DataFrame:
+        return every.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+
+    between = links.join(root_of("a"), "a").join(root_of("b"), "b").select(
+        F.col("root_a").alias("a"), F.col("root_b").alias("b")
+    )
+    moved = materialised(components(materialised(between.where("a != b").distinct(), "between")), "moved")
+    return every.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select(
+        "node", F.coalesce("to", "root").alias("root")
+    )
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class with all its columns: that with the class's id.
 
