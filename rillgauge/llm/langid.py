@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from rillgauge.llm.common import ready, row_slices
 
 SAMPLE_DOCS = 400  # labelled documents of a language in the sample, at most
-SAMPLE_SYMBOLS = 200_000  # symbols of all samples together, at most; shared evenly by the languages
+SAMPLE_SYMBOLS = 120_000  # symbols of all samples together, at most; shared evenly by the languages
 ALPHABET = 62  # different letters that are told apart, at most; the others break a phrase
 BLOCK = 1024
 SLICE_BYTES = 4 << 20
@@ -111,14 +111,16 @@ def build(samples: dict[str, list[str]]) -> Model:
     width = len(symbols) + 1
     tables, roots, bits, base = [], [], [], 0
     for name in languages:
-        automaton = suffix_automaton([symbols.get(int(c), OTHER) for c in rows[name]])
+        automaton = suffix_automaton([symbols.get(c, OTHER) for c in rows[name].tolist()])
         table = np.full((len(automaton), width), -1, dtype=np.int32)
         for state, to in enumerate(automaton):
             for c, target in to.items():
                 if c != OTHER:
                     table[state, c] = target * width + base
+        del automaton  # its dictionaries are larger than the table
         begun = np.where(table[0] >= 0, table[0], base)
-        tables.append(np.where(table >= 0, table, ~begun[None, :]).ravel())
+        np.copyto(table, ~begun[None, :], where=table < 0)
+        tables.append(table.ravel())
         roots.append(base)
         bits.append(np.log2(max(2, len(rows[name]))))
         base += table.size
