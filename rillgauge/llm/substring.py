@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from rillgauge.llm.common import pieces_for, ready, whole_text
 
-CHUNK_BYTES = 16 << 20  # of text in a chunk, about; grows with the square root of the corpus
+CHUNK_BYTES = 8 << 20  # of text in a chunk, about; grows with the square root of the corpus
 BUCKET_BYTES = 24 << 20  # of text whose windows fall into a bucket, about
 SLICE_BYTES = 1 << 20
 _BASE, _WINDOW_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd, so that they have inverses modulo 2**64
