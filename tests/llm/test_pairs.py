@@ -96,17 +96,18 @@ def test_near_duplicates(spark):
     assert ordermin.near_duplicates(none).count() == 0 and ordermin.drop_near_duplicates(none).count() == 0
 
 
-def test_leaders_reach_what_the_first_one_does_not(spark, monkeypatch):
-    """Three texts of one key in a row, of which only neighbours are similar, and an outsider."""
+def test_chains_and_outsiders(spark):
+    """Chains of texts of which only neighbours are similar, and texts that share a passage with all of them."""
     base = prose(3, 100).split()
-    far = base[:40] + [f"b{i}" for i in range(18)] + base[58:]
-    further = far[:62] + [f"c{i}" for i in range(18)] + far[80:]
-    other = base[:40] + [f"d{i}" for i in range(60)]
-    rows = [(i, " ".join(w)) for i, w in enumerate([base, far, further, other])]
-    monkeypatch.setattr(ordermin, "sketches", lambda texts: [np.array([1], dtype=np.int64) for _ in texts])
-    docs = spark.createDataFrame([(k + 1 if k else 1, t) for k, t in rows], "doc_id bigint, text string")
-    got = {r.doc_id: r.class_id for r in ordermin.near_duplicates(docs).collect()}
-    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+    chain = [base]
+    for i in range(5):
+        at = 15 * i
+        chain.append(chain[-1][:at] + [f"s{i}w{j}" for j in range(15)] + chain[-1][at + 15 :])
+    others = [base[:40] + [f"o{i}w{j}" for j in range(60)] for i in range(12)]
+    rows = [(i + 1, " ".join(w)) for i, w in enumerate([*chain, *others])]
+    got = {r.doc_id: r.class_id for r in ordermin.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert not ordermin.similar(chain[0], chain[-1])
+    assert got == {i: 1 if i <= 6 else i for i in range(1, 19)}
 
 
 @pytest.mark.parametrize("values", [covertree.BLOCK_VALUES, 20 * 6])
