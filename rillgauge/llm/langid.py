@@ -175,10 +175,16 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL"
     )
-    drawn = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+    # The draw is among distinct hashes, without the texts; at most SAMPLE_DOCS of a language come back.
+    keyed = rows.withColumn("mark", F.xxhash64("text"))
+    drawn = Window.partitionBy("lang").orderBy("mark")
+    picked = (
+        keyed.select("lang", "mark").distinct().withColumn("n", F.row_number().over(drawn))
+        .where(F.col("n") <= SAMPLE_DOCS).select("lang", "mark")
+    )
     sample = (
-        rows.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= SAMPLE_DOCS)
-        .select("lang", F.substring("text", 1, SAMPLE_SYMBOLS).alias("text"))
+        keyed.join(F.broadcast(picked), ["lang", "mark"], "left_semi").groupBy("lang", "mark")
+        .agg(F.min("text").alias("text")).select("lang", F.substring("text", 1, SAMPLE_SYMBOLS).alias("text"))
     )
     found: dict[str, list[str]] = {}
     for row in sample.toLocalIterator():
