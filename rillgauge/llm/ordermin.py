@@ -1,11 +1,15 @@
 """Near duplicates by order MinHash and banded alignment.
 
-A text's shingles of five words are labelled with their number of occurrence. Under each of ``SKETCHES`` hash functions
+A text's shingles of three words are labelled with their number of occurrence. Under each of ``SKETCHES`` hash functions
 the ``ORDERED`` smallest labelled shingles are taken, and their sequence in the order of the text is a key: two texts
 share a key when they hold the same rare shingles in the same order, which follows their edit similarity and not
 the bag of words alone. Texts that share a key are candidates; a candidate pair is linked when the edit
 distance of its words, found in a band around the diagonal, is at most a fifth of the longer text.
 
+Texts too short for hashing have exact keys, so that no link between them is missed. With ``k`` edits, two texts have the same
+words in the same order but for ``k`` words of the longer one: up to ``WORDWISE`` words, every such choice of words is a key.
+Up to ``GRAMWISE`` words, every run of ``GRAM`` words is a key, since as many edits as a link allows leave one run unbroken.
+
 Exact copies are one class from the start and take part as one text. The texts of a key are not
 all paired with each other: each is compared with a leader first. Where a key still holds several components, the texts
 outside its largest one take turns, more in each round, in being compared with all texts of the key in other components. So
@@ -15,6 +19,7 @@ every candidate pair is either compared or already connected.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +32,13 @@ from rillgauge.llm.substring import hashed, mixed, windows, word_hashes
 from rillgauge.operators.sizing import broadcast_if_small
 from rillgauge.session import materialised
 
-SHINGLE = 5
-SKETCHES = 48
-ORDERED = 3
+SHINGLE = 3
+SKETCHES = 96
+ORDERED = 2
 SIMILARITY = 0.8
+WORDWISE = 15  # words of the longer text of a pair, up to which choices of words are keys
+GRAMWISE = 40  # and up to which runs of GRAM words are; from WORDWISE + 1 words on, a link leaves one unbroken
+GRAM = 4
 SLICE_BYTES = 2 << 20
 COLUMNS = 65_536  # shingles hashed at once
 CANDIDATE_BYTES = 64 << 20  # up to this measured size the candidates' ids are broadcast
@@ -74,22 +82,44 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def allowed(longer: int) -> int:
+    """Edits that a link may have when its longer text has so many words."""
+    return int(longer * (1 - SIMILARITY) + 1e-9)
+
+
+def choices(words: np.ndarray) -> np.ndarray:
+    """Keys of a short text: the choices of its words that every linked text of up to ``WORDWISE`` words has one of."""
+    lengths = {longer - allowed(longer) for longer in range(len(words), WORDWISE + 1)}
+    out = []
+    for n in sorted(x for x in lengths if x <= len(words)):
+        chosen = words[np.array(list(combinations(range(len(words)), n)))]
+        key = np.full(len(chosen), n, dtype=np.uint64)
+        for i in range(n):
+            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + chosen[:, i])
+        out.append(key)
+    return np.unique(np.concatenate(out))
+
+
 def sketches(texts: list[bytes]) -> list[np.ndarray]:
-    """Keys of each text; a text of fewer words than a shingle is one shingle, one without words has no key."""
+    """Keys of each text; one without words has no key."""
     hashes, counts = hashed(texts)
     every, at = windows(hashes, counts, SHINGLE)
+    grams, gram_at = windows(hashes, counts, GRAM)
     ends = np.cumsum(counts)
     starts = ends - counts
     first, last = np.searchsorted(at, starts), np.searchsorted(at, ends)
+    first_gram, last_gram = np.searchsorted(gram_at, starts), np.searchsorted(gram_at, ends)
     out = []
     for i, n in enumerate(counts.tolist()):
-        if n >= SHINGLE:
-            out.append(sketch(every[first[i] : last[i]]))
-        elif n:
-            own = hashes[starts[i] : ends[i]]
-            out.append(sketch(mixed(np.array([own @ np.arange(1, 2 * n, 2, dtype=np.uint64)], dtype=np.uint64))))
-        else:
-            out.append(np.empty(0, dtype=np.int64))
+        keys = [np.empty(0, dtype=np.int64)]
+        if 0 < n <= WORDWISE:
+            keys.append(choices(hashes[starts[i] : ends[i]]).view(np.int64))
+        # A text has a link with a longer one of up to n / SIMILARITY words, so it takes part from fewer words on.
+        if WORDWISE + 1 - allowed(WORDWISE + 1) <= n <= GRAMWISE:
+            keys.append(mixed(np.unique(grams[first_gram[i] : last_gram[i]])).view(np.int64))
+        if n >= GRAMWISE + 1 - allowed(GRAMWISE + 1):
+            keys.append(sketch(every[first[i] : last[i]]))
+        out.append(np.concatenate(keys))
     return out
 
 

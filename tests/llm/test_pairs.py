@@ -63,6 +63,43 @@ def test_sketch_keeps_order():
     assert 0 < (ordermin.sketch(twice) == same).sum() < len(same)
 
 
+def edited(rng, words, edits, even):
+    """The words with so many of them replaced, evenly or anywhere, or for short texts also left out."""
+    at = (np.arange(edits) * len(words) // max(1, edits)) if even else rng.choice(len(words), edits, replace=False)
+    out = list(words)
+    for i in at.tolist():
+        out[i] = f"e{rng.integers(0, 1 << 40)}" if len(words) > 60 or rng.random() < 0.7 else None
+    return [w for w in out if w is not None]
+
+
+@pytest.mark.parametrize("even", [False, True])
+def test_links_share_a_key(even):
+    """Planted links at 0.80 to 0.90: all of short texts have a common key, and nearly all of longer ones."""
+    rng = np.random.default_rng(11)
+    for lengths, least in ((range(5, 41), 1.0), (range(41, 121, 4), 0.98 if even else 0.999), (range(200, 601, 40), 0.98 if even else 0.999)):
+        found = total = 0
+        for n in lengths:
+            for rate in (0.2, 0.18, 0.15, 0.1):
+                for _ in range(8):
+                    a = [f"v{x}" for x in rng.integers(0, 5000, n)]
+                    b = edited(rng, a, max(1, int(n * rate + 1e-9)), even)
+                    assert ordermin.similar(a, b)
+                    x, y = ordermin.sketches([" ".join(a).encode(), " ".join(b).encode()])
+                    total += 1
+                    found += bool(np.intersect1d(x, y).size)
+        assert found >= least * total, (lengths, found, total)
+
+
+def test_planted_links_are_found(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for i, n in enumerate([5, 6, 7, 9, 10, 12, 15, 16, 19, 20, 24, 30, 40, 41, 60, 150, 300, 600]):
+        words = [f"t{i}w{x}" for x in range(n)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(edited(rng, words, n // 5, n % 2 == 0)))]
+    got = ordermin.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {k: k - k % 2 for k, _ in rows}
+
+
 def near_rows():
     rng = np.random.default_rng(7)
     rows = []
