@@ -3,7 +3,7 @@
 A tokenizer's vocabulary packs several characters of ordinary words and names into a token and
 hardly more than one and a half of a random key. So every long run of key characters is
 encoded, and a run with few characters per token is reported, unless it is a digest, a
-UUID or a plain identifier. Each text is scanned whole, where it is read; there is no shuffle.
+UUID or plain numbers. Each text is scanned whole, where it is read; there is no shuffle.
 """
 
 from __future__ import annotations
@@ -37,9 +37,6 @@ DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 KNOWN = re.compile(r"[0-9/_=+-]+")
-NAME = re.compile(r"[A-Za-z]*[0-9]{0,4}|[0-9]+")  # one part of an identifier
-HUMP = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-HUMP_LETTERS = 2.5  # mean letters of an identifier's words; random letters change case more often
 
 
 class Efficiency:
@@ -78,14 +75,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def excluded(run: str) -> bool:
-    """A digest, a UUID, an identifier or plain numbers."""
-    if KNOWN.fullmatch(run) or UUID.fullmatch(run) or len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run):
-        return True
-    parts = re.split(r"[/_=+-]+", run)
-    if not all(NAME.fullmatch(p) for p in parts) or any(c.isdigit() for c in run) and max(map(len, parts)) >= RUN:
-        return False
-    humps = HUMP.findall(run)
-    return bool(humps) and sum(map(len, humps)) >= HUMP_LETTERS * len(humps)
+    """A digest, a UUID or plain numbers."""
+    return bool(KNOWN.fullmatch(run) or UUID.fullmatch(run) or len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run))
 
 
 def all_spans(text: str, efficiency: Efficiency) -> list[tuple[int, int, int]]:

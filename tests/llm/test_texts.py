@@ -195,6 +195,40 @@ def test_secrets(odd, empty, spark):
     assert secrets.find_secrets(empty, *ARGS[1:]).count() == 0
 
 
+@pytest.fixture(scope="module")
+def efficiency():
+    return secrets.Efficiency(*ARGS[1:])
+
+
+NAMES = [
+    "some_long_identifier_name_here2", "getElementsByTagNameNS", "AbstractSingletonProxyFactoryBean", "internationalization",
+    "/internal/service/configuration/production/credentials/", "com/path/users/documents/download/files/",
+]
+
+
+def test_random_letters_and_groups(efficiency):
+    import random
+    import string
+
+    rng = random.Random(8)
+
+    def some(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    makers = [
+        lambda: some(string.ascii_lowercase, 32), lambda: some(string.ascii_uppercase, 32),
+        lambda: "-".join(some(string.ascii_uppercase, 5) for _ in range(5)),
+        lambda: "-".join(some(string.ascii_lowercase, 4) + some(string.digits, 4) for _ in range(4)),
+    ]
+    for make in makers:
+        found = 0
+        for _ in range(200):
+            key = make()
+            found += secrets.all_spans(f"see {key} here", efficiency) == [(4, 3, 4 + len(key))]
+        assert found >= 190
+    assert not any(secrets.all_spans(f"see {x} here", efficiency) for x in NAMES)
+
+
 def test_packing(odd, empty, texts, library):
     pieces = packing.cut(odd, *ARGS, capacity=64)
     got = packing.pack(pieces, 64).collect()
