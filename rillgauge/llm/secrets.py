@@ -2,8 +2,8 @@
 
 A tokenizer's vocabulary packs several characters of ordinary words and names into a token and
 hardly more than one and a half of a random key. So every long run of key characters is
-encoded, and a run with few characters per token is reported, unless it is a digest, a
-UUID or plain numbers. Each text is scanned whole, where it is read; there is no shuffle.
+encoded, outside of fixed patterns, digests and UUIDs, and each long stretch of it with few characters per token
+is reported, up to the next separators, unless it is plain numbers. Each text is scanned whole, where it is read; there is no shuffle.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ DIGEST_LENGTHS = (32, 40, 48, 56, 64, 96, 128)
 DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 KNOWN = re.compile(r"[0-9/_=+-]+")
+SEPARATORS = "/_=+-"
+PART = re.compile(rf"(?<![A-Za-z0-9])(?:{UUID.pattern}|{DIGEST.pattern})(?![A-Za-z0-9])")
 
 
 class Efficiency:
@@ -49,9 +51,13 @@ class Efficiency:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.coder = tiktoken.Encoding("ranks", pat_str=split, mergeable_ranks=ranks, special_tokens={})
 
+    def lengths(self, run: str) -> list[int]:
+        """Characters of each token of an ASCII string."""
+        ids = (k for i in range(0, len(run), BLOCK) for k in self.coder.encode_ordinary(run[i : i + BLOCK]))
+        return [len(self.coder.decode_single_token_bytes(k)) for k in ids]
+
     def __call__(self, run: str) -> float:
-        blocks = range(0, len(run), BLOCK)
-        return len(run) / sum(len(self.coder.encode_ordinary(run[i : i + BLOCK])) for i in blocks)
+        return len(run) / len(self.lengths(run))
 
 
 _EFFICIENCY: dict[tuple[str, str], Efficiency] = {}
@@ -79,16 +85,82 @@ def excluded(run: str) -> bool:
     return bool(KNOWN.fullmatch(run) or UUID.fullmatch(run) or len(run) in DIGEST_LENGTHS and DIGEST.fullmatch(run))
 
 
+def longest(scores: list[float], ends: list[int]) -> tuple[int, int] | None:
+    """The longest stretch of tokens (first, end) whose scores add up to more than 0, of ``RUN`` characters or more."""
+    total = [0.0]
+    for x in scores:
+        total.append(total[-1] + x)
+    lows = [0]  # places of ever lower sums, where a longest stretch can begin
+    for i, x in enumerate(total):
+        if x < total[lows[-1]]:
+            lows.append(i)
+    best, size = None, RUN - 1
+    for j in range(len(scores), 0, -1):
+        while lows and total[lows[-1]] < total[j]:
+            i = lows.pop()
+            if i < j and ends[j] - ends[i] > size:
+                best, size = (i, j), ends[j] - ends[i]
+    return best
+
+
+def random_parts(piece: str, efficiency: Efficiency) -> list[tuple[int, int]]:
+    """Stretches with few characters per token (start, end), to the next separators or the ends of the piece.
+
+    A stretch that is inefficient as a whole is narrowed to where its tokens are shortest, so that readable parts beside
+    a key are not taken along; what is left on either side is examined again.
+    """
+    lengths = efficiency.lengths(piece)
+    ends = [0]
+    for n in lengths:
+        ends.append(ends[-1] + n)
+    found, open_parts = [], [(0, len(lengths))]
+    while open_parts:
+        first, end = open_parts.pop()
+        scores = [EFFICIENCY - n for n in lengths[first:end]]
+        stretch = longest(scores, ends[first : end + 1])
+        if stretch is None:
+            continue
+        low, high = first + stretch[0], first + stretch[1]
+        best = total = 0.0
+        start, a, b = low, low, high
+        for i in range(low, high):
+            total += EFFICIENCY - lengths[i]
+            if total <= 0:
+                total, start = 0.0, i + 1
+            elif total > best:
+                best, a, b = total, start, i + 1
+        left, right = ends[a], ends[b]
+        while left > 0 and piece[left - 1] not in SEPARATORS:
+            left -= 1
+        while right < len(piece) and piece[right] not in SEPARATORS:
+            right += 1
+        while left < right and piece[left] in SEPARATORS:
+            left += 1
+        if not excluded(piece[left:right]):
+            found.append((left, right))
+        open_parts += [(first, a), (b, end)]
+    merged: list[tuple[int, int]] = []
+    for left, right in sorted(found):
+        if merged and left < merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(right, merged[-1][1]))
+        else:
+            merged.append((left, right))
+    return merged
+
+
 def all_spans(text: str, efficiency: Efficiency) -> list[tuple[int, int, int]]:
-    """Base spans and, outside of them, runs with few characters per token; by start, then kind."""
+    """Base spans and, in the runs beside them, stretches with few characters per token; by start, then kind."""
     base = base_spans(text)
     more = []
     for run in RUNS.finditer(text):
         start, end = run.span()
-        if any(a < end and start < b for a, _, b in base) or excluded(run[0]):
-            continue
-        if efficiency(run[0]) < EFFICIENCY:
-            more.append((start, 3, end))
+        cuts = [(max(a, start), min(b, end)) for a, _, b in base if a < end and start < b]
+        cuts += [(start + m.start(), start + m.end()) for m in PART.finditer(run[0]) if excluded(m[0])]
+        at = start
+        for a, b in [*sorted(cuts), (end, end)]:
+            if a - at >= RUN and not excluded(text[at:a]):
+                more += [(at + x, 3, at + y) for x, y in random_parts(text[at:a], efficiency)]
+            at = max(at, b)
     return sorted(base + more)
 
 

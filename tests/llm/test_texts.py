@@ -229,6 +229,25 @@ def test_random_letters_and_groups(efficiency):
     assert not any(secrets.all_spans(f"see {x} here", efficiency) for x in NAMES)
 
 
+def test_random_keys_beside_readable_text(efficiency):
+    import random
+    import string
+
+    rng = random.Random(9)
+    base62 = string.ascii_letters + string.digits
+    digest = "0123456789abcdef01234567"
+    for before, after in (*((x, "") for x in NAMES[-2:]), ("/".join(NAMES[-2:] * 40), "/config/files/" * 9), (f"{digest}-", "")):
+        found = 0
+        for _ in range(100):
+            key = "".join(rng.choice(base62) for _ in range(24))
+            text = f"see {before}{key}{after} here"
+            at = text.index(key)
+            found += any(k == 3 and a <= at and at + 24 <= b <= at + 32 for a, k, b in secrets.all_spans(text, efficiency))
+        assert found >= 95, (before[:40], found)
+    plain = ["log/2024-11-05-12-33-22-44-55", "item_550e8400-e29b-41d4-a716-446655440000", "md5-D41D8CD98F00B204E9800998ECF8427E"]
+    assert not any(secrets.all_spans(f"see {x} here", efficiency) for x in plain + ["/".join(NAMES * 50)])
+
+
 def test_packing(odd, empty, texts, library):
     pieces = packing.cut(odd, *ARGS, capacity=64)
     got = packing.pack(pieces, 64).collect()
