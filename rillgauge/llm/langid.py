@@ -11,6 +11,7 @@ Texts are lower-cased letters; every run of other characters is one blank. They
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from rillgauge.llm.common import ready, row_slices
 
 SAMPLE_DOCS = 400  # labelled documents of a language in the sample, at most
-SAMPLE_SYMBOLS = 120_000  # symbols of all samples together, at most; shared evenly by the languages
+SAMPLE_SYMBOLS = 30_000  # symbols of a language's sample, at most; shared evenly by its texts
+WINDOW_CHARACTERS = 120_000  # of a drawn text that reach the driver, at most
 ALPHABET = 62  # different letters that are told apart, at most; the others break a phrase
 BLOCK = 1024
 SLICE_BYTES = 4 << 20
@@ -95,14 +97,16 @@ class Model:
 def build(samples: dict[str, list[str]]) -> Model:
     """The model of sampled texts by language."""
     languages = sorted(samples)
-    room = SAMPLE_SYMBOLS // max(1, len(languages))
     rows = {}
     for name in languages:
-        # Every text gives an even share, so that one long text is not the whole sample.
+        # Every text gives an even share, so that one long text is not the whole sample, from a place chosen by its
+        # hash, so that openings that many texts have in common are not all of it.
         held = sorted((code_points(t) for t in samples[name]), key=len)
-        taken, left = [], room
+        taken, left = [], SAMPLE_SYMBOLS
         for i, row in enumerate(held):
-            taken.append(row[: left // (len(held) - i)])
+            share = min(len(row), left // (len(held) - i))
+            start = zlib.crc32(row.tobytes()) % (len(row) - share + 1)
+            taken.append(row[start : start + share])
             left -= len(taken[-1])
         rows[name] = np.concatenate([*taken, np.zeros(1, dtype="<u4")])
     seen, often = np.unique(np.concatenate([*rows.values(), np.zeros(0, "<u4")]), return_counts=True)
@@ -169,7 +173,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     """The model of the languages in a labelled frame.
 
     The sample is bounded: of each language the ``SAMPLE_DOCS`` rows with the smallest hashes of their texts, and of
-    their symbols ``SAMPLE_SYMBOLS`` in all. Rows without a text or a label teach nothing.
+    their symbols ``SAMPLE_SYMBOLS``, from a place in each text that a hash chooses. Rows without a text or a label teach nothing.
     """
     ready(labelled.sparkSession)
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(
@@ -182,9 +186,11 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
         keyed.select("lang", "mark").distinct().withColumn("n", F.row_number().over(drawn))
         .where(F.col("n") <= SAMPLE_DOCS).select("lang", "mark")
     )
+    place = F.pmod("mark", F.greatest(F.char_length("text") - WINDOW_CHARACTERS + 1, F.lit(1))) + 1
+    drawn_part = F.substring("text", place.cast("int"), F.lit(WINDOW_CHARACTERS))
     sample = (
         keyed.join(F.broadcast(picked), ["lang", "mark"], "left_semi").groupBy("lang", "mark")
-        .agg(F.min("text").alias("text")).select("lang", F.substring("text", 1, SAMPLE_SYMBOLS).alias("text"))
+        .agg(F.min("text").alias("text")).select("lang", drawn_part.alias("text"))
     )
     found: dict[str, list[str]] = {}
     for row in sample.toLocalIterator():
@@ -201,7 +207,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """
     spark = docs.sparkSession
     ready(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded by SAMPLE_SYMBOLS and ALPHABET
+    shared = spark.sparkContext.broadcast(model)  # bounded by SAMPLE_SYMBOLS a language and ALPHABET
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text_col)
 

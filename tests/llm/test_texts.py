@@ -174,6 +174,21 @@ def test_cross_parse_counts_longest_matches(monkeypatch):
         assert bits[0, 0] == pytest.approx(phrases(text, indexed) * model.bits[0] / len(text))
 
 
+def test_language_sample_goes_beyond_openings():
+    import random
+
+    def body(seed, letters):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(200))
+
+    banner = "shared banner " * 20
+    samples = {n: [banner + body(k, x) for k in range(400)] for n, x in (("a", "bcdfg"), ("b", "hjklm"))}
+    model = langid.build(samples)
+    assert set("bcdfghjklm") <= {chr(c) for c in model.symbols if c}
+    bits = langid.parse(model, [langid.code_points(body(1000, "bcdfg")), langid.code_points(body(1001, "hjklm"))])
+    assert bits.argmin(axis=0).tolist() == [0, 1] and (bits.max(axis=0) > 1.5 * bits.min(axis=0)).all()
+
+
 def test_secrets(odd, empty, spark):
     key = "kX9vQ2mZ7pLw4RtB8nYc3HsD"
     rows = [
