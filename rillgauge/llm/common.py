@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 # The white space of the contracts, [\x20\x09-\x0D].
 WHITE = " \t\n\u000b\f\r"
