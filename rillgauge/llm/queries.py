@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillgauge.llm import (
-    bpe, counts, covertree, dialogue, exact, langid, mixing, ordermin, packing, planes, secrets, substring,
+    bpe, counts, covertree, dialogue, exact, langid, mixing, ordermin, packing, phrases, planes, secrets, substring,
 )
 from rillgauge.llm.common import table
 from rillgauge.session import scratch_path
@@ -93,6 +93,47 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+    )) AS piece FROM documents
+), worded AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+), occurring AS (
+    SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: array_to_string(words[i : i + size - 1], ' '))) AS phrase
+    FROM worded, (VALUES (1), (2), (3)) sizes (size)
+), f AS (
+    SELECT lang, size, phrase, count(*)::HUGEINT AS n FROM occurring GROUP BY ALL
+), c AS (
+    SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1 AND n >= 10
+), cuts AS (
+    SELECT lang, size, phrase, a, words, unnest(range(1, size)) AS k FROM c
+), scored AS (
+    SELECT cuts.*, fl.n AS l, fr.n AS r, 1000000 * a * a // (fl.n * fr.n) AS score
+    FROM cuts
+    JOIN f fl ON fl.lang = cuts.lang AND fl.size = k AND fl.phrase = array_to_string(words[1 : k], ' ')
+    JOIN f fr ON fr.lang = cuts.lang AND fr.size = cuts.size - k AND fr.phrase = array_to_string(words[k + 1 : ], ' ')
+), worst AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), held AS (
+    SELECT lang, unnest([array_to_string(words[1 : 2], ' '), array_to_string(words[2 : 3], ' ')]) AS phrase, a FROM c WHERE size = 3
+), kept AS (
+    SELECT worst.* FROM worst LEFT JOIN (SELECT lang, phrase, max(a) AS more FROM held GROUP BY ALL) h USING (lang, phrase)
+    WHERE coalesce(100 * more < 50 * a, true)
+), totals AS (
+    SELECT lang, sum(n) AS n FROM f WHERE size = 1 GROUP BY lang
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN totals USING (lang)
+WHERE rank <= 2000
+"""
+
+
 def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     quality = labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0).alias("weight"))
@@ -166,9 +207,11 @@ WITH RECURSIVE named AS (
            count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS c
     FROM hurt
 ), judged AS (
-    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
                    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
-                   WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' END AS fault,
+                   WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' END AS fault,
            coalesce(lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c NOT IN ('su', 'ua', 'au'), false) AS wrong
     FROM placed
 ), steps AS (
@@ -231,11 +274,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_secret_scan": op10_secret_scan,
+    "op11_phrases": op11_phrases,
     "op12_source_mix": op12_source_mix,
     "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
+    "op11_phrases": OP11_SQL,
     "op12_source_mix": OP12_SQL,
     "op13_conversation_repair": OP13_SQL,
 }
