@@ -207,11 +207,9 @@ WITH RECURSIVE named AS (
            count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS c
     FROM hurt
 ), judged AS (
-    SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
-]') THEN 'blank'
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
                    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
-                   WHEN NOT regexp_matches(text, '[.!?][ 	-
-]*$') THEN 'truncated' END AS fault,
+                   WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' END AS fault,
            coalesce(lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c NOT IN ('su', 'ua', 'au'), false) AS wrong
     FROM placed
 ), steps AS (
