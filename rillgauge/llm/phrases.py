@@ -82,13 +82,13 @@ class Words:
         return mixed(hashes * _JOIN + last), follows
 
 
-def slices(text: bytes, words_behind: int):
+def slices(text: bytes, words_behind: int, size: int):
     """(bytes, own bytes) of a text: whole, or in parts cut between words that also hold the next ``words_behind`` words."""
     behind = re.compile(rb"(?:[\x20\x09-\x0D.,;:!?]+[^\x20\x09-\x0D.,;:!?]+){0,%d}" % words_behind)
     between = re.compile(rb"[\x20\x09-\x0D.,;:!?]")
     at = 0
-    while len(text) - at > SLICE_BYTES:
-        cut = between.search(text, at + SLICE_BYTES)
+    while len(text) - at > size:
+        cut = between.search(text, at + size)
         if not cut:
             break
         end = behind.match(text, cut.start()).end()
@@ -97,20 +97,20 @@ def slices(text: bytes, words_behind: int):
     yield text[at:], len(text) - at
 
 
-def grouped(batch: pa.RecordBatch, words_behind: int):
+def grouped(batch: pa.RecordBatch, words_behind: int, size: int):
     """(language, words) of a batch of (language, text): short texts of a language are put together, long ones are cut."""
-    for part in row_slices(batch, 1, SLICE_BYTES):
+    for part in row_slices(batch, 1, size):
         held: dict[str, list[bytes]] = {}
         for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
             held.setdefault(lang, []).append(text.encode())
         for lang, texts in held.items():
-            for data, own in slices(b"\n".join(texts), words_behind):
+            for data, own in slices(b"\n".join(texts), words_behind, size):
                 yield lang.encode(), Words(data, own)
 
 
 def among(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether the classes of the hashes are marked."""
-    index = hashes >> np.uint64(64 - BITS)
+    index = hashes >> np.uint64(65 - (8 * len(bits)).bit_length())
     return ((bits[index >> np.uint64(3)] >> (index & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
@@ -139,7 +139,7 @@ def _sums(docs: DataFrame, tables) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times.astype(np.int64))], names=["h", "n"])
 
         for batch in batches:
-            for lang, words in grouped(batch, LONGEST - 1):
+            for lang, words in grouped(batch, LONGEST - 1, SLICE_BYTES):
                 *_, (_, hashes, likely) = _likely(words, lang, known)
                 held.append(hashes[: words.own][likely[: words.own]])
                 size += len(held[-1])
@@ -154,6 +154,7 @@ def _sums(docs: DataFrame, tables) -> DataFrame:
 
 def _table(hashes: DataFrame) -> np.ndarray:
     """The bits of the hashes' classes, a table of fixed size; tasks make parts of it."""
+    assert BITS >= 20
     bit = F.shiftrightunsigned(F.col("h"), 64 - BITS)
     rows = hashes.select(F.shiftright(bit, 20).alias("part"), bit.bitwiseAND((1 << 20) - 1).alias("bit"))
 
@@ -181,7 +182,7 @@ def _named(docs: DataFrame, tables) -> DataFrame:
     def run(batches):
         known = [t.value for t in tables]
         for batch in batches:
-            for lang, words in grouped(batch, LONGEST - 1):
+            for lang, words in grouped(batch, LONGEST - 1, SLICE_BYTES):
                 levels = list(_likely(words, lang, known[:-1]))
                 n, hashes, likely = levels[-1]
                 levels[-1] = (n, hashes, likely & among(known[-1], hashes))
@@ -378,7 +379,7 @@ def _counted(docs: DataFrame, shared) -> DataFrame:
         trie, size = Trie(*shared.value[:-1]), shared.value[-1]
         counts, totals = np.zeros(size, dtype=np.int64), {}
         for batch in batches:
-            for lang, words in grouped(batch, LONGEST - 1):
+            for lang, words in grouped(batch, LONGEST - 1, SLICE_BYTES):
                 counts += np.bincount(trie.reached(words, lang), minlength=size)
                 totals[lang] = totals.get(lang, 0) + words.own
         at = np.flatnonzero(counts)
