@@ -1,9 +1,9 @@
 """Collocations of each language, counted with double-array tries.
 
-Candidates are found level by level: hashes of phrases of one more word are summed up, and only where the phrases of one word
-less at both ends may be frequent. A bit per class of hashes, a table of fixed size, says which phrases may be frequent; as classes only
-add counts, no frequent phrase is missed (Apriori). The candidates' texts are dealt into shards of bounded bytes, and each shard is built
-into a double-array trie over bytes. The tries are broadcast one after another; numpy moves all places of a slice of text through
+Candidates are found level by level, from two words on: hashes of phrases are summed up, from three words on only where the
+phrases of one word less at both ends may be frequent. A bit per class of hashes, a table of fixed size, says which phrases may be
+frequent; as classes only add counts, no frequent phrase is missed (Apriori). The candidates' texts are dealt into shards of bounded bytes, and each shard is built
+into a double-array trie over bytes. The tries are broadcast, a few at a time; numpy moves all places of a slice of text through
 a trie side by side, a byte at a time, and counts the accepting states they reach at the ends of words. The sums of all
 tasks are the exact counts, from which scores are worked out with exact decimals.
 
@@ -29,8 +29,9 @@ LEAST = 10  # occurrences of a candidate
 COVERED = 50  # percent of a phrase's occurrences in a longer candidate, from which on it is dropped
 TOP = 2000  # phrases of a language
 SCALE = 1_000_000  # of scores
-BITS = 27  # of the classes of hashes; a table of them is 16 MB
+BITS = 26  # of the classes of hashes; a table of them is 8 MB
 SHARD_BYTES = 8 << 20  # of keys in a trie, at most (a longer key is alone)
+AT_ONCE = 4  # tries broadcast at a time
 SLICE_BYTES = 1 << 20
 HELD = 1 << 22  # hashes held by a task before they are summed up and passed on
 NO_LANGUAGE = "und"
@@ -114,21 +115,21 @@ def among(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((bits[index >> np.uint64(3)] >> (index & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def _likely(words: Words, lang: bytes, tables: list[np.ndarray]):
-    """(number of words, hashes, which may be candidates) level by level; the last level has no table of its own."""
+def _likely(words: Words, lang: bytes, tables: list[np.ndarray], longest: int):
+    """(number of words, hashes, which may be candidates) level by level; levels beyond the tables are not sifted themselves."""
     first = hashes = words.hashes(lang)
     likely = valid = np.ones(len(first), dtype=bool)
-    for n in range(1, len(tables) + 2):
-        if n > 1:
-            hashes, valid = words.longer(hashes, first, valid, n)
-            likely = valid & likely & np.concatenate([likely[1:], [False]])[: len(likely)]
-        if n <= len(tables):
-            likely = likely & among(tables[n - 1], hashes)
+    yield 1, first, likely
+    for n in range(2, longest + 1):
+        hashes, valid = words.longer(hashes, first, valid, n)
+        likely = valid & likely & np.concatenate([likely[1:], [False]])[: len(likely)]
+        if n - 2 < len(tables):
+            likely = likely & among(tables[n - 2], hashes)
         yield n, hashes, likely
 
 
 def _sums(docs: DataFrame, tables) -> DataFrame:
-    """(``h``, ``n``): sums of the hashes of phrases of one more word than there are tables."""
+    """(``h``, ``n``): sums of the hashes of phrases of the first level without a table."""
 
     def run(batches):
         held, size = [], 0
@@ -140,7 +141,7 @@ def _sums(docs: DataFrame, tables) -> DataFrame:
 
         for batch in batches:
             for lang, words in grouped(batch, LONGEST - 1, SLICE_BYTES):
-                *_, (_, hashes, likely) = _likely(words, lang, known)
+                *_, (_, hashes, likely) = _likely(words, lang, known, len(known) + 2)
                 held.append(hashes[: words.own][likely[: words.own]])
                 size += len(held[-1])
                 if size >= HELD:
@@ -183,12 +184,9 @@ def _named(docs: DataFrame, tables) -> DataFrame:
         known = [t.value for t in tables]
         for batch in batches:
             for lang, words in grouped(batch, LONGEST - 1, SLICE_BYTES):
-                levels = list(_likely(words, lang, known[:-1]))
-                n, hashes, likely = levels[-1]
-                levels[-1] = (n, hashes, likely & among(known[-1], hashes))
+                levels = list(_likely(words, lang, known, len(known) + 1))
                 inside = np.zeros(len(words.starts), dtype=bool)
-                pairs = levels[1][2] if len(levels) > 1 else inside
-                inside[: words.own] = pairs[: words.own]
+                inside[: words.own] = levels[1][2][: words.own]
                 inside[1:] |= inside[:-1].copy()
                 keys = []
                 for n, hashes, likely in levels:
@@ -222,11 +220,13 @@ def _distinct(words: Words, hashes: np.ndarray, at: np.ndarray, n: int) -> np.nd
 class Trie:
     """A double-array trie: from state ``s`` the byte ``c`` leads to ``t = base[s] + c`` where ``check[t]`` is ``s``.
 
-    ``accept`` is the number of the key that ends in a state, or -1. State 0 is the start.
+    ``ends`` has the state in which each key ends, ``accept`` the number of the key that ends in a state, or -1. State 0 is the start.
     """
 
-    def __init__(self, base: np.ndarray, check: np.ndarray, accept: np.ndarray):
-        self.base, self.check, self.accept = base, check, accept
+    def __init__(self, base: np.ndarray, check: np.ndarray, ends: np.ndarray):
+        self.base, self.check, self.ends = base, check, ends
+        self.accept = np.full(len(base), -1, dtype=np.int32)
+        self.accept[ends] = np.arange(len(ends), dtype=np.int32)
 
     @classmethod
     def of(cls, keys: list[bytes]) -> Trie:
@@ -234,22 +234,23 @@ class Trie:
         flat = np.frombuffer(b"".join(keys), dtype=np.uint8)
         length = np.array([len(k) for k in keys], dtype=np.int64)
         offset = np.cumsum(length) - length
-        made = _Slots(len(flat) + 1)
-        state = np.zeros(len(keys), dtype=np.int64)
-        accept_at = np.zeros(len(keys), dtype=np.int64)
-        live = np.arange(len(keys))
-        depth = 0
-        accept_at[length == 0] = 0
-        while len(live := live[length[live] > depth]):
-            byte, parent = flat[offset[live] + depth].astype(np.int64), state[live]
-            fresh = np.concatenate([[True], (parent[1:] != parent[:-1]) | (byte[1:] != byte[:-1])])
-            slots = made.place(parent[fresh], byte[fresh])
-            state[live] = slots[np.cumsum(fresh) - 1]
-            depth += 1
-        base, check = made.arrays()
-        accept = np.full(len(base), -1, dtype=np.int32)
-        accept[state] = np.arange(len(keys), dtype=np.int32)
-        return cls(base, check, accept)
+
+        def levels(state):
+            """(live keys, bytes, which differ from the key before in their beginning up to here); ``state`` is set by the caller."""
+            live, depth = np.arange(len(keys)), 0
+            while len(live := live[length[live] > depth]):
+                byte, parent = flat[offset[live] + depth].astype(np.int64), state[live]
+                yield live, byte, parent, np.concatenate([[True], (parent[1:] != parent[:-1]) | (byte[1:] != byte[:-1])])
+                depth += 1
+
+        state, states = np.zeros(len(keys), dtype=np.int64), 1
+        for live, _, _, fresh in levels(state):
+            state[live] = states + np.cumsum(fresh)
+            states += int(fresh.sum())
+        made, state = _Slots(states), np.zeros(len(keys), dtype=np.int64)
+        for live, byte, parent, fresh in levels(state):
+            state[live] = made.place(parent[fresh], byte[fresh])[np.cumsum(fresh) - 1]
+        return cls(*made.arrays(), state.astype(np.int32))
 
     def walk(self, data: bytes) -> int | None:
         state = 0
@@ -344,7 +345,7 @@ class _Slots:
 
 
 def _tries(keys: DataFrame) -> DataFrame:
-    """(``trie``, ``keys``, ``base``, ``check``, ``accept``): tries of at most ``SHARD_BYTES`` of keys, by shards of first words."""
+    """(``trie``, ``keys``, ``base``, ``check``, ``ends``): tries of at most ``SHARD_BYTES`` of keys, by shards of first words."""
     total = keys.agg(F.coalesce(F.sum(F.octet_length("key")), F.lit(0)).alias("b")).first().b
     start = F.substring_index(F.col("key").cast("string"), " ", 1)
     sharded = keys.withColumn("shard", F.pmod(F.xxhash64(start), F.lit(pieces_for(total, SHARD_BYTES * 3 // 4))).cast("int"))
@@ -352,9 +353,9 @@ def _tries(keys: DataFrame) -> DataFrame:
     def run(batches):
         def built(shard, number, held):
             trie = Trie.of(held)
-            arrays = [pa.array([a.tobytes()], pa.binary()) for a in (trie.base, trie.check, trie.accept)]
+            arrays = [pa.array([a.tobytes()], pa.binary()) for a in (trie.base, trie.check, trie.ends)]
             columns = [pa.array([f"{shard}-{number}"]), pa.array([held], pa.list_(pa.binary())), *arrays]
-            return pa.RecordBatch.from_arrays(columns, names=["trie", "keys", "base", "check", "accept"])
+            return pa.RecordBatch.from_arrays(columns, names=["trie", "keys", "base", "check", "ends"])
 
         last, number, held, size = None, 0, [], 0
         for batch in batches:
@@ -369,29 +370,37 @@ def _tries(keys: DataFrame) -> DataFrame:
             yield built(last, number, held)
 
     dealt = sharded.repartition("shard").sortWithinPartitions("shard", "key").select("shard", "key")
-    return dealt.mapInArrow(run, "trie string, keys array<binary>, base binary, check binary, accept binary")
+    return dealt.mapInArrow(run, "trie string, keys array<binary>, base binary, check binary, ends binary")
 
 
-def _counted(docs: DataFrame, shared) -> DataFrame:
-    """(``at``, ``lang``, ``n``): occurrences of the trie's keys, and with no ``at`` the words of each language."""
+def _counted(docs: DataFrame, shared: dict) -> DataFrame:
+    """(``trie``, ``at``, ``lang``, ``n``): occurrences of the tries' keys, and with no ``at`` the words of each language."""
 
     def run(batches):
-        trie, size = Trie(*shared.value[:-1]), shared.value[-1]
-        counts, totals = np.zeros(size, dtype=np.int64), {}
+        tries = {name: Trie(*held.value) for name, held in shared.items()}
+        counts, totals = {name: np.zeros(len(trie.ends), dtype=np.int64) for name, trie in tries.items()}, {}
         for batch in batches:
             for lang, words in grouped(batch, LONGEST - 1, SLICE_BYTES):
-                counts += np.bincount(trie.reached(words, lang), minlength=size)
+                for name, trie in tries.items():
+                    counts[name] += np.bincount(trie.reached(words, lang), minlength=len(trie.ends))
                 totals[lang] = totals.get(lang, 0) + words.own
-        at = np.flatnonzero(counts)
-        columns = [
-            pa.array([*at.tolist(), *[None] * len(totals)], pa.int32()),
-            pa.array([*[None] * len(at), *(k.decode() for k in totals)], pa.string()),
-            pa.array([*counts[at].tolist(), *totals.values()], pa.int64()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["at", "lang", "n"])
-
-    found = docs.mapInArrow(run, "at int, lang string, n bigint")
-    return found.groupBy("at", "lang").agg(F.sum("n").alias("n"))
+        for name, sums in counts.items():
+            at = np.flatnonzero(sums)
+            nothing = pa.nulls(len(at), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), nothing, pa.array(sums[at])],
+                names=["trie", "at", "lang", "n"],
+            )
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.nulls(len(totals), pa.string()), pa.nulls(len(totals), pa.int32()),
+                pa.array([k.decode() for k in totals], pa.string()), pa.array(list(totals.values()), pa.int64()),
+            ],
+            names=["trie", "at", "lang", "n"],
+        )
+
+    found = docs.mapInArrow(run, "trie string, at int, lang string, n bigint")
+    return found.groupBy("trie", "at", "lang").agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(
@@ -399,30 +408,32 @@ def phrase_counts(
 ) -> tuple[DataFrame, DataFrame]:
     """(``lang``, ``phrase``, ``n``) of every phrase with ``least`` or more occurrences and of the words in them, and (``lang``, ``n``) of all words.
 
-    Phrases have two to ``longest`` words (at most ``LONGEST``). All texts are read once per level, once for the
-    candidates' texts and once per trie.
+    Phrases have two to ``longest`` words (at most ``LONGEST``). All texts are read once per level from two words on, once for the
+    candidates' texts and once per ``AT_ONCE`` tries.
     """
     spark = docs.sparkSession
     ready(spark)
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit(NO_LANGUAGE)).alias("lang"), whole_text(text_col).alias("text"))
     tables = []
-    for _ in range(longest):
+    for _ in range(longest - 1):
         likely = _sums(rows, list(tables)).where(F.col("n") >= least)
-        tables.append(spark.sparkContext.broadcast(_table(likely)))  # 16 MB, whatever the input is
+        tables.append(spark.sparkContext.broadcast(_table(likely)))  # 8 MB, whatever the input is
     tries = materialised(_tries(materialised(_named(rows, tables), "keys")), "tries")
     for table in tables:
-        table.unpersist()
+        table.destroy()
     counts = totals = None
-    for name in [r.trie for r in tries.select("trie").toLocalIterator()]:
-        one = tries.where(F.col("trie") == name)
-        held = one.select("base", "check", "accept", F.size("keys").alias("n")).first()
-        shared = spark.sparkContext.broadcast([*(np.frombuffer(held[i], dtype=np.int32) for i in range(3)), held.n])  # bounded by SHARD_BYTES
+    names = [r.trie for r in tries.select("trie").toLocalIterator()]
+    for i in range(0, len(names), AT_ONCE):
+        some = tries.where(F.col("trie").isin(names[i : i + AT_ONCE]))
+        shared = {}  # each is bounded by SHARD_BYTES
+        for row in some.select("trie", "base", "check", "ends").toLocalIterator():
+            shared[row.trie] = spark.sparkContext.broadcast([np.frombuffer(x, dtype=np.int32) for x in row[1:]])
         found = materialised(_counted(rows, shared), "counts")
-        shared.unpersist()
+        for held in shared.values():
+            held.destroy()
         if totals is None:
             totals = found.where("at IS NULL").select("lang", "n")
-        keys = one.select(F.posexplode("keys").alias("at", "key"))
-        part = found.join(keys, "at").select("key", "n")
+        part = found.join(some.select("trie", F.posexplode("keys").alias("at", "key")), ["trie", "at"]).select("key", "n")
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
         return spark.createDataFrame([], "lang string, phrase string, n bigint"), spark.createDataFrame([], "lang string, n bigint")

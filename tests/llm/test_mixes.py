@@ -101,6 +101,7 @@ def test_collocations_in_many_shards_and_slices(spark, monkeypatch, small_tables
     monkeypatch.setattr(phrases, "SHARD_BYTES", 300)
     monkeypatch.setattr(phrases, "SLICE_BYTES", 500)
     monkeypatch.setattr(phrases, "HELD", 200)
+    monkeypatch.setattr(phrases, "AT_ONCE", 2)
     got = got_collocations(phrases.collocations(spark.createDataFrame(rows, "lang string, text string"), least=12, top=40))
     assert got == want
 
