@@ -1,8 +1,8 @@
 """Collocations of each language, counted with double-array tries.
 
 Candidates are found level by level, from two words on: hashes of phrases are summed up, from three words on only where the
-phrases of one word less at both ends may be frequent. A bit per class of hashes, a table of fixed size, says which phrases may be
-frequent; as classes only add counts, no frequent phrase is missed (Apriori). The candidates' texts are dealt into shards of bounded bytes, and each shard is built
+phrases of one word less at both ends may be frequent. A table of fixed size, in which every frequent hash marks two bits, says which
+phrases may be frequent; as equal hashes and bits only add to them, no frequent phrase is missed (Apriori). The candidates' texts are dealt into shards of bounded bytes, and each shard is built
 into a double-array trie over bytes. The tries are broadcast, a few at a time; numpy moves all places of a slice of text through
 a trie side by side, a byte at a time, and counts the accepting states they reach at the ends of words. The sums of all
 tasks are the exact counts, from which scores are worked out with exact decimals.
@@ -29,11 +29,12 @@ LEAST = 10  # occurrences of a candidate
 COVERED = 50  # percent of a phrase's occurrences in a longer candidate, from which on it is dropped
 TOP = 2000  # phrases of a language
 SCALE = 1_000_000  # of scores
-BITS = 26  # of the classes of hashes; a table of them is 8 MB
+BITS = 26  # a table of hashes has 2**BITS bits, 8 MB
 SHARD_BYTES = 8 << 20  # of keys in a trie, at most (a longer key is alone)
-AT_ONCE = 4  # tries broadcast at a time
+AT_ONCE = 2  # tries broadcast at a time
 SLICE_BYTES = 1 << 20
 HELD = 1 << 22  # hashes held by a task before they are summed up and passed on
+ROWS = 1 << 18  # of a batch passed on
 NO_LANGUAGE = "und"
 BLANK, BREAK = 0x20, 0x0A
 _KIND = np.zeros(256, dtype=np.uint8)  # 0 in words, 1 between words, 2 between pieces
@@ -110,9 +111,13 @@ def grouped(batch: pa.RecordBatch, words_behind: int, size: int):
 
 
 def among(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether the classes of the hashes are marked."""
-    index = hashes >> np.uint64(65 - (8 * len(bits)).bit_length())
-    return ((bits[index >> np.uint64(3)] >> (index & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+    """Whether both bits of each hash are marked."""
+    size = (8 * len(bits)).bit_length() - 1
+
+    def marked(index):
+        return ((bits[index >> np.uint64(3)] >> (index & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+    return marked(hashes >> np.uint64(64 - size)) & marked(hashes >> np.uint64(64 - 2 * size) & np.uint64((1 << size) - 1))
 
 
 def _likely(words: Words, lang: bytes, tables: list[np.ndarray], longest: int):
@@ -135,9 +140,11 @@ def _sums(docs: DataFrame, tables) -> DataFrame:
         held, size = [], 0
         known = [t.value for t in tables]
 
-        def batch_of():
+        def summed():
             found, times = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times.astype(np.int64))], names=["h", "n"])
+            for i in range(0, len(found), ROWS):
+                columns = [pa.array(x[i : i + ROWS].astype(np.int64)) for x in (found.view(np.int64), times)]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "n"])
 
         for batch in batches:
             for lang, words in grouped(batch, LONGEST - 1, SLICE_BYTES):
@@ -145,19 +152,21 @@ def _sums(docs: DataFrame, tables) -> DataFrame:
                 held.append(hashes[: words.own][likely[: words.own]])
                 size += len(held[-1])
                 if size >= HELD:
-                    yield batch_of()
+                    yield from summed()
                     held, size = [], 0
         if size:
-            yield batch_of()
+            yield from summed()
 
     return docs.mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
 
 
 def _table(hashes: DataFrame) -> np.ndarray:
-    """The bits of the hashes' classes, a table of fixed size; tasks make parts of it."""
-    assert BITS >= 20
-    bit = F.shiftrightunsigned(F.col("h"), 64 - BITS)
-    rows = hashes.select(F.shiftright(bit, 20).alias("part"), bit.bitwiseAND((1 << 20) - 1).alias("bit"))
+    """A table of fixed size with the two bits of each hash; tasks make parts of it."""
+    assert 20 <= BITS <= 32
+    both = F.array(*[F.shiftrightunsigned(F.col("h"), 64 - n * BITS).bitwiseAND((1 << BITS) - 1) for n in (1, 2)])
+    rows = hashes.select(F.explode(both).alias("bit")).select(
+        F.shiftright("bit", 20).alias("part"), F.col("bit").bitwiseAND((1 << 20) - 1).alias("bit")
+    )
 
     def run(batches):
         parts: dict[int, np.ndarray] = {}
