@@ -30,10 +30,10 @@ COVERED = 50  # percent of a phrase's occurrences in a longer candidate, from wh
 TOP = 2000  # phrases of a language
 SCALE = 1_000_000  # of scores
 BITS = 26  # a table of hashes has 2**BITS bits, 8 MB
-SHARD_BYTES = 8 << 20  # of keys in a trie, at most (a longer key is alone)
-AT_ONCE = 2  # tries broadcast at a time
-SLICE_BYTES = 1 << 20
-HELD = 1 << 22  # hashes held by a task before they are summed up and passed on
+SHARD_BYTES = 6 << 20  # of keys in a trie, at most (a longer key is alone)
+AT_ONCE = 1  # tries broadcast at a time; more need more memory in the workers and fewer passes
+SLICE_BYTES = 1 << 19
+HELD = 1 << 21  # hashes held by a task before they are summed up and passed on
 ROWS = 1 << 18  # of a batch passed on
 NO_LANGUAGE = "und"
 BLANK, BREAK = 0x20, 0x0A
