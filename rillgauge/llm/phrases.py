@@ -30,6 +30,7 @@ COVERED = 50  # percent of a phrase's occurrences in a longer candidate, from wh
 TOP = 2000  # phrases of a language
 SCALE = 1_000_000  # of scores
 BITS = 26  # a table of hashes has 2**BITS bits, 8 MB
+DIGITS = 40  # bits of the hashes that are summed up
 SHARD_BYTES = 6 << 20  # of keys in a trie, at most (a longer key is alone)
 AT_ONCE = 1  # tries broadcast at a time; more need more memory in the workers and fewer passes
 SLICE_BYTES = 1 << 19
@@ -117,7 +118,7 @@ def among(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     def marked(index):
         return ((bits[index >> np.uint64(3)] >> (index & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
-    return marked(hashes >> np.uint64(64 - size)) & marked(hashes >> np.uint64(64 - 2 * size) & np.uint64((1 << size) - 1))
+    return marked(hashes >> np.uint64(64 - size)) & marked(hashes >> np.uint64(64 - DIGITS) & np.uint64((1 << size) - 1))
 
 
 def _likely(words: Words, lang: bytes, tables: list[np.ndarray], longest: int):
@@ -141,9 +142,9 @@ def _sums(docs: DataFrame, tables) -> DataFrame:
         known = [t.value for t in tables]
 
         def summed():
-            found, times = np.unique(np.concatenate(held), return_counts=True)
+            found, times = np.unique(np.concatenate(held) >> np.uint64(64 - DIGITS), return_counts=True)
             for i in range(0, len(found), ROWS):
-                columns = [pa.array(x[i : i + ROWS].astype(np.int64)) for x in (found.view(np.int64), times)]
+                columns = [pa.array(x[i : i + ROWS].astype(np.int64)) for x in (found, times)]
                 yield pa.RecordBatch.from_arrays(columns, names=["h", "n"])
 
         for batch in batches:
@@ -162,8 +163,8 @@ def _sums(docs: DataFrame, tables) -> DataFrame:
 
 def _table(hashes: DataFrame) -> np.ndarray:
     """A table of fixed size with the two bits of each hash; tasks make parts of it."""
-    assert 20 <= BITS <= 32
-    both = F.array(*[F.shiftrightunsigned(F.col("h"), 64 - n * BITS).bitwiseAND((1 << BITS) - 1) for n in (1, 2)])
+    assert 20 <= BITS < DIGITS
+    both = F.array(F.shiftright(F.col("h"), DIGITS - BITS), F.col("h").bitwiseAND((1 << BITS) - 1))
     rows = hashes.select(F.explode(both).alias("bit")).select(
         F.shiftright("bit", 20).alias("part"), F.col("bit").bitwiseAND((1 << 20) - 1).alias("bit")
     )
