@@ -13,6 +13,7 @@ from analogues import tables as t
 from analogues.case import Case
 from rillgauge import schemas as S
 from rillgauge.functions import clean
+from rillgauge.operators import boosting
 from rillgauge.operators import inspect as inspector
 from rillgauge.operators import timeseries as ts
 from rillgauge.plans import extracts, forecast, ingest, reports
@@ -332,38 +333,48 @@ def _through_run(spark, table):
 
 
 def gbt_daily(spark, sf_dir):
-    """Predicted days: the value as it was, and whether there is a finite prediction."""
+    """Predicted days: the value as it was, and whether the prediction is what the stored trees give, followed node by node."""
     result = forecast.daily_forecast(_daily_dmr(spark, sf_dir), S.N_PARAM)
-    return _through_run(spark, result.predictions).select(
-        "series", "bucket", F.round("y_test", 4).alias("y_test"),
-        (F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))).alias("is_finite"),
+    scored, nodes = _through_run(spark, result.predictions), _through_run(spark, result.nodes)
+    again = boosting.recomputed(scored, nodes, ts.DAILY_FEATURES, F.col("bucket"), forecast.DAILY.depth)
+    near = F.abs(F.col("prediction") - F.col("recomputed")) <= 1e-9 * (1 + F.abs("recomputed"))
+    return scored.join(again, scored["bucket"] == again["key"], "left").select(
+        "series", "bucket", F.round("y_test", 4).alias("y_test"), F.coalesce(near, F.lit(False)).alias("follows_its_trees"),
     )
 
 
 GBT_DAILY = f"""
-SELECT '{S.N_PARAM}' AS series, bucket, target AS y_test, TRUE AS is_finite
+SELECT '{S.N_PARAM}' AS series, bucket, target AS y_test, TRUE AS follows_its_trees
 FROM ({DAILY_MODEL_ROWS}) WHERE is_test
 """
 
 
 def gbt_facilities(spark, sf_dir):
-    """Per series: test months, whether the stored errors are those of the stored predictions, and whether importances add up."""
+    """Per series: test months, whether the stored errors are those of the stored predictions, importances those of the stored trees."""
     result = forecast.facility_forecasts(
         t.dmr_from_lineitem(spark, sf_dir), t.permits_from_customer(spark, sf_dir), None, S.N_PARAM, n=3
     )
-    metrics = _through_run(spark, result.metrics).select("series", "n", "mae", "rmse")
+    metrics = _through_run(spark, result.metrics).select("series", "n", "mae", "rmse", "rounds", "grown")
     error = F.col("y_test") - F.col("prediction")
     again = _through_run(spark, result.predictions).groupBy("series").agg(
         F.avg(F.abs(error)).alias("mae_again"), F.sqrt(F.avg(error * error)).alias("rmse_again")
     )
-    shares = _through_run(spark, result.importance).groupBy("series").agg(F.sum("importance").alias("total"))
+    shares = _through_run(spark, result.importance).groupBy("series").agg(
+        F.sum("importance").alias("total"), F.sum("weight").alias("splits")
+    )
+    trees = _through_run(spark, result.nodes).groupBy("series").agg(
+        F.count("feature").alias("splits_again"), F.max("tree").alias("trees")
+    )
 
     def near(a, b):
         return F.abs(F.col(a) - F.col(b)) <= 1e-9 * (1 + F.abs(F.col(b)))
 
-    return metrics.join(again, "series").join(shares, "series").select(
+    stopped = (F.col("grown") == forecast.MONTHLY.rounds) | (F.col("grown") - F.col("rounds") == forecast.MONTHLY.patience)
+    return metrics.join(again, "series").join(shares, "series").join(trees, "series").select(
         "series", F.col("n").alias("n_test"), (near("mae", "mae_again") & near("rmse", "rmse_again")).alias("errors_agree"),
         ((F.abs(F.col("total") - 1) < 1e-6) | (F.col("total") == 0)).alias("importance_adds_up"),
+        ((F.col("splits") == F.col("splits_again")) & (F.col("trees") == F.col("rounds"))).alias("trees_agree"),
+        stopped.alias("stopped_by_patience"),
     )
 
 
@@ -377,7 +388,8 @@ top AS (
   HAVING count_if(flag = 'A') > 0 AND count_if(flag = 'R') > 0
   ORDER BY avg(v) FILTER (flag = 'A') * avg(v) FILTER (flag = 'R') DESC, series LIMIT 3),
 months AS (SELECT series, count(DISTINCT month) AS n FROM readings JOIN top USING (series) WHERE flag = 'A' GROUP BY series)
-SELECT series, greatest(1, floor(0.2::DOUBLE * (n - 12)))::BIGINT AS n_test, TRUE AS errors_agree, TRUE AS importance_adds_up
+SELECT series, greatest(1, floor(0.2::DOUBLE * (n - 12)))::BIGINT AS n_test, TRUE AS errors_agree, TRUE AS importance_adds_up,
+       TRUE AS trees_agree, TRUE AS stopped_by_patience
 FROM months WHERE n >= 24
 """
 

@@ -17,7 +17,7 @@ from rillgauge.sources import scans, sinks
 
 log = logging.getLogger(__name__)
 
-TRAINING = {"rounds": int, "rate": float, "depth": int, "bins": int, "tolerance": float}
+TRAINING = {"rounds": int, "rate": float, "depth": int, "bins": int, "patience": int}
 
 
 def run_ingest_dmr(spark, a):
@@ -74,7 +74,7 @@ def run_timeseries(spark, a):
 def _write_forecast(result, output, run):
     if result.predictions is None:
         log.warning("not enough data to model")
-    for name in ("predictions", "metrics", "importance", "skipped"):
+    for name in ("predictions", "metrics", "importance", "nodes", "skipped"):
         table = getattr(result, name)
         if table is not None:
             sinks.write_run(table, f"{output}/{name}", run)

@@ -8,91 +8,71 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillgauge import schemas as S
 from rillgauge.functions import clean
+from rillgauge.operators import boosting
 from rillgauge.operators import timeseries as ts
+from rillgauge.operators.boosting import Boosting
 from rillgauge.plans import reports
-from rillgauge.session import materialised, shared_dir
+from rillgauge.session import materialised, scratch_path
 
-
-@dataclass(frozen=True)
-class Training:
-    """Boosting settings.
-
-    Rounds end early when the error on the test rows falls by less than ``tolerance`` of itself from
-    one round to the next.
-    """
-
-    rounds: int = 1000
-    rate: float = 0.05
-    depth: int = 6
-    bins: int = 256
-    tolerance: float = 0.001
-    seed: int = 42
-
-
-DAILY = Training(rate=0.05)
-MONTHLY = Training(rate=0.3)
+DAILY = Boosting(rate=0.05, patience=10)
+MONTHLY = Boosting(rate=0.3, patience=50)
 FITS_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
 class Forecast:
-    """Result tables of a run, each with a ``series`` column; None where nothing was fitted."""
+    """Result tables of a run, each with a ``series`` column; None where nothing was fitted.
+
+    ``metrics`` has the errors on the test rows, the ``rounds`` of the best model and those ``grown``; ``nodes`` has the
+    trees, see :func:`boosting.stored_nodes`, from which ``importance`` is counted.
+    """
 
     predictions: DataFrame | None = None
     metrics: DataFrame | None = None
     importance: DataFrame | None = None
+    nodes: DataFrame | None = None
     skipped: DataFrame | None = None
 
 
-def fit(rows: DataFrame, settings: Training) -> GBTRegressionModel:
-    """Fit on the rows that are not ``is_test``; the others decide when to stop."""
-    return GBTRegressor(
-        featuresCol="vector", labelCol="target", validationIndicatorCol="is_test", stepSize=settings.rate,
-        maxDepth=settings.depth, maxBins=settings.bins, maxIter=settings.rounds,
-        validationTol=settings.tolerance, seed=settings.seed,
-    ).fit(rows)
-
-
-def _importance(spark: SparkSession, series: str, names: Sequence[str], model) -> DataFrame:
-    rows = [(series, n, float(v)) for n, v in zip(names, model.featureImportances.toArray())]
-    return spark.createDataFrame(rows, "series string, feature string, importance double").orderBy(
-        F.col("importance").desc(), F.col("feature")
-    )
-
-
 def train_series(
-    featured: DataFrame, series: Sequence[str], names: Sequence[str], settings: Training
+    featured: DataFrame, series: Sequence[str], names: Sequence[str], settings: Boosting, order: str = "weight"
 ) -> Forecast:
     """One model per listed series over a stored feature table with ``series`` and ``is_test``.
 
     The list is bounded by the caller's top n, and a series by the calendar, so these are a
-    few fits over small tables; independent ones run side by side.
+    few fits over small tables; independent ones run side by side. Features are listed by ``order``, the number of
+    their splits (``weight``) or the share of their gain (``importance``).
     """
     spark = featured.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     vectors = VectorAssembler(inputCols=list(names), outputCol="vector").transform(featured)
 
-    def one(key: str) -> tuple[DataFrame, DataFrame]:
-        rows = vectors.filter(F.col("series") == key)
-        model = fit(rows, settings)
-        scored = model.transform(rows.filter("is_test")).drop("vector", "is_test")
-        return scored, _importance(spark, key, names, model)
+    def one(key: str) -> tuple[DataFrame, DataFrame, DataFrame, tuple[str, int, int]]:
+        rows = materialised(vectors.filter(F.col("series") == key).coalesce(1), "series")  # a row a day at most
+        fitted = boosting.fit(rows, settings)
+        path = scratch_path(spark, "model")
+        fitted.model.write().save(path)
+        nodes = boosting.stored_nodes(spark, path)
+        scored = fitted.model.transform(rows.filter("is_test")).drop("vector", "is_test")
+        importance = boosting.split_importance(nodes, list(names)).withColumn("series", F.lit(key))
+        return scored, importance, nodes.withColumn("series", F.lit(key)), (key, fitted.rounds, fitted.grown)
 
     with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
         fitted = list(pool.map(one, series))
-    predictions, importance = [f[0] for f in fitted], [f[1] for f in fitted]
-    if not predictions:
+    if not fitted:
         return Forecast()
-    scored = reduce(DataFrame.unionByName, predictions).withColumnRenamed("target", "y_test")
-    metrics = ts.error_metrics(scored, ["series"], "y_test", "prediction")
-    return Forecast(scored, metrics, reduce(DataFrame.unionByName, importance))
+    scored, importance, nodes = (reduce(DataFrame.unionByName, tables) for tables in list(zip(*fitted))[:3])
+    scored = scored.withColumnRenamed("target", "y_test")
+    rounds = spark.createDataFrame([f[3] for f in fitted], "series string, rounds int, grown int")
+    metrics = ts.error_metrics(scored, ["series"], "y_test", "prediction").join(rounds, "series")
+    ordered = importance.select("series", "feature", "importance", "weight", "gain").orderBy(
+        "series", F.col(order).desc(), "feature"
+    )
+    return Forecast(scored, metrics, ordered, nodes)
 
 
 def daily_series(dmr: DataFrame, parameter: str, unit: str = S.CONCENTRATION_UNIT) -> DataFrame:
@@ -112,7 +92,7 @@ def daily_model_table(dmr: DataFrame, parameter: str) -> DataFrame:
     return ts.split_first(featured.dropna(subset=ts.DAILY_FEATURES), ["series"])
 
 
-def daily_forecast(dmr: DataFrame, parameter: str, settings: Training = DAILY) -> Forecast:
+def daily_forecast(dmr: DataFrame, parameter: str, settings: Boosting = DAILY) -> Forecast:
     """Forecast the daily mean of a parameter; empty when there is nothing to split."""
     table = materialised(daily_model_table(dmr, parameter), "daily")
     if table.filter("is_test").isEmpty() or table.filter(~F.col("is_test")).isEmpty():
@@ -138,7 +118,7 @@ def monthly_series(dmr: DataFrame, parameter: str, permits: Sequence[str]) -> Da
 
 def facility_forecasts(
     dmr: DataFrame, permits: DataFrame, state: str | None, parameter: str,
-    f_param: str = S.F_PARAM, n: int = 5, settings: Training = MONTHLY, leak_free: bool = False,
+    f_param: str = S.F_PARAM, n: int = 5, settings: Boosting = MONTHLY, leak_free: bool = False,
     min_points: int = 24, min_featured: int = 12,
 ) -> Forecast:
     """One monthly forecast for each of the n permits with the largest load.
@@ -164,7 +144,7 @@ def facility_forecasts(
     )
     ready = ts.split_last(featured.dropna(subset=ts.MONTHLY_FEATURES), ["series"])
     kept = [r.series for r in gates.filter("skip_reason IS NULL").orderBy("series").limit(n).collect()]
-    result = train_series(ready, kept, ts.MONTHLY_FEATURES, settings)
+    result = train_series(ready, kept, ts.MONTHLY_FEATURES, settings, order="importance")
     return replace(result, skipped=gates.filter("skip_reason IS NOT NULL"))
 
 

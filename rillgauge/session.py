@@ -35,12 +35,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path in it."""
+    held = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return held.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), held
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    system, path = file_system(spark, folder)
+    system.delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Remove the scratch folders of this process; frames that read them must be done with."""
-    jvm = spark.sparkContext._jvm
     while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(spark, _SCRATCH.pop())
 
 
 def materialised(df: DataFrame, name: str = "table") -> DataFrame:
@@ -52,4 +61,17 @@ def materialised(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table that :func:`materialised` made and that no frame in use reads any more."""
+    path = getattr(table, "_scratch", None)
+    if path is None:
+        return
+    folder = path.rsplit("/", 1)[0]
+    if folder in _SCRATCH:
+        _SCRATCH.remove(folder)
+        _remove(table.sparkSession, folder)
