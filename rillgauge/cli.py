@@ -20,22 +20,25 @@ log = logging.getLogger(__name__)
 TRAINING = {"rounds": int, "rate": float, "depth": int, "bins": int, "patience": int}
 
 
+def _log_counts(counts):
+    for name, n in counts.items():
+        log.info("%s: %d", name, n)
+
+
 def run_ingest_dmr(spark, a):
-    rows = ingest.ingest_dmr(spark, a.input, a.output, a.start_year, a.end_year)
-    log.info("stored %d rows", rows["rows"])
-    log.info("malformed lines: %d", rows["malformed"])
+    _log_counts(ingest.ingest_dmr(spark, a.input, a.output, a.start_year, a.end_year, a.max_malformed))
 
 
 def run_ingest_facilities(spark, a):
-    log.info("states back-filled: %s", ingest.ingest_facilities(spark, a.input, a.output))
+    _log_counts(ingest.ingest_facilities(spark, a.input, a.output, a.max_malformed))
 
 
 def run_ingest_permits(spark, a):
-    log.info("stored %d rows", ingest.ingest_permits(spark, a.input, a.output))
+    _log_counts(ingest.ingest_permits(spark, a.input, a.output, a.max_malformed))
 
 
 def run_ingest_naics(spark, a):
-    log.info("stored %d rows", ingest.ingest_naics(spark, a.input, a.output))
+    _log_counts(ingest.ingest_naics(spark, a.input, a.output, a.max_malformed))
 
 
 def _report(report, path, order, limit=None, hidden=(), shown=reports.PREVIEW_ROWS):
@@ -101,11 +104,11 @@ def run_facility_forecasts(spark, a):
 def run_site_extract(spark, a):
     labels = scans.present_labels(spark, a.input, a.labels)
     if labels:
-        sites = extracts.site_measurements(
-            scans.scan_dmr(spark, a.input, labels),
-            scans.scan_facilities(spark, f"{a.input}/ICIS_FACILITIES.csv"),
-        )
-        sinks.write_sites(sites, a.output)
+        _log_counts(extracts.store_sites(
+            scans.scan_dmr(spark, a.input, labels, checked=True),
+            scans.scan_facilities(spark, f"{a.input}/ICIS_FACILITIES.csv", checked=True),
+            a.output, by_month=a.by_month, max_malformed=a.max_malformed,
+        ))
         stored = scans.read_sites(spark, a.output)
         log.info("facilities located: %d", stored.select("npdes").distinct().count())
         if a.json:
@@ -162,12 +165,17 @@ def parser() -> argparse.ArgumentParser:
         for name, kind in TRAINING.items():
             p.add_argument(f"--{name}", type=kind)
 
-    p = job("ingest-dmr", run_ingest_dmr, "input", "output")
+    def reading(name, run, *positional):
+        p = job(name, run, *positional)
+        p.add_argument("--max-malformed", type=float, default=ingest.MAX_MALFORMED, help="share of malformed lines to bear")
+        return p
+
+    p = reading("ingest-dmr", run_ingest_dmr, "input", "output")
     p.add_argument("--start-year", type=int, required=True)
     p.add_argument("--end-year", type=int, required=True)
-    job("ingest-facilities", run_ingest_facilities, "input", "output")
-    job("ingest-permits", run_ingest_permits, "input", "output")
-    job("ingest-naics", run_ingest_naics, "input", "output")
+    reading("ingest-facilities", run_ingest_facilities, "input", "output")
+    reading("ingest-permits", run_ingest_permits, "input", "output")
+    reading("ingest-naics", run_ingest_naics, "input", "output")
 
     p = job("hotspots", run_hotspots, "dmr", "facilities", "output")
     p.add_argument("--year", required=True)
@@ -189,7 +197,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--run", required=True)
     training(p)
 
-    p = job("site-extract", run_site_extract, "input", "output")
+    p = reading("site-extract", run_site_extract, "input", "output")
+    p.add_argument("--by-month", action="store_true", help="cut records by month, not by year")
     p.add_argument("--labels", nargs="+", help="labels to take; all that are there by default")
     p.add_argument("--json", help="folder of a JSON export")
     job("pollutant-extract", run_pollutant_extract, "input", "output")

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillgauge.functions import clean
+from rillgauge.operators.sizing import broadcast_if_small
 from rillgauge.schemas import EARLY_LABEL
+from rillgauge.session import materialised
+
 
 def year_text(date_text: Column) -> Column:
     """Year of a valid period date as text, NULL for any other text."""
@@ -18,33 +22,59 @@ def year_text(date_text: Column) -> Column:
     )
 
 
+CHUNK_ROWS = 4096  # consecutive rows of a split whose measurements are put together first, at most
+RECORD_ROWS = 1_000_000  # measurements of a record, up to one chunk more
+
+
+def _chunk(rows: DataFrame) -> Column:
+    """Which ``CHUNK_ROWS`` rows of the source a position lies in; chunks are in the order of positions."""
+    kind = rows.schema["pos"].dataType
+    if isinstance(kind, T.StructType):
+        *start, last = kind.names
+        return F.struct(*[F.col(f"pos.{n}").alias(n) for n in start], F.floor(F.col(f"pos.{last}") / CHUNK_ROWS).alias(last))
+    return F.floor(F.col("pos") / CHUNK_ROWS)
+
+
 def nest_measurements(
-    rows: DataFrame, keys: Sequence[str], carried: Sequence[str] = (), by_month: bool = False
+    rows: DataFrame, keys: Sequence[str], carried: Sequence[str] = (), by_month: bool = False,
+    record_rows: int = RECORD_ROWS,
 ) -> DataFrame:
     """One record per key and calendar year with its measurements in source order and its last unit.
 
     Input columns: the keys (not NULL), columns ``carried`` along that are constant
-    within a key, ``date``, ``value``, ``unit`` and ``pos`` (source order).
+    within a key, ``date``, ``value``, ``unit`` and ``pos`` (source order: a whole number, or a struct that ends with one).
 
-    Every key is cut by ``cal_year``, a value of the row, so a record is bounded by the
-    calendar, the same data gives the same records however it is split, and rows are shuffled
-    once. ``by_month`` cuts further, for keys reported many times a day: ``part`` is
-    then the month, else 0.
+    Every key is cut by ``cal_year``, and ``by_month`` cuts further; ``part`` is then the month, else 0. Measurements are put together
+    twice: those of a key in one chunk of the source, which the task that reads the chunk can do, and then the chunks of
+    a record. A key year with more than ``record_rows`` measurements becomes several records, cut between chunks, with 100, 200 and
+    so on added to ``part``; so a key with a third of all rows is dealt over tasks, and no record is larger for being collected in one.
     """
     month = F.month(clean.to_period_date("date")).cast("bigint")
     cut = [*keys, "cal_year", "part"]
     entry = F.struct("pos", "date", "value", "unit")
-    # The lists do not shrink by partial collection: shuffle first, collect once.
+    dated = rows.withColumns(
+        {"cal_year": year_text(F.col("date")), "part": month if by_month else F.lit(0).cast("bigint"), "chunk": _chunk(rows)}
+    )
+    chunks = materialised(
+        dated.groupBy(*cut, "chunk").agg(
+            *[F.max(c).alias(c) for c in carried], F.sort_array(F.collect_list(entry)).alias("entries"), F.count(F.lit(1)).alias("n")
+        ).withColumn("id", F.monotonically_increasing_id()),
+        "chunks",
+    )
+    large = chunks.groupBy(*cut).agg(F.sum("n").alias("all")).where(F.col("all") > record_rows).drop("all")
+    # The chunks of large keys are numbered without their measurements: a few bytes for CHUNK_ROWS rows.
+    order = Window.partitionBy(*cut).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(order), F.lit(0))
+    numbered = chunks.select(*cut, "chunk", "n", "id").join(broadcast_if_small(large), cut, "left_semi").select(
+        "id", (100 * F.floor(before / record_rows)).alias("more")
+    )
+    placed = chunks.join(broadcast_if_small(materialised(numbered, "numbered")), "id", "left").withColumn(
+        "part", F.col("part") + F.coalesce("more", F.lit(0))
+    )
+    held = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "entries"))), lambda c: c["entries"]))
     return (
-        rows.withColumns(
-            {"cal_year": year_text(F.col("date")), "part": month if by_month else F.lit(0).cast("bigint")}
-        )
-        .repartition(*cut)
-        .groupBy(*cut)
-        .agg(
-            *[F.max(c).alias(c) for c in carried],
-            F.sort_array(F.collect_list(entry)).alias("entries"),
-        )
+        placed.groupBy(*cut)
+        .agg(*[F.max(c).alias(c) for c in carried], held.alias("entries"))
         .select(
             *keys,
             *carried,

@@ -9,7 +9,9 @@ from rillgauge import schemas as S
 from rillgauge.functions import clean, geo
 from rillgauge.operators import nested, proximity
 from rillgauge.operators.sizing import broadcast_if_small
+from rillgauge.plans import ingest
 from rillgauge.session import materialised
+from rillgauge.sources import sinks
 
 
 def facility_lookup(raw_facilities: DataFrame) -> DataFrame:
@@ -67,6 +69,26 @@ def site_measurements(raw_dmr: DataFrame, raw_facilities: DataFrame, by_month: b
     )
 
 
+def store_sites(
+    raw_dmr: DataFrame, raw_facilities: DataFrame, path: str, by_month: bool = False,
+    max_malformed: float = ingest.MAX_MALFORMED,
+) -> dict[str, int]:
+    """Store the site extract of two checked scans; returns the malformed lines of either, which are left out.
+
+    More than a share ``max_malformed`` of a source's lines is an error that leaves the stored extract as it was.
+    """
+    dmr, dmr_accepted = ingest.well_formed(raw_dmr, max_malformed)
+    facilities, facilities_accepted = ingest.well_formed(raw_facilities, max_malformed)
+    counts = {}
+
+    def accept() -> None:
+        counts.update(malformed=dmr_accepted(), malformed_facilities=facilities_accepted())
+
+    sites = site_measurements(dmr, facilities, by_month)
+    sinks.publish_partitioned(sites, path, sinks.SITE_KEYS, sinks.SITE_ORDER, accept=accept)
+    return counts
+
+
 def pollutant_measurements(sites: DataFrame) -> DataFrame:
     """Nested records by year and pollutant."""
     return nested.split_by_year(sites)

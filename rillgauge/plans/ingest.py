@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,61 +73,72 @@ def naics_table(raw: DataFrame) -> DataFrame:
     return raw.withColumn("state", clean.state_prefix("NPDES_ID"))
 
 
+MAX_MALFORMED = 0.01  # share of the lines
+
+
+def well_formed(lines: DataFrame, max_malformed: float = MAX_MALFORMED) -> tuple[DataFrame, Callable[[], int]]:
+    """The good records of a checked scan, and a function for after the write.
+
+    It returns the number of malformed lines, which are left out, or raises when they are more than a share ``max_malformed``.
+    """
+    read = Observation()
+    bad = F.col("malformed").isNotNull()
+    counted = lines.observe(
+        read, F.sum("n_lines").alias("lines"), F.coalesce(F.sum(F.when(bad, F.col("n_lines"))), F.lit(0)).alias("malformed")
+    )
+
+    def accepted() -> int:
+        seen = read.get
+        if seen["malformed"] > max_malformed * (seen["lines"] or 0):
+            raise ValueError(f"{seen['malformed']} of {seen['lines']} lines are malformed")
+        return seen["malformed"]
+
+    return counted.filter(~bad).drop("malformed", "n_lines"), accepted
+
+
+def _published(
+    lines: DataFrame, table_of: Callable[[DataFrame], DataFrame], output: str, keys: list[str], sort: list[str],
+    max_malformed: float, *counts: Column,
+) -> dict[str, int]:
+    """Store the table of the good lines in place of the folders it has rows for; its counts, gathered during the write."""
+    seen = Observation()
+    good, accepted = well_formed(lines, max_malformed)
+    table = table_of(good).observe(seen, *(counts or [F.count(F.lit(1)).alias("rows")]))
+    sinks.publish_partitioned(table, output, keys, sort, accept=accepted)
+    return {**seen.get, "malformed": accepted()}
+
+
 def ingest_dmr(
-    spark: SparkSession, input_dir: str, output: str, start_year: int, end_year: int, max_malformed: float = 0.01
+    spark: SparkSession, input_dir: str, output: str, start_year: int, end_year: int, max_malformed: float = MAX_MALFORMED
 ) -> dict[str, int]:
     """Store a range of years; a re-run replaces them.
 
     Returns the rows written and the malformed lines, which are left out. More than a share
-    ``max_malformed`` of the lines is an error.
+    ``max_malformed`` of the lines is an error, which leaves the stored table as it was.
     """
     present = scans.present_labels(
         spark, input_dir, scans.labels_for_years(start_year, end_year)
     )
     if not present:
         return {"rows": 0, "malformed": 0}
-    seen, read = Observation("dmr"), Observation("lines")
-    # A line break inside the outermost fields leaves the number of fields right, but a quote astray.
-    astray = F.coalesce(F.col(S.DMR_COLUMNS[0]).contains('"') | F.col(S.DMR_COLUMNS[-1]).startswith('"'), F.lit(False))
-    bad = F.col("malformed").isNotNull() | astray
-    lines = scans.scan_dmr(spark, input_dir, present, checked=True).observe(
-        read, F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("malformed")
-    )
-    table = dmr_table(lines.filter(~bad), start_year, end_year)
-    sinks.write_partitioned(
-        table.observe(seen, F.count(F.lit(1)).alias("rows")),
-        output,
-        ["year", "state"],
-        sort=["PARAMETER_DESC", "EXTERNAL_PERMIT_NMBR"],
+    return _published(
+        scans.scan_dmr(spark, input_dir, present, checked=True), lambda good: dmr_table(good, start_year, end_year),
+        output, ["year", "state"], ["PARAMETER_DESC", "EXTERNAL_PERMIT_NMBR"], max_malformed,
     )
-    malformed = read.get["malformed"]
-    if malformed > max_malformed * read.get["lines"]:
-        raise ValueError(f"{malformed} of {read.get['lines']} lines are malformed")
-    return {"rows": seen.get["rows"], "malformed": malformed}
 
 
-def ingest_facilities(spark: SparkSession, path: str, output: str) -> dict[str, int]:
-    """Store the facilities; returns the back-fill counts, gathered during the write."""
-    seen = Observation("facilities")
-    table = facility_table(scans.scan_facilities(spark, path))
-    sinks.write_partitioned(table.observe(seen, *backfill_counts()), output, ["state"], sort=["NPDES_ID"])
-    return seen.get
+def ingest_facilities(spark: SparkSession, path: str, output: str, max_malformed: float = MAX_MALFORMED) -> dict[str, int]:
+    """Store the facilities; returns the back-fill counts and the malformed lines."""
+    lines = scans.scan_facilities(spark, path, checked=True)
+    return _published(lines, facility_table, output, ["state"], ["NPDES_ID"], max_malformed, *backfill_counts())
 
 
-def _stored(table: DataFrame, output: str, keys: list[str], sort: list[str]) -> int:
-    """Store a table; returns its rows, counted during the write."""
-    seen = Observation()
-    sinks.write_partitioned(table.observe(seen, F.count(F.lit(1)).alias("rows")), output, keys, sort)
-    return seen.get["rows"]
-
-
-def ingest_permits(spark: SparkSession, path: str, output: str) -> int:
-    """Store the permits; returns the rows read."""
-    return _stored(
-        permit_table(scans.scan_permits(spark, path)), output, ["PERMIT_TYPE_CODE"], ["EXTERNAL_PERMIT_NMBR"]
-    )
+def ingest_permits(spark: SparkSession, path: str, output: str, max_malformed: float = MAX_MALFORMED) -> dict[str, int]:
+    """Store the permits; returns the rows written and the malformed lines."""
+    lines = scans.scan_permits(spark, path, checked=True)
+    return _published(lines, permit_table, output, ["PERMIT_TYPE_CODE"], ["EXTERNAL_PERMIT_NMBR"], max_malformed)
 
 
-def ingest_naics(spark: SparkSession, path: str, output: str) -> int:
-    """Store the industry codes; returns the rows read."""
-    return _stored(naics_table(scans.scan_naics(spark, path)), output, ["state"], ["NPDES_ID"])
+def ingest_naics(spark: SparkSession, path: str, output: str, max_malformed: float = MAX_MALFORMED) -> dict[str, int]:
+    """Store the industry codes; returns the rows written and the malformed lines."""
+    return _published(scans.scan_naics(spark, path, checked=True), naics_table, output, ["state"], ["NPDES_ID"], max_malformed)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillgauge import schemas as S
 from rillgauge.functions import clean
+from rillgauge.session import materialised
+from rillgauge.sources import records
 
 log = logging.getLogger(__name__)
 
@@ -17,14 +20,34 @@ log = logging.getLogger(__name__)
 LABEL_PATTERN = r"(?:^|/)NPDES_DMRS_(?:FY([0-9]{4})|(PREFY2009))\.csv(?:/|$)"
 
 
-def _csv(spark: SparkSession, schema):
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
+# How the files quote.
+CSV = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "malformed"}
+
+
+def _parsed(spark: SparkSession, paths: list[str], columns: Sequence[str], checked: bool) -> DataFrame:
+    """Records of CSV files: the columns, ``malformed`` (the text of a record with another number of fields), ``n_lines``, ``path``, ``source_pos``.
+
+    A first scan finds the files that hold line breaks inside quoted fields, see :mod:`records`; the others are read by
+    Spark's own reader. Every file has a header. Fields are counted only if ``checked``: a pruned scan does not look at them all.
+    """
+    schema = S.text_schema([*columns, "malformed"])
+    every = records.lines(spark, paths)
+    splits = materialised(records.surveyed(every), "splits")
+    broken = records.broken_files(splits)
+    reader = spark.read.schema(schema).options(header=True, encoding="UTF-8", columnPruning=not checked, **CSV)
+    rows = reader.csv(paths).select(
+        "*", F.lit(1).cast("bigint").alias("n_lines"), F.col("_metadata.file_path").alias("path"), source_pos().alias("source_pos")
+    )
+    if not broken:
+        return rows
+    text = records.assembled(every.where(F.col("file").isin(broken)), splits.where(F.col("file").isin(broken)))
+    fields = F.from_csv("text", ", ".join(f"`{f.name}` string" for f in schema.fields), CSV)
+    place = F.struct(F.col("name").alias("file"), "block", "row")
+    put = text.select(fields.alias("f"), "text", "stray", "n_lines", F.col("file").alias("path"), place.alias("source_pos")).select(
+        *[F.col(f"f.`{c}`").alias(c) for c in columns],
+        F.when(F.col("stray"), F.col("text")).otherwise(F.col("f.malformed")).alias("malformed"), "n_lines", "path", "source_pos",
     )
+    return rows.where(~F.col("path").isin(broken)).unionByName(put)
 
 
 def source_pos() -> Column:
@@ -83,47 +106,38 @@ def present_labels(spark: SparkSession, input_dir: str, labels: list[str] | None
     return [label for label in labels if label in present]
 
 
+def _scan(spark: SparkSession, paths: list[str], columns: Sequence[str], checked: bool, *more: Column) -> DataFrame:
+    """The fields of the records, ``more``, and if ``checked`` ``malformed`` and ``n_lines``."""
+    names = [*columns, *(["malformed", "n_lines"] if checked else [])]
+    return _parsed(spark, paths, columns, checked).select(*names, *more)
+
+
 def scan_dmr(spark: SparkSession, input_dir: str, labels: list[str], checked: bool = False) -> DataFrame:
     """All requested measurement sources in one scan, with label and row position.
 
-    ``checked`` adds ``malformed``: the text of a line with another number of fields, such as one half of
-    a record with a line break in it; NULL for good lines.
+    ``checked`` adds ``malformed``, the text of a record with another number of fields or a stray quote, NULL for good ones, and
+    ``n_lines``, the lines it was read from.
     """
-    names = [*S.DMR_COLUMNS, *(["malformed"] if checked else [])]
-    return (
-        _csv(spark, S.text_schema(names))
-        .option("columnNameOfCorruptRecord", "malformed")
-        .csv([source_path(input_dir, label) for label in labels])
-        .select(
-            "*",
-            file_label(F.col("_metadata.file_path")).alias("label"),
-            source_pos().alias("source_pos"),
-        )
-    )
+    paths = [source_path(input_dir, label) for label in labels]
+    return _scan(spark, paths, S.DMR_COLUMNS, checked, file_label(F.col("path")).alias("label"), F.col("source_pos"))
 
 
-def scan_facilities(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        _csv(spark, S.text_schema(S.FACILITY_COLUMNS))
-        .csv(path)
-        .select("*", source_pos().alias("source_pos"))
-    )
+def scan_facilities(spark: SparkSession, path: str, checked: bool = False) -> DataFrame:
+    return _scan(spark, [path], S.FACILITY_COLUMNS, checked, F.col("source_pos"))
 
 
-def scan_permits(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, S.text_schema(S.PERMIT_COLUMNS)).csv(path)
+def scan_permits(spark: SparkSession, path: str, checked: bool = False) -> DataFrame:
+    return _scan(spark, [path], S.PERMIT_COLUMNS, checked)
 
 
-def scan_naics(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, S.text_schema(S.NAICS_COLUMNS)).csv(path)
+def scan_naics(spark: SparkSession, path: str, checked: bool = False) -> DataFrame:
+    return _scan(spark, [path], S.NAICS_COLUMNS, checked)
 
 
 def scan_ad_sites(spark: SparkSession, path: str) -> DataFrame:
     """Digester sites: latitude in the 12th column, longitude in the 13th."""
-    names = [f"c{i}" for i in range(1, 14)]
     return (
-        _csv(spark, S.text_schema(names))
-        .csv(path)
+        _scan(spark, [path], [f"c{i}" for i in range(1, 14)], False)
         .select(
             clean.to_finite_text_number("c12").alias("lat"),
             clean.to_finite_text_number("c13").alias("lon"),

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Callable, Iterator
+from threading import Lock
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rillgauge.session import file_system
+
 
 def balanced(df: DataFrame, keys: list[str]) -> DataFrame:
     """Bring rows of one output folder together in evenly sized tasks.
@@ -16,6 +22,7 @@ def balanced(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 FILE_BYTES = 512 << 20
+_FILE_SIZE = Lock()  # the size of files is a setting of the session: one write at a time
 
 
 def write_partitioned(
@@ -28,12 +35,13 @@ def write_partitioned(
     very many small ones; a folder with fewer is one file.
     """
     conf, name = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = conf.get(name)
-    conf.set(name, str(file_bytes))
-    try:
-        _write_partitioned(df, path, keys, sort)
-    finally:
-        conf.set(name, before)
+    with _FILE_SIZE:
+        before = conf.get(name)
+        conf.set(name, str(file_bytes))
+        try:
+            _write_partitioned(df, path, keys, sort)
+        finally:
+            conf.set(name, before)
 
 
 def _write_partitioned(df: DataFrame, path: str, keys: list[str], sort: list[str] | None) -> None:
@@ -48,6 +56,79 @@ def _write_partitioned(df: DataFrame, path: str, keys: list[str], sort: list[str
     )
 
 
+STAGED, ACCEPTED, REPLACED = "_staged-", "_ACCEPTED", "_replaced"  # readers skip names that begin with a line
+
+
+def publish_partitioned(
+    df: DataFrame, path: str, keys: list[str], sort: list[str] | None = None, file_bytes: int = FILE_BYTES,
+    accept: Callable[[], None] | None = None,
+) -> None:
+    """Like :func:`write_partitioned`, but the stored folders are replaced only once all is written and accepted.
+
+    Rows are written to a folder beside the stored ones. ``accept`` is called when they are there and raises to refuse them,
+    which leaves the table as it was. Then they are marked as accepted, and each folder is renamed into its place, the old one out of it. A run
+    that is killed before the mark has changed nothing; one killed after it is carried to its end by the next
+    publication, or by :func:`finish_publishing`. One publication into a table runs at a time.
+    """
+    spark = df.sparkSession
+    finish_publishing(spark, path)
+    staged = f"{path.rstrip('/')}/{STAGED}{uuid.uuid4().hex}"
+    system, folder = file_system(spark, staged)
+    try:
+        write_partitioned(df, staged, keys, sort, file_bytes)
+        if accept is not None:
+            accept()
+    except BaseException:
+        system.delete(folder, True)
+        raise
+    system.create(_child(spark, staged, ACCEPTED), True).close()
+    _put_in_place(spark, path, staged)
+
+
+def finish_publishing(spark: SparkSession, path: str) -> None:
+    """End what a killed run has left in a table: accepted folders go to their places, others go away."""
+    system, folder = file_system(spark, path)
+    if not system.exists(folder):
+        return
+    for name in [s.getPath().getName() for s in system.listStatus(folder)]:
+        if name.startswith(STAGED):
+            staged = f"{path.rstrip('/')}/{name}"
+            if system.exists(_child(spark, staged, ACCEPTED)):
+                _put_in_place(spark, path, staged)
+            else:
+                system.delete(_child(spark, staged), True)
+
+
+def _child(spark: SparkSession, *names: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join(names))
+
+
+def _partition_folders(spark: SparkSession, root: str, below: str = "") -> Iterator[str]:
+    """The innermost ``key=value`` folders, relative to the root."""
+    system, _ = file_system(spark, root)
+    names = [s.getPath().getName() for s in system.listStatus(_child(spark, f"{root}{below}")) if s.isDirectory()]
+    inner = [f"{below}/{n}" for n in names if "=" in n and not n.startswith("_")]
+    for folder in inner:
+        yield from _partition_folders(spark, root, folder)
+    if not inner and below:
+        yield below
+
+
+def _put_in_place(spark: SparkSession, path: str, staged: str) -> None:
+    system, root = file_system(spark, staged)
+    for folder in list(_partition_folders(spark, staged)):
+        fresh, target = _child(spark, f"{staged}{folder}"), _child(spark, f"{path.rstrip('/')}{folder}")
+        if system.exists(target):
+            old = _child(spark, f"{staged}/{REPLACED}{folder}")
+            system.mkdirs(old.getParent())
+            if not system.rename(target, old):
+                raise OSError(f"cannot move {target}")
+        system.mkdirs(target.getParent())
+        if not system.rename(fresh, target):
+            raise OSError(f"cannot move {fresh}")
+    system.delete(root, True)
+
+
 def write_nested_json(df: DataFrame, path: str, keys: list[str]) -> None:
     """JSON lines under key folders, with the same overwrite rule."""
     (
@@ -60,9 +141,12 @@ def write_nested_json(df: DataFrame, path: str, keys: list[str]) -> None:
     )
 
 
+SITE_KEYS, SITE_ORDER = ["cal_year", "state"], ["npdes", "pollutant"]
+
+
 def write_sites(sites: DataFrame, path: str) -> None:
     """The site extract as a table by calendar year and state."""
-    write_partitioned(sites, path, ["cal_year", "state"], sort=["npdes", "pollutant"])
+    write_partitioned(sites, path, SITE_KEYS, SITE_ORDER)
 
 
 def write_site_json(sites: DataFrame, path: str) -> None:

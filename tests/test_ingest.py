@@ -1,3 +1,7 @@
+import csv
+import random
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +9,7 @@ from helpers import F_, N, reading, write_csv
 from rillgauge import schemas as S
 from rillgauge.operators import inspect as inspector
 from rillgauge.plans import ingest, reports
-from rillgauge.sources import scans, sinks
+from rillgauge.sources import records, scans, sinks
 
 
 @pytest.fixture()
@@ -88,7 +92,7 @@ def test_dimension_tables(spark, tmp_path):
         {"NPDES_ID": "", "STATE_CODE": ""},
     ])
     counts = ingest.ingest_facilities(spark, str(source), str(tmp_path / "facilities"))
-    assert counts == {"rows": 3, "missing": 2, "fixed": 1, "still_missing": 1}
+    assert counts == {"rows": 3, "missing": 2, "fixed": 1, "still_missing": 1, "malformed": 0}
     stored = {r.NPDES_ID: r for r in scans.read_facilities(spark, str(tmp_path / "facilities")).collect()}
     assert (stored["OH1"].state, stored["OH1"].state_raw) == ("OH", None)
     assert (stored["OH1"].GEOCODE_LATITUDE, stored["OH1"].GEOCODE_LONGITUDE) == (40.5, None)
@@ -198,10 +202,151 @@ def test_malformed_lines_are_counted(spark, raw, tmp_path):
     extra = ",".join(["x"] * (len(S.DMR_COLUMNS) + 3))
     broken = ",".join(['"a\nb"', *["y"] * (len(S.DMR_COLUMNS) - 1)])
     path.write_bytes(path.read_bytes() + f"OH1,two\n{extra}\n{broken}\n".encode())
-    found = ingest.ingest_dmr(spark, str(raw), str(tmp_path / "dmr"), 2022, 2022, max_malformed=0.5)
-    assert found == {"rows": 20, "malformed": 4}
+    output = str(tmp_path / "dmr")
+    found = ingest.ingest_dmr(spark, str(raw), output, 2022, 2022, max_malformed=0.5)
+    assert found == {"rows": 21, "malformed": 2}
+    # A refused file leaves the stored rows as they are, and nothing beside them.
+    before = sorted(map(str, scans.read_dmr(spark, output).collect()))
+    path.write_bytes(path.read_bytes() + b"OH1,bad\n" * 30)
     with pytest.raises(ValueError, match="malformed"):
-        ingest.ingest_dmr(spark, str(raw), str(tmp_path / "dmr"), 2022, 2022)
+        ingest.ingest_dmr(spark, str(raw), output, 2022, 2022)
+    assert sorted(map(str, scans.read_dmr(spark, output).collect())) == before
+    assert not [p.name for p in (tmp_path / "dmr").iterdir() if p.name.startswith(sinks.STAGED)]
+
+
+@pytest.mark.parametrize("ingest_one, columns", [
+    (ingest.ingest_facilities, S.FACILITY_COLUMNS), (ingest.ingest_permits, S.PERMIT_COLUMNS), (ingest.ingest_naics, S.NAICS_COLUMNS),
+])
+def test_malformed_lines_of_dimensions(spark, tmp_path, ingest_one, columns):
+    source, output = tmp_path / "d.csv", str(tmp_path / "d")
+    key = "EXTERNAL_PERMIT_NMBR" if "EXTERNAL_PERMIT_NMBR" in columns else "NPDES_ID"
+    write_csv(source, columns, [{key: f"OH{i}", columns[-1]: 'in "two"\nlines'} for i in range(5)])
+    source.write_text(source.read_text() + "x,y\n")
+    with pytest.raises(ValueError, match="1 of 11 lines"):
+        ingest_one(spark, str(source), output)
+    counts = ingest_one(spark, str(source), output, max_malformed=0.1)
+    assert (counts["rows"], counts["malformed"]) == (5, 1)
+    stored = spark.read.parquet(output).select(key, columns[-1]).collect()
+    assert {tuple(r) for r in stored} == {(f"OH{i}", 'in "two"\nlines') for i in range(5)}
+
+
+def csv_records(path):
+    with open(path, newline="", encoding="utf-8", errors="replace") as file:
+        return [[x.replace("\r\n", "\n") or None for x in r] for r in csv.reader(file)][1:]
+
+
+@pytest.mark.parametrize("split", [None, 64, 190, 1000])
+def test_records_with_line_breaks_equal_a_plain_reader(spark, tmp_path, split):
+    """Fields with line breaks, quotes and blank lines in them, in files cut into splits of any size."""
+    rng = random.Random(split or 7)
+    columns = ["a", "b", "c"]
+
+    def field():
+        return rng.choice(["x", "", "a,b", 'say ""hi""', "one\ntwo", "\n", "\n\n", 'q""\n""', "é" * 9, "\ntail", "long " * 8, "\r\nend"])
+
+    files = []
+    for name, n in (("one.csv", 40), ("two.csv", 25), ("plain.csv", 30)):
+        body = [",".join(f'"{field()}"' for _ in columns) for _ in range(n)]
+        if name == "plain.csv":
+            body = [f"{i},y,z" for i in range(n)]
+        head = 'a,"b\nb",c' if name == "two.csv" else "a,b,c"
+        files.append(tmp_path / name)
+        files[-1].write_text("\n".join([head, *body]) + rng.choice(["", "\n"]), encoding="utf-8", newline="")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    try:
+        if split:
+            spark.conf.set(name, str(split))
+        found = scans._scan(spark, [str(f) for f in files], columns, True, F.col("source_pos"), F.col("path"))
+        got = found.orderBy("source_pos").collect()
+    finally:
+        spark.conf.set(name, before)
+    assert not [r for r in got if r.malformed]
+    for file in files:
+        mine = [[r.a, r.b, r.c] for r in got if r.path.endswith(file.name)]
+        # Rows of blank fields alone are lines too; blank lines are none.
+        assert mine == csv_records(file), file.name
+    assert sum(r.n_lines for r in got) == sum(len(f.read_text().splitlines()) for f in files) - 4
+
+
+def test_a_stray_quote_spoils_its_own_line(spark, tmp_path):
+    source = tmp_path / "s.csv"
+    body = [f"{i},y,z" for i in range(30)]
+    body[3], body[20], body[21] = '3,"stray,z', '20,"two', 'lines",z'
+    source.write_text("\n".join(["a,b,c", *body]) + "\n")
+    every = records.lines(spark, [str(source)])
+    found = records.assembled(every, records.surveyed(every), most_lines=5).collect()
+    assert sorted((r.text, r.stray, r.n_lines) for r in found if r.stray or r.n_lines > 1) == [
+        ('20,"two\nlines",z', False, 2), ('3,"stray,z', True, 1),
+    ]
+    assert len(found) == 29
+
+
+def test_a_good_field_may_begin_or_end_with_a_quote(spark, raw, tmp_path):
+    path = raw / "NPDES_DMRS_FY2022.csv"
+    write_csv(path, S.DMR_COLUMNS, [reading("OH1", N, "10/31/2021", "1", ACTIVITY_ID='5" pipe', RNC_RESOLUTION_DATE='"x')])
+    assert ingest.ingest_dmr(spark, str(raw), str(tmp_path / "dmr"), 2022, 2022) == {"rows": 1, "malformed": 0}
+    row = scans.read_dmr(spark, str(tmp_path / "dmr")).first()
+    assert (row.ACTIVITY_ID, row.RNC_RESOLUTION_DATE) == ('5" pipe', '"x')
+
+
+@pytest.mark.parametrize("moment", ["before the mark", "while moving", "between a folder's two moves"])
+def test_a_killed_run_leaves_old_rows_or_new_ones(spark, rows, tmp_path, monkeypatch, moment):
+    path = str(tmp_path / "t")
+    old = rows("k string, v int", ("a", 1), ("b", 2), ("c", 3))
+    sinks.publish_partitioned(old, path, ["k"])
+    new = rows("k string, v int", ("a", 10), ("b", 20), ("d", 40))
+
+    class Killed(BaseException):
+        pass
+
+    place, moved = sinks._put_in_place, []
+
+    def killed(spark, path, staged):
+        if moment == "before the mark":
+            raise AssertionError
+        folders = sorted(sinks._partition_folders(spark, staged))
+        monkeypatch.setattr(sinks, "_partition_folders", lambda *a: iter(folders[:1]))
+        system, root = sinks.file_system(spark, staged)
+        if moment == "while moving":
+            with monkeypatch.context() as m:
+                m.setattr(sinks, "file_system", lambda *a: (Kept(system), root))
+                place(spark, path, staged)
+        else:
+            system.mkdirs(sinks._child(spark, f"{staged}/{sinks.REPLACED}"))
+            system.rename(sinks._child(spark, f"{path}{folders[0]}"), sinks._child(spark, f"{staged}/{sinks.REPLACED}{folders[0]}"))
+        moved.append(staged)
+        raise Killed
+
+    class Kept:
+        """A file system on which nothing is removed any more."""
+
+        def __init__(self, system):
+            self.system = system
+
+        def __getattr__(self, name):
+            return (lambda *a: True) if name == "delete" else getattr(self.system, name)
+
+    def refuse():
+        raise Killed
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_put_in_place", killed)
+        with pytest.raises(Killed):
+            sinks.publish_partitioned(new, path, ["k"], accept=refuse if moment == "before the mark" else None)
+    monkeypatch.undo()
+    sinks.finish_publishing(spark, path)
+    stored = {(r.k, r.v) for r in spark.read.schema("v int, k string").parquet(path).collect()}
+    assert stored == ({("a", 1), ("b", 2), ("c", 3)} if not moved else {("a", 10), ("b", 20), ("c", 3), ("d", 40)})
+    assert not [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith(sinks.STAGED)]
+
+
+def test_writes_side_by_side_keep_the_session_setting(spark, rows, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: sinks.write_partitioned(rows("k int, v int", (i, i)), str(tmp_path / f"w{i}"), ["k"], file_bytes=1000 + i), range(4)))
+    assert spark.conf.get(name) == before
 
 
 def test_bad_bytes_are_replaced(spark, raw, tmp_path):
@@ -214,7 +359,7 @@ def test_bad_bytes_are_replaced(spark, raw, tmp_path):
 
 def test_counts_of_permits_and_codes(spark, tmp_path):
     write_csv(tmp_path / "naics.csv", S.NAICS_COLUMNS, [{"NPDES_ID": "OH1"}, {"NPDES_ID": "TX1"}])
-    assert ingest.ingest_naics(spark, str(tmp_path / "naics.csv"), str(tmp_path / "naics")) == 2
+    assert ingest.ingest_naics(spark, str(tmp_path / "naics.csv"), str(tmp_path / "naics")) == {"rows": 2, "malformed": 0}
 
 
 def test_measured_bytes_sees_nested_text(spark):

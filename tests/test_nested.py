@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import N, reading, write_csv
 from rillgauge import schemas as S
@@ -89,6 +90,31 @@ def test_hot_keys_are_cut_by_calendar(spark, by_month):
     assert kept == [expected, expected]
 
 
+def test_a_hot_key_year_is_dealt_over_tasks(spark, monkeypatch, request):
+    """A third of the rows in one site and year: records of bounded size, in source order, and no task with all of them."""
+    monkeypatch.setattr(nested, "CHUNK_ROWS", 50)
+    n = 6000
+    data = [("hot" if i % 3 == 0 else f"k{i % 500}", "1/1/2000", str(i), f"u{i}", ("f", 1000 * (i // 2000), i)) for i in range(n)]
+    schema = "npdes string, date string, value string, unit string, pos struct<file:string,block:bigint,row:bigint>"
+    rows = spark.createDataFrame(random.Random(2).sample(data, n), schema)
+    whole = {r.npdes: ([m.value for m in r.measurements], r.unit, r.part) for r in nested.nest_measurements(rows, ["npdes"]).collect()}
+    hot = [d for d in data if d[0] == "hot"]
+    assert whole["hot"] == ([d[2] for d in hot], hot[-1][3], 0) and len(whole) == len({d[0] for d in data})
+    name = "spark.sql.adaptive.coalescePartitions.enabled"  # small tables would be merged again
+    spark.conf.set(name, False)
+    request.addfinalizer(lambda: spark.conf.unset(name))
+    parts = nested.nest_measurements(rows, ["npdes"], record_rows=300)
+    tasks = parts.where("npdes = 'hot'").groupBy(F.spark_partition_id().alias("task")).agg(F.sum(F.size("measurements")).alias("n"))
+    assert max(r.n for r in tasks.collect()) < len(hot) * 0.75
+    records = [r for r in parts.collect() if r.npdes == "hot"]
+    assert max(len(r.measurements) for r in records) <= 300 + 50 and len(records) >= 5
+    records.sort(key=lambda r: r.part)
+    assert [r.part for r in records] == [100 * i for i in range(len(records))]
+    assert [m.value for r in records for m in r.measurements] == whole["hot"][0] and records[-1].unit == hot[-1][3]
+    others = {r.npdes: [m.value for m in r.measurements] for r in parts.collect() if r.npdes != "hot"}
+    assert others == {k: v[0] for k, v in whole.items() if k != "hot"}
+
+
 def site(npdes, pollutant, label, measurements, unit="mg/L", lat=40.0, lon=-80.0, state="OH"):
     return (npdes, pollutant, unit, lat, lon, measurements[0][0][-4:], 0, measurements, label, state)
 
