@@ -409,6 +409,101 @@ def stored_list(spark, sf_dir):
     return spark.read.text(path).withColumnRenamed("value", "name")
 
 
+def line_breaks(spark, sf_dir):
+    """CSV with line breaks and quotes in fields of a third of the records -> ingest, and extract -> counts by state."""
+    folder, output, sites = scratch_path(spark, "csv"), scratch_path(spark, "dmr"), scratch_path(spark, "sites")
+    event = F.col("source_pos.row")
+    rows = t.dmr_from_events(spark, sf_dir).withColumns({
+        "ACTIVITY_ID": F.when(event % 11 == 0, F.lit("first\n\nline")).otherwise(F.lit('5" pipe')),
+        "LIMIT_SET_ID": F.when(event % 7 == 0, F.lit('in "two",\nlines')),
+        "RNC_RESOLUTION_DATE": F.when(event % 13 == 0, F.lit("last\n")),
+    })
+    _as_csv(rows, S.DMR_COLUMNS, scans.source_path(folder, "2024"))
+    facilities = t.raw_facilities(spark, sf_dir, "events").withColumn("FACILITY_NAME", F.lit("of\ntwo lines"))
+    _as_csv(facilities.orderBy("source_pos"), S.FACILITY_COLUMNS, f"{folder}/facilities.csv")
+    ingest.ingest_dmr(spark, folder, output, 2024, 2024, max_malformed=0)
+    extracts.store_sites(
+        scans.scan_dmr(spark, folder, ["2024"], checked=True),
+        scans.scan_facilities(spark, f"{folder}/facilities.csv", checked=True), sites, max_malformed=0,
+    )
+    stored = scans.read_dmr(spark, output).groupBy("state").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("LIMIT_SET_ID") == 'in "two",\nlines').alias("in_two"),
+        F.count_if(F.col("ACTIVITY_ID").endswith("line")).alias("broken_first"), F.count("RNC_RESOLUTION_DATE").alias("broken_last"),
+    )
+    nested = scans.read_sites(spark, sites).groupBy("state").agg(F.sum(F.size("measurements")).alias("n")).withColumns(
+        {name: F.lit(0).cast("bigint") for name in ("in_two", "broken_first", "broken_last")}
+    )
+    return stored.withColumn("job", F.lit("ingest")).unionByName(nested.withColumn("job", F.lit("extract")))
+
+
+LINE_BREAKS = f"""
+WITH {nesting.ROWS}
+SELECT 'ingest' AS job, left(user_id::VARCHAR, 2) AS state, count(*) AS n, count(*) FILTER (event_id % 7 = 0) AS in_two,
+       count(*) FILTER (event_id % 11 = 0) AS broken_first, count(*) FILTER (event_id % 13 = 0) AS broken_last
+FROM events GROUP BY left(user_id::VARCHAR, 2)
+UNION ALL
+SELECT 'extract', state, count(*), 0, 0, 0 FROM event_rows GROUP BY state
+"""
+
+
+def refused(spark, sf_dir):
+    """A source whose lines are malformed is refused; what an earlier run stored of that year is still there."""
+    good, bad, output = scratch_path(spark, "good"), scratch_path(spark, "bad"), scratch_path(spark, "dmr")
+    events = t.dmr_from_events(spark, sf_dir)
+    _as_csv(events, S.DMR_COLUMNS, scans.source_path(good, "2024"))
+    ingest.ingest_dmr(spark, good, output, 2024, 2024)
+    short = events.select(F.concat_ws(",", "EXTERNAL_PERMIT_NMBR", "DMR_UNIT_DESC").alias("value"))
+    short.write.text(scans.source_path(bad, "2024"))
+    try:
+        ingest.ingest_dmr(spark, bad, output, 2024, 2024)
+        was_refused = False
+    except ValueError:
+        was_refused = True
+    stored = scans.read_dmr(spark, output).groupBy("year", "state").agg(F.count(F.lit(1)).alias("n"))
+    return stored.withColumn("was_refused", F.lit(was_refused))
+
+
+REFUSED = """
+SELECT '2024' AS year, left(user_id::VARCHAR, 2) AS state, count(*) AS n, TRUE AS was_refused
+FROM events GROUP BY left(user_id::VARCHAR, 2)
+"""
+
+
+def menus(spark, sf_dir):
+    """Stored pollutant folders, one of them named for no year -> names from the listing -> stored menus -> read back."""
+    folders, out = scratch_path(spark, "pollutants"), scratch_path(spark, "menus")
+    pollutants = extracts.pollutant_measurements(nesting.event_sites(spark, sf_dir))
+    undated = pollutants.withColumns({"year": F.lit("undated"), "safe_name": F.concat("safe_name", F.lit("_old"))})
+    sinks.write_pollutant_json(pollutants.unionByName(undated), folders)
+    listed = scans.pollutant_folders(spark, folders)
+    sinks.write_list(extracts.pollutant_names(listed), f"{out}/names")
+    tables = {
+        "pollutants": extracts.pollutant_catalogue(listed), "years": extracts.catalogue_years(spark),
+        "states": extracts.catalogue_states(spark),
+    }
+    for name, table in tables.items():
+        sinks.write_table_json(table, f"{out}/{name}")
+    back = {name: spark.read.schema(table.schema).json(f"{out}/{name}") for name, table in tables.items()}
+    counted = [
+        back[name].agg(F.concat_ws(" ", F.count(F.lit(1)).cast("string"), F.min(c), F.max(c)).alias("item")).withColumn("menu", F.lit(name))
+        for name, c in (("years", "year"), ("states", "state"))
+    ]
+    shown = back["pollutants"].select(F.concat_ws("|", "filename", "displayName").alias("item"), F.lit("pollutants").alias("menu"))
+    names = spark.read.text(f"{out}/names").select(F.col("value").alias("item"), F.lit("names").alias("menu"))
+    return shown.unionByName(names).unionByName(counted[0]).unionByName(counted[1])
+
+
+MENUS = f"""
+WITH {nesting.ROWS},
+names AS (SELECT DISTINCT {nesting.SAFE.format("pollutant")} AS name FROM event_rows),
+files AS (SELECT name FROM names UNION ALL SELECT name || '_old' FROM names)
+SELECT 'names' AS menu, name AS item FROM names
+UNION ALL SELECT 'pollutants', name || '.json|' || replace(name, '_', ' ') FROM files
+UNION ALL SELECT 'years', '{S.CATALOGUE_LAST_YEAR - S.CATALOGUE_FIRST_YEAR + 1} {S.CATALOGUE_FIRST_YEAR} {S.CATALOGUE_LAST_YEAR}'
+UNION ALL SELECT 'states', '{len(S.STATE_CODES)} {min(S.STATE_CODES)} {max(S.STATE_CODES)}'
+"""
+
+
 CASES = [
     Case("dmr_ingest_round_trip", dmr_round_trip, DMR_ROUND_TRIP),
     Case("backfill_state", facilities_round_trip, FACILITIES_ROUND_TRIP),
@@ -425,4 +520,7 @@ CASES = [
     Case("gbt_facility_forecasts", gbt_facilities, GBT_FACILITIES),
     Case("empty_report", empty_report, loads.BY_SECTOR.replace("GROUP BY", "AND 1 = 0 GROUP BY")),
     Case("name_list_stored", stored_list, nesting.NAMES),
+    Case("line_break_round_trip", line_breaks, LINE_BREAKS),
+    Case("refused_ingest_keeps_rows", refused, REFUSED),
+    Case("menus_stored", menus, MENUS),
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,24 +77,43 @@ def naics_table(raw: DataFrame) -> DataFrame:
 MAX_MALFORMED = 0.01  # share of the lines
 
 
+class Counts:
+    """Aggregates of a frame that a write of it gathers on the way.
+
+    A write that turns out to have no rows may drop them with the rest of its plan; they are then worked out on their own.
+    """
+
+    def __init__(self, rows: DataFrame, *columns: Column):
+        self.source, self.columns, self.seen = rows, columns, Observation()
+        self.rows = rows.observe(self.seen, *columns)
+
+    def get(self) -> dict[str, int]:
+        try:
+            return self.seen.get
+        except Py4JJavaError:
+            row = self.source.agg(*self.columns, F.count(self.source.columns[0]).alias("_read")).first().asDict()
+            return {k: v for k, v in row.items() if k != "_read"}  # a scan has to read a field of its files
+
+
 def well_formed(lines: DataFrame, max_malformed: float = MAX_MALFORMED) -> tuple[DataFrame, Callable[[], int]]:
     """The good records of a checked scan, and a function for after the write.
 
     It returns the number of malformed lines, which are left out, or raises when they are more than a share ``max_malformed``.
     """
-    read = Observation()
     bad = F.col("malformed").isNotNull()
-    counted = lines.observe(
-        read, F.sum("n_lines").alias("lines"), F.coalesce(F.sum(F.when(bad, F.col("n_lines"))), F.lit(0)).alias("malformed")
-    )
+
+    def total(n: Column, name: str) -> Column:
+        return F.coalesce(F.sum(n), F.lit(0)).alias(name)
+
+    read = Counts(lines, total(F.col("n_lines"), "lines"), total(F.when(bad, F.col("n_lines")), "malformed"))
 
     def accepted() -> int:
-        seen = read.get
-        if seen["malformed"] > max_malformed * (seen["lines"] or 0):
+        seen = read.get()
+        if seen["malformed"] > max_malformed * seen["lines"]:
             raise ValueError(f"{seen['malformed']} of {seen['lines']} lines are malformed")
         return seen["malformed"]
 
-    return counted.filter(~bad).drop("malformed", "n_lines"), accepted
+    return read.rows.filter(~bad).drop("malformed", "n_lines"), accepted
 
 
 def _published(
@@ -101,11 +121,10 @@ def _published(
     max_malformed: float, *counts: Column,
 ) -> dict[str, int]:
     """Store the table of the good lines in place of the folders it has rows for; its counts, gathered during the write."""
-    seen = Observation()
     good, accepted = well_formed(lines, max_malformed)
-    table = table_of(good).observe(seen, *(counts or [F.count(F.lit(1)).alias("rows")]))
-    sinks.publish_partitioned(table, output, keys, sort, accept=accepted)
-    return {**seen.get, "malformed": accepted()}
+    table = Counts(table_of(good), *(counts or [F.count(F.lit(1)).alias("rows")]))
+    sinks.publish_partitioned(table.rows, output, keys, sort, accept=accepted)
+    return {**table.get(), "malformed": accepted()}
 
 
 def ingest_dmr(

@@ -5,8 +5,8 @@ file, the number of its lines and which of them are odd: one short row a split.
 apart are paired from the first on; one without a partner is a stray quote and a record of its own. So a stray quote
 spoils its own line and not the rest of the file, and a record has at most ``MOST_LINES`` lines more than its first.
 
-In the second scan every split knows its spans. Lines outside of them are records as they are and go on in the task that
-read them; only the lines of a span are shuffled. Files without an odd line are not read this way at all.
+After that every split knows its spans. Lines outside of them are records as they are and go on in the task that
+read them; a scan of its own picks the lines of spans, and only these are shuffled. Files without an odd line are not read this way.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rillgauge.functions import clean
 from rillgauge.operators.sizing import broadcast_if_small
 from rillgauge.session import materialised
 
 MOST_LINES = 1000  # between the line that opens a quoted field and the one that closes it
+BIN_LINES = 128  # lines of a split whose spans are looked through together
 PLACE = ["file", "block"]
 
 
@@ -75,25 +77,45 @@ def spans(splits: DataFrame, most_lines: int = MOST_LINES) -> DataFrame:
     )
 
 
+def _places(splits: DataFrame, found: DataFrame) -> DataFrame:
+    """Per split with a span, and the first one of each file: ``first``, ``before`` and ``spans``, those of every ``BIN_LINES`` lines."""
+    inside = found.select("file", "open", "close", "stray", F.explode(F.sequence("at", "close_at")).alias("at")).join(
+        splits.select("file", "at", "before", "n"), ["file", "at"]
+    )
+
+    def bin_of(line: Column) -> Column:
+        return F.floor((line - F.col("before")) / BIN_LINES)
+
+    first, last = bin_of(F.greatest("open", "before")), bin_of(F.least(F.col("close"), F.col("before") + F.col("n") - 1))
+    bins = inside.select("file", "at", F.explode(F.sequence(first, last)).alias("bin"), F.struct("open", "close", "stray").alias("span"))
+    held = bins.groupBy("file", "at", "bin").agg(F.sort_array(F.collect_list("span")).alias("spans"))
+    touched = splits.join(inside.select("file", "at").distinct(), ["file", "at"], "left_semi")
+    every_bin = touched.select("file", "at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / BIN_LINES))).alias("bin"))
+    lists = every_bin.join(held, ["file", "at", "bin"], "left").groupBy("file", "at").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("bin", "spans"))), lambda b: b["spans"]).alias("spans")
+    )
+    return splits.join(lists, ["file", "at"], "left").where("spans IS NOT NULL OR at = 1").select(*PLACE, "first", "before", "spans")
+
+
 def assembled(every: DataFrame, splits: DataFrame, most_lines: int = MOST_LINES) -> DataFrame:
     """Records below the header: ``text`` with its line breaks, ``stray``, ``n_lines``, and ``file``, ``name``, ``block``, ``row`` of its first line.
 
-    Blank lines are no records. The second scan must see the same splits as the first, which is checked on the odd lines.
+    Blank lines are no records. Later scans must see the same splits as the first, which is checked on the odd lines.
     """
-    found = spans(splits, most_lines)
-    by_split = found.select(
-        "file", F.explode(F.sequence("at", "close_at")).alias("at"), F.struct("open", "close", "stray").alias("span")
-    ).groupBy("file", "at").agg(F.sort_array(F.collect_list("span")).alias("spans"))
-    known = splits.join(by_split, ["file", "at"], "left").where("spans IS NOT NULL OR at = 1")
-    places = broadcast_if_small(materialised(known.select(*PLACE, "first", "before", "spans"), "spans"))
-    line = F.col("before") + F.col("row") - F.col("first")
-    placed = every.join(places, PLACE, "left").withColumn("line", line)
-    span = F.get(F.filter("spans", lambda s: (s["open"] <= F.col("line")) & (F.col("line") <= s["close"])), 0)
-    moved = F.raise_error(F.concat(F.lit("the splits of a file changed between two scans: "), F.col("file")))
-    checked = F.when(is_odd(F.col("value")) & F.coalesce(span.isNull(), F.lit(True)), moved.cast("struct<open:bigint,close:bigint,stray:boolean>"))
-    marked = placed.withColumn("span", F.coalesce(checked, span))
+    places = broadcast_if_small(materialised(_places(splits, spans(splits, most_lines)), "spans"))
+    at = F.col("row") - F.col("first")
+    placed = every.join(places, PLACE, "left").select(clean.once(
+        *[F.col(c) for c in ("value", "file", "name", "block", "row")], (F.col("before") + at).alias("line"),
+        F.get("spans", F.floor(at / BIN_LINES).cast("int")).alias("near"),
+    ))
+    span = F.get(F.filter("near", lambda s: (s["open"] <= F.col("line")) & (F.col("line") <= s["close"])), 0)
+    marked = placed.select(clean.once(
+        *[F.col(c) for c in ("value", "file", "name", "block", "row", "line")], span.alias("span")
+    ))
+    moved = F.raise_error(F.concat(F.lit("the splits of a file changed between two scans: "), F.col("file"))).cast("boolean")
+    known = F.when(is_odd(F.col("value")), moved).otherwise(F.lit(True))
     header = F.coalesce(F.col("line") == 0, F.lit(False))
-    alone = marked.where(F.col("span").isNull() & ~header & (F.trim("value") != "")).select(
+    alone = marked.where(F.col("span").isNull() & ~header & (F.trim("value") != "") & known).select(
         F.col("value").alias("text"), F.lit(False).alias("stray"), F.lit(1).cast("bigint").alias("n_lines"), "file", "name", "block", "row"
     )
     # A record has its first line's place; a span is at most MOST_LINES long.

@@ -43,7 +43,10 @@ def _parsed(spark: SparkSession, paths: list[str], columns: Sequence[str], check
     text = records.assembled(every.where(F.col("file").isin(broken)), splits.where(F.col("file").isin(broken)))
     fields = F.from_csv("text", ", ".join(f"`{f.name}` string" for f in schema.fields), CSV)
     place = F.struct(F.col("name").alias("file"), "block", "row")
-    put = text.select(fields.alias("f"), "text", "stray", "n_lines", F.col("file").alias("path"), place.alias("source_pos")).select(
+    once = clean.once(
+        fields.alias("f"), F.col("text"), F.col("stray"), F.col("n_lines"), F.col("file").alias("path"), place.alias("source_pos")
+    )
+    put = text.select(once).select(
         *[F.col(f"f.`{c}`").alias(c) for c in columns],
         F.when(F.col("stray"), F.col("text")).otherwise(F.col("f.malformed")).alias("malformed"), "n_lines", "path", "source_pos",
     )

@@ -29,6 +29,7 @@ def cell(v):
     "daily_resample_ffill", "monthly_features", "nested_in_parts", "explode_by_year", "proximity_flag",
     "site_view_only_matched", "site_view_two_labels", "site_view_of_state", "site_view_label_only", "proximity_wide",
     "name_catalogue", "try_parse", "gbt_forecast", "gbt_facility_forecasts", "empty_report", "name_list_stored",
+    "line_break_round_trip", "refused_ingest_keeps_rows", "menus_stored",
 ])
 def test_equals_plain_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
@@ -48,3 +49,19 @@ def test_equals_plain_sql(spark, name):
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns[0] == "FACILITY_NAME" and df.count() >= 0
+
+
+def test_entry_without_the_corpus_operators():
+    """Without the subpackage, or a library that it needs, the other queries are registered."""
+    import subprocess
+    import sys
+
+    script = (
+        "import sys, warnings\nsys.modules[{name!r}] = None\nwith warnings.catch_warnings(record=True) as said:\n"
+        "    warnings.simplefilter('always')\n    import __spark_entry__ as e\n"
+        "assert not [n for n in e.queries() if n.startswith('op') or n == 'pipeline'], list(e.queries())\n"
+        "assert len(e.queries()) == len(e.CASES) and len(said) >= 1\n"
+    )
+    root = os.path.dirname(os.path.abspath(contract.__file__))
+    for name in ("rillgauge.llm", "public_tokenizers", "zstandard"):
+        subprocess.run([sys.executable, "-c", script.format(name=name)], cwd=root, check=True)

@@ -214,6 +214,15 @@ def test_malformed_lines_are_counted(spark, raw, tmp_path):
     assert not [p.name for p in (tmp_path / "dmr").iterdir() if p.name.startswith(sinks.STAGED)]
 
 
+def test_a_source_without_a_good_line(spark, tmp_path):
+    source, output = tmp_path / "n.csv", str(tmp_path / "n")
+    write_csv(source, S.NAICS_COLUMNS, [])
+    assert ingest.ingest_naics(spark, str(source), output) == {"rows": 0, "malformed": 0}
+    source.write_text(source.read_text() + "a,b\n" * 40)
+    with pytest.raises(ValueError, match="40 of 40"):
+        ingest.ingest_naics(spark, str(source), output)
+
+
 @pytest.mark.parametrize("ingest_one, columns", [
     (ingest.ingest_facilities, S.FACILITY_COLUMNS), (ingest.ingest_permits, S.PERMIT_COLUMNS), (ingest.ingest_naics, S.NAICS_COLUMNS),
 ])
