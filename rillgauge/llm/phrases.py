@@ -3,8 +3,8 @@
 Candidates are found level by level, from two words on: hashes of phrases are summed up, from three words on only where the
 phrases of one word less at both ends may be frequent. A table of fixed size, in which every frequent hash marks two bits, says which
 phrases may be frequent; as equal hashes and bits only add to them, no frequent phrase is missed (Apriori). The candidates' texts are dealt into shards of bounded bytes, and each shard is built
-into a double-array trie over bytes. The tries are broadcast, a few at a time; numpy moves all places of a slice of text through
-a trie side by side, a byte at a time, and counts the accepting states they reach at the ends of words. The sums of all
+into a double-array trie over bytes. The tries are broadcast, a few at a time; numpy moves all places of a slice of text whose word is in
+the trie's shard through it side by side, a byte at a time, and counts the accepting states they reach at the ends of words. The sums of all
 tasks are the exact counts, from which scores are worked out with exact decimals.
 
 A trie's keys are a language, a line break and a phrase of words with one space between them.
@@ -32,9 +32,9 @@ SCALE = 1_000_000  # of scores
 BITS = 26  # a table of hashes has 2**BITS bits, 8 MB
 DIGITS = 40  # bits of the hashes that are summed up
 SHARD_BYTES = 6 << 20  # of keys in a trie, at most (a longer key is alone)
-AT_ONCE = 1  # tries broadcast at a time; more need more memory in the workers and fewer passes
+AT_ONCE = 3  # tries broadcast at a time; more need more memory in the workers and fewer passes
 SLICE_BYTES = 1 << 19
-HELD = 1 << 21  # hashes held by a task before they are summed up and passed on
+HELD = 1 << 20  # hashes held by a task before they are summed up and passed on
 ROWS = 1 << 18  # of a batch passed on
 NO_LANGUAGE = "und"
 BLANK, BREAK = 0x20, 0x0A
@@ -187,8 +187,13 @@ def _table(hashes: DataFrame) -> np.ndarray:
     return bits
 
 
+def dealt(hashes: np.ndarray) -> np.ndarray:
+    """What a phrase is dealt into shards by: the hash of its language and first word, not negative."""
+    return (hashes >> np.uint64(1)).astype(np.int64)
+
+
 def _named(docs: DataFrame, tables) -> DataFrame:
-    """The distinct keys of phrases that may be candidates, and of the words in them."""
+    """(``deal``, ``key``): the distinct keys of phrases that may be candidates, and of the words in them."""
 
     def run(batches):
         known = [t.value for t in tables]
@@ -198,17 +203,18 @@ def _named(docs: DataFrame, tables) -> DataFrame:
                 inside = np.zeros(len(words.starts), dtype=bool)
                 inside[: words.own] = levels[1][2][: words.own]
                 inside[1:] |= inside[:-1].copy()
-                keys = []
+                keys, deals, first = [], [], dealt(levels[0][1])
                 for n, hashes, likely in levels:
                     at = np.flatnonzero(inside) if n == 1 else np.flatnonzero(likely[: words.own])
                     at = _distinct(words, hashes, at, n)
                     ends = words.ends[at + n - 1].tolist()
                     data = words.row.tobytes()
                     keys += [lang + b"\n" + data[s:e] for s, e in zip(words.starts[at].tolist(), ends, strict=True)]
+                    deals.append(first[at])
                 if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary())], names=["key"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(deals)), pa.array(keys, pa.binary())], names=["deal", "key"])
 
-    return docs.mapInArrow(run, "key binary").distinct()
+    return docs.mapInArrow(run, "deal bigint, key binary").distinct()
 
 
 def _distinct(words: Words, hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -271,12 +277,11 @@ class Trie:
             state = to
         return state
 
-    def reached(self, words: Words, lang: bytes) -> np.ndarray:
-        """Numbers of the keys at the ends of words from each of the slice's own words on."""
+    def reached(self, words: Words, lang: bytes, place: np.ndarray) -> np.ndarray:
+        """Numbers of the keys at the ends of words from each place on."""
         start = self.walk(lang + b"\n")
         if start is None:
             return np.empty(0, dtype=np.int32)
-        place = words.starts[: words.own]
         state = np.full(len(place), start, dtype=np.int32)
         found = []
         while len(place):
@@ -354,18 +359,16 @@ class _Slots:
         return base, check
 
 
-def _tries(keys: DataFrame) -> DataFrame:
-    """(``trie``, ``keys``, ``base``, ``check``, ``ends``): tries of at most ``SHARD_BYTES`` of keys, by shards of first words."""
-    total = keys.agg(F.coalesce(F.sum(F.octet_length("key")), F.lit(0)).alias("b")).first().b
-    start = F.substring_index(F.col("key").cast("string"), " ", 1)
-    sharded = keys.withColumn("shard", F.pmod(F.xxhash64(start), F.lit(pieces_for(total, SHARD_BYTES * 3 // 4))).cast("int"))
+def _tries(keys: DataFrame, shards: int) -> DataFrame:
+    """(``shard``, ``trie``, ``keys``, ``base``, ``check``, ``ends``): tries of at most ``SHARD_BYTES`` of keys, by shards of first words."""
+    sharded = keys.select(F.pmod("deal", F.lit(shards)).cast("int").alias("shard"), "key")
 
     def run(batches):
         def built(shard, number, held):
             trie = Trie.of(held)
             arrays = [pa.array([a.tobytes()], pa.binary()) for a in (trie.base, trie.check, trie.ends)]
-            columns = [pa.array([f"{shard}-{number}"]), pa.array([held], pa.list_(pa.binary())), *arrays]
-            return pa.RecordBatch.from_arrays(columns, names=["trie", "keys", "base", "check", "ends"])
+            columns = [pa.array([shard], pa.int32()), pa.array([f"{shard}-{number}"]), pa.array([held], pa.list_(pa.binary())), *arrays]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "trie", "keys", "base", "check", "ends"])
 
         last, number, held, size = None, 0, [], 0
         for batch in batches:
@@ -379,20 +382,22 @@ def _tries(keys: DataFrame) -> DataFrame:
         if held:
             yield built(last, number, held)
 
-    dealt = sharded.repartition("shard").sortWithinPartitions("shard", "key").select("shard", "key")
-    return dealt.mapInArrow(run, "trie string, keys array<binary>, base binary, check binary, ends binary")
+    rows = sharded.repartition("shard").sortWithinPartitions("shard", "key")
+    return rows.mapInArrow(run, "shard int, trie string, keys array<binary>, base binary, check binary, ends binary")
 
 
-def _counted(docs: DataFrame, shared: dict) -> DataFrame:
+def _counted(docs: DataFrame, shared: dict, shards: int) -> DataFrame:
     """(``trie``, ``at``, ``lang``, ``n``): occurrences of the tries' keys, and with no ``at`` the words of each language."""
 
     def run(batches):
-        tries = {name: Trie(*held.value) for name, held in shared.items()}
-        counts, totals = {name: np.zeros(len(trie.ends), dtype=np.int64) for name, trie in tries.items()}, {}
+        tries = {name: (shard, Trie(*held.value)) for name, (shard, held) in shared.items()}
+        counts, totals = {name: np.zeros(len(trie.ends), dtype=np.int64) for name, (_, trie) in tries.items()}, {}
         for batch in batches:
             for lang, words in grouped(batch, LONGEST - 1, SLICE_BYTES):
-                for name, trie in tries.items():
-                    counts[name] += np.bincount(trie.reached(words, lang), minlength=len(trie.ends))
+                starts, shard_of = words.starts[: words.own], dealt(words.hashes(lang)[: words.own]) % shards
+                for name, (shard, trie) in tries.items():
+                    found = trie.reached(words, lang, starts[shard_of == shard])
+                    counts[name] += np.bincount(found, minlength=len(trie.ends))
                 totals[lang] = totals.get(lang, 0) + words.own
         for name, sums in counts.items():
             at = np.flatnonzero(sums)
@@ -428,7 +433,10 @@ def phrase_counts(
     for _ in range(longest - 1):
         likely = _sums(rows, list(tables)).where(F.col("n") >= least)
         tables.append(spark.sparkContext.broadcast(_table(likely)))  # 8 MB, whatever the input is
-    tries = materialised(_tries(materialised(_named(rows, tables), "keys")), "tries")
+    keys = materialised(_named(rows, tables), "keys")
+    total = keys.agg(F.coalesce(F.sum(F.octet_length("key")), F.lit(0)).alias("b")).first().b
+    shards = pieces_for(total, SHARD_BYTES * 3 // 4)
+    tries = materialised(_tries(keys, shards), "tries")
     for table in tables:
         table.destroy()
     counts = totals = None
@@ -436,10 +444,11 @@ def phrase_counts(
     for i in range(0, len(names), AT_ONCE):
         some = tries.where(F.col("trie").isin(names[i : i + AT_ONCE]))
         shared = {}  # each is bounded by SHARD_BYTES
-        for row in some.select("trie", "base", "check", "ends").toLocalIterator():
-            shared[row.trie] = spark.sparkContext.broadcast([np.frombuffer(x, dtype=np.int32) for x in row[1:]])
-        found = materialised(_counted(rows, shared), "counts")
-        for held in shared.values():
+        for row in some.select("trie", "shard", "base", "check", "ends").toLocalIterator():
+            arrays = [np.frombuffer(x, dtype=np.int32) for x in row[2:]]
+            shared[row.trie] = row.shard, spark.sparkContext.broadcast(arrays)
+        found = materialised(_counted(rows, shared, shards), "counts")
+        for _, held in shared.values():
             held.destroy()
         if totals is None:
             totals = found.where("at IS NULL").select("lang", "n")
