@@ -5,8 +5,10 @@ greedily: a phrase is the longest string that occurs in the language's sample, a
 where it ends. The fewer phrases, times the bits to name one (the logarithm of the sample's length) and per
 symbol of the text, the better the language fits; the least value wins.
 
-Texts are lower-cased letters; every run of other characters is one blank. They are parsed whole, in blocks of
-``BLOCK`` symbols that numpy advances side by side, each for all languages.
+Texts are lower-cased letters; every run of other characters is one blank. Automata and parses go over their UTF-8 bytes, so that every
+letter of every script is told apart. Texts are parsed whole, in blocks of ``BLOCK`` bytes that numpy advances side by side, each for
+all languages: first as if a phrase began with each block, then those blocks again that an open phrase reaches into, from its
+state, until no state at a border changes. That is the parse without blocks.
 """
 
 from __future__ import annotations
@@ -24,11 +26,10 @@ from rillgauge.llm.common import ready, row_slices
 SAMPLE_DOCS = 400  # labelled documents of a language in the sample, at most
 SAMPLE_SYMBOLS = 30_000  # symbols of a language's sample, at most; shared evenly by its texts
 WINDOW_CHARACTERS = 120_000  # of a drawn text that reach the driver, at most
-ALPHABET = 62  # different letters that are told apart, at most; the others break a phrase
 BLOCK = 1024
 SLICE_BYTES = 4 << 20
 UNKNOWN = "und"
-OTHER, BLANK = 0, 1
+OTHER = 0
 _LETTERS: list[np.ndarray] = []
 
 
@@ -48,6 +49,12 @@ def code_points(text: str) -> np.ndarray:
     return row[keep]
 
 
+def encoded(row: np.ndarray) -> np.ndarray:
+    """The UTF-8 bytes of code points; the blank is a space."""
+    text = np.where(row == 0, ord(" "), row).astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    return np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+
+
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     """Transitions of the automaton that accepts every substring; state 0 is the start."""
     to, link, size = [{}], [-1], [0]
@@ -80,14 +87,13 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 @dataclass
 class Model:
-    """Languages, symbols of code points, and the automata as one table of steps.
+    """Languages, symbols of bytes (0 for those in no sample), and the automata as one table of steps.
 
-    ``steps[state + symbol]`` is the next state; where a phrase ends it is the complement of the state after the symbol has
-    begun a new one. States are multiples of ``width``; ``roots`` are the languages' start states.
+    ``steps[state + symbol]`` is the next state; where the symbol begins a phrase it is the complement of the state after it. States are multiples of ``width``; ``roots`` are the languages' start states.
     """
 
     languages: list[str]
-    symbols: dict[int, int]
+    symbols: np.ndarray
     width: int
     steps: np.ndarray
     roots: np.ndarray
@@ -109,13 +115,14 @@ def build(samples: dict[str, list[str]]) -> Model:
             taken.append(row[start : start + share])
             left -= len(taken[-1])
         rows[name] = np.concatenate([*taken, np.zeros(1, dtype="<u4")])
-    seen, often = np.unique(np.concatenate([*rows.values(), np.zeros(0, "<u4")]), return_counts=True)
-    by_use = sorted((-n, int(c)) for c, n in zip(seen, often, strict=True) if c)[:ALPHABET]
-    symbols = {c: i + 2 for i, (_, c) in enumerate(by_use)} | {0: BLANK}
-    width = len(symbols) + 1
+    rows = {name: encoded(row) for name, row in rows.items()}
+    seen = np.unique(np.concatenate([*rows.values(), np.zeros(0, np.uint8)]))
+    symbols = np.full(256, OTHER, dtype=np.uint8)  # UTF-8 has fewer than 255 different bytes
+    symbols[seen] = np.arange(1, len(seen) + 1)
+    width = len(seen) + 1
     tables, roots, bits, base = [], [], [], 0
     for name in languages:
-        automaton = suffix_automaton([symbols.get(c, OTHER) for c in rows[name].tolist()])
+        automaton = suffix_automaton(symbols[rows[name]].tolist())
         table = np.full((len(automaton), width), -1, dtype=np.int32)
         for state, to in enumerate(automaton):
             for c, target in to.items():
@@ -124,6 +131,7 @@ def build(samples: dict[str, list[str]]) -> Model:
         del automaton  # its dictionaries are larger than the table
         begun = np.where(table[0] >= 0, table[0], base)
         np.copyto(table, ~begun[None, :], where=table < 0)
+        table[0] = ~begun  # the start, also behind a symbol that is not in the sample and so a phrase of its own
         tables.append(table.ravel())
         roots.append(base)
         bits.append(np.log2(max(2, len(rows[name]))))
@@ -133,40 +141,53 @@ def build(samples: dict[str, list[str]]) -> Model:
 
 
 def parse(model: Model, texts: list[np.ndarray]) -> np.ndarray:
-    """Bits per symbol of each text under each language; infinite for an empty one."""
-    table = np.zeros(0x110000, dtype=np.uint8)
-    table[list(model.symbols)] = list(model.symbols.values())
-    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    """Bits per letter or blank of each text (code points) under each language; infinite for an empty one."""
+    letters_of = np.array([len(t) for t in texts], dtype=np.int64)
+    rows = [model.symbols[encoded(t)] for t in texts]
+    lengths = np.array([len(r) for r in rows], dtype=np.int64)
     blocks = -(-lengths // BLOCK)
     owner = np.repeat(np.arange(len(texts)), blocks)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
     sizes = np.minimum(lengths[owner] - place * BLOCK, BLOCK)
-    order = np.argsort(-sizes, kind="stable")
-    lane = np.empty(len(order), dtype=np.int64)
-    lane[order] = np.arange(len(order))
     grid = np.zeros((len(owner), BLOCK), dtype=np.uint8)
     at = 0
-    for text, n in zip(texts, blocks, strict=True):
+    for row, n in zip(rows, blocks, strict=True):
         padded = np.zeros(n * BLOCK, dtype=np.uint8)
-        padded[: len(text)] = table[text]
-        grid[lane[at : at + n]] = padded.reshape(n, BLOCK)
+        padded[: len(row)] = row
+        grid[at : at + n] = padded.reshape(n, BLOCK)
         at += n
-    grid = np.ascontiguousarray(grid.T)
-    active = np.searchsorted(-sizes[order], -np.arange(BLOCK), side="left")  # lanes longer than each step
-    state = np.repeat(model.roots[:, None], len(owner), axis=1)
-    ends = np.zeros(state.shape, dtype=np.int32)
+    entry = np.repeat(model.roots[:, None], len(owner), axis=1)
+    leaving, starts = np.zeros_like(entry), np.zeros(entry.shape, dtype=np.int32)
+    changed = np.arange(len(owner))
+    while len(changed):
+        leaving[:, changed], starts[:, changed] = _advanced(model, grid[changed], sizes[changed], entry[:, changed])
+        reached = entry.copy()
+        reached[:, 1:] = np.where(place[1:] > 0, leaving[:, :-1], entry[:, 1:])
+        changed = np.flatnonzero((reached != entry).any(axis=0))
+        entry = reached
+    phrases = np.zeros((len(model.languages), len(texts)))
+    for i in range(len(model.languages)):
+        phrases[i] = np.bincount(owner, weights=starts[i], minlength=len(texts))
+    return phrases * model.bits[:, None] / np.where(letters_of > 0, letters_of, np.inf)[None, :]
+
+
+def _advanced(model: Model, grid: np.ndarray, sizes: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The states behind blocks and the phrases that begin in them, from the states before them."""
+    order = np.argsort(-sizes, kind="stable")
+    columns = np.ascontiguousarray(grid[order].T)
+    active = np.searchsorted(-sizes[order], -np.arange(BLOCK), side="left")  # blocks longer than each step
+    state, starts = entry[:, order], np.zeros(entry.shape, dtype=np.int32)
     for step in range(BLOCK):
         n = active[step]
         if n == 0:
             break
-        to = model.steps[state[:, :n] + grid[step, :n]]
+        to = model.steps[state[:, :n] + columns[step, :n]]
         turn = to >> 31
-        ends[:, :n] -= turn
+        starts[:, :n] -= turn
         state[:, :n] = to ^ turn
-    phrases = np.zeros((len(model.languages), len(texts)))
-    for i in range(len(model.languages)):
-        phrases[i] = np.bincount(owner, weights=ends[i][lane] + 1, minlength=len(texts))
-    return phrases * model.bits[:, None] / np.where(lengths > 0, lengths, np.inf)[None, :]
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = np.arange(len(order))
+    return state[:, back], starts[:, back]
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -199,15 +220,16 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The frame with ``lang_pred``, ``score`` (0 to 1) and ``entropy`` (bits per symbol under that language).
+    """The frame with ``lang_pred``, ``score`` (0 to 1) and ``entropy`` (bits per letter or blank under that language).
 
     ``score`` is one less the ratio of the best to the second best value, and 1 for a model of one language. A null
     text, one without a letter, and every text under a model of no language get ``und`` and 0. Texts are
-    parsed whole; equal values go to the first name in order; other columns are passed on.
+    parsed whole; equal values go to the first name in order; repeated rows stay, other columns are passed on, an empty table
+    gives no rows.
     """
     spark = docs.sparkSession
     ready(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded by SAMPLE_SYMBOLS a language and ALPHABET
+    shared = spark.sparkContext.broadcast(model)  # bounded by SAMPLE_SYMBOLS letters a language, four bytes each at most
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text_col)
 
