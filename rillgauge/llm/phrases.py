@@ -30,7 +30,7 @@ COVERED = 50  # percent of a phrase's occurrences in a longer candidate, from wh
 TOP = 2000  # phrases of a language
 SCALE = 1_000_000  # of scores
 BITS = 26  # a table of hashes has 2**BITS bits, 8 MB
-DIGITS = 40  # bits of the hashes that are summed up
+DIGITS = 36  # bits of the hashes that are summed up
 SHARD_BYTES = 6 << 20  # of keys in a trie, at most (a longer key is alone)
 AT_ONCE = 3  # tries broadcast at a time; more need more memory in the workers and fewer passes
 SLICE_BYTES = 1 << 19
@@ -188,8 +188,8 @@ def _table(hashes: DataFrame) -> np.ndarray:
 
 
 def dealt(hashes: np.ndarray) -> np.ndarray:
-    """What a phrase is dealt into shards by: the hash of its language and first word, not negative."""
-    return (hashes >> np.uint64(1)).astype(np.int64)
+    """What a phrase is dealt into shards by: 16 bits of the hash of its language and first word."""
+    return (hashes & np.uint64(0xFFFF)).astype(np.int32)
 
 
 def _named(docs: DataFrame, tables) -> DataFrame:
@@ -214,7 +214,7 @@ def _named(docs: DataFrame, tables) -> DataFrame:
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(deals)), pa.array(keys, pa.binary())], names=["deal", "key"])
 
-    return docs.mapInArrow(run, "deal bigint, key binary").distinct()
+    return docs.mapInArrow(run, "deal int, key binary").distinct()
 
 
 def _distinct(words: Words, hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -435,7 +435,7 @@ def phrase_counts(
         tables.append(spark.sparkContext.broadcast(_table(likely)))  # 8 MB, whatever the input is
     keys = materialised(_named(rows, tables), "keys")
     total = keys.agg(F.coalesce(F.sum(F.octet_length("key")), F.lit(0)).alias("b")).first().b
-    shards = pieces_for(total, SHARD_BYTES * 3 // 4)
+    shards = min(pieces_for(total, SHARD_BYTES * 3 // 4), 1 << 16)
     tries = materialised(_tries(keys, shards), "tries")
     for table in tables:
         table.destroy()
