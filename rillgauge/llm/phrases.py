@@ -193,7 +193,7 @@ def dealt(hashes: np.ndarray) -> np.ndarray:
 
 
 def _named(docs: DataFrame, tables) -> DataFrame:
-    """(``deal``, ``key``): the distinct keys of phrases that may be candidates, and of the words in them."""
+    """The distinct keys of phrases that may be candidates, and of the words in them."""
 
     def run(batches):
         known = [t.value for t in tables]
@@ -203,18 +203,35 @@ def _named(docs: DataFrame, tables) -> DataFrame:
                 inside = np.zeros(len(words.starts), dtype=bool)
                 inside[: words.own] = levels[1][2][: words.own]
                 inside[1:] |= inside[:-1].copy()
-                keys, deals, first = [], [], dealt(levels[0][1])
+                keys = []
                 for n, hashes, likely in levels:
                     at = np.flatnonzero(inside) if n == 1 else np.flatnonzero(likely[: words.own])
                     at = _distinct(words, hashes, at, n)
                     ends = words.ends[at + n - 1].tolist()
                     data = words.row.tobytes()
                     keys += [lang + b"\n" + data[s:e] for s, e in zip(words.starts[at].tolist(), ends, strict=True)]
-                    deals.append(first[at])
                 if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(deals)), pa.array(keys, pa.binary())], names=["deal", "key"])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary())], names=["key"])
 
-    return docs.mapInArrow(run, "deal int, key binary").distinct()
+    return docs.mapInArrow(run, "key binary").distinct()
+
+
+def _dealt_keys(keys: DataFrame) -> DataFrame:
+    """The keys with ``deal``, see :func:`dealt`."""
+
+    def run(batches):
+        for batch in batches:
+            held: dict[bytes, list[int]] = {}
+            every = batch.column(0).to_pylist()
+            for i, key in enumerate(every):
+                held.setdefault(key[: key.rindex(b"\n")], []).append(i)
+            deal = np.empty(len(every), dtype=np.int32)
+            for lang, at in held.items():
+                words = b"\n".join(every[i][len(lang) + 1 :].split(b" ", 1)[0] for i in at)
+                deal[at] = dealt(Words(words, len(words)).hashes(lang))
+            yield pa.RecordBatch.from_arrays([pa.array(deal), batch.column(0)], names=["deal", "key"])
+
+    return keys.mapInArrow(run, "deal int, key binary")
 
 
 def _distinct(words: Words, hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -361,7 +378,7 @@ class _Slots:
 
 def _tries(keys: DataFrame, shards: int) -> DataFrame:
     """(``shard``, ``trie``, ``keys``, ``base``, ``check``, ``ends``): tries of at most ``SHARD_BYTES`` of keys, by shards of first words."""
-    sharded = keys.select(F.pmod("deal", F.lit(shards)).cast("int").alias("shard"), "key")
+    sharded = _dealt_keys(keys).select(F.pmod("deal", F.lit(shards)).cast("int").alias("shard"), "key")
 
     def run(batches):
         def built(shard, number, held):
