@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillgauge.session import materialised
+from rillgauge.session import discard, materialised
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         # smaller neighbours too, and the node itself
         small = large.join(smallest, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        edges = materialised(small.where("u != v").distinct(), "links")
+        last, edges = edges, materialised(small.where("u != v").distinct(), "links")
+        discard(last)
         before, mark = mark, _mark(edges)
         if mark == before:
             break

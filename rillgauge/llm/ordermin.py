@@ -11,9 +11,13 @@ words in the same order but for ``k`` words of the longer one: up to ``WORDWISE`
 Up to ``GRAMWISE`` words, every run of ``GRAM`` words is a key, since as many edits as a link allows leave one run unbroken.
 
 Exact copies are one class from the start and take part as one text. The texts of a key are not
-all paired with each other: each is compared with a leader first. Where a key still holds several components, the texts
-outside its largest one take turns, more in each round, in being compared with all texts of the key in other components. So
-every candidate pair is either compared or already connected.
+all paired with each other: each is compared with a leader first, then with one text of a key's largest component at a time.
+Keys that still hold several components, such as those made of a passage that thousands of otherwise different texts hold,
+are divided by rare words. Of two texts with ``k`` edits, the longer one lacks at most ``k`` of its words in the other, so
+both have a word in common among the ``k + 1`` words that each holds and that are rarest among all these texts (a word's first,
+second, ... occurrences count as different words). So a link's texts meet in a (key, rare word), and texts that share the
+passage alone do not. In what is left, the texts outside the largest component take turns, more in each round, in
+being compared with all texts in other components. So every candidate pair is compared, already connected, or out of reach of a link.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from rillgauge.llm.common import ready, row_slices, whole_text
 from rillgauge.llm.components import components
 from rillgauge.llm.substring import hashed, mixed, windows, word_hashes
 from rillgauge.operators.sizing import broadcast_if_small
-from rillgauge.session import materialised
+from rillgauge.session import discard, materialised
 
 SHINGLE = 3
 SKETCHES = 96
@@ -42,7 +46,6 @@ GRAM = 4
 SLICE_BYTES = 2 << 20
 COLUMNS = 65_536  # shingles hashed at once
 CANDIDATE_BYTES = 64 << 20  # up to this measured size the candidates' ids are broadcast
-BINS = 64  # classes of words whose counts bound an edit distance from below
 SINGLE_ROUNDS = 3  # rounds of one pair per text, before turns are taken
 FIRST_TURN = 16  # texts of a key that take their turn in the first round; each round has so many times more
 NO_ID = -(1 << 63)  # stands for a null id inside
@@ -165,21 +168,28 @@ def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
     return edit_distance(a, b, int(longest * (1 - least) + 1e-9)) is not None
 
 
-def _profiles(texts: DataFrame) -> DataFrame:
-    """(``key``, ``bins``): how many words of the text fall into each of ``BINS`` classes of word hashes."""
+def _rare_words(texts: DataFrame) -> DataFrame:
+    """(``key``, ``word``): of each text the words one of which it shares with every text that it is similar to.
+
+    That is one word more than a link has edits, the rarest ones among all these texts, and of them those that
+    another text holds too. Words are hashes that tell occurrences apart.
+    """
 
     def run(batches):
         for batch in batches:
             for part in row_slices(batch, 1, SLICE_BYTES):
-                bins = [
-                    np.bincount((word_hashes(t.encode()) % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype(np.int32)
-                    for t in part.column(1).to_pylist()
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(bins, pa.list_(pa.int32()))], names=["key", "bins"]
-                )
+                words = [labelled(word_hashes(t.encode())).view(np.int64) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.list_(pa.int64()))], names=["key", "words"])
 
-    return texts.select("key", "text").mapInArrow(run, "key bigint, bins array<int>")
+    held = texts.select("key", "text").mapInArrow(run, "key bigint, words array<bigint>")
+    words = materialised(held.select("key", F.size("words").alias("n"), F.explode("words").alias("word")), "words")
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
+    rarest = Window.partitionBy("key").orderBy("texts", "word")
+    ranked = words.join(counts, "word").withColumn("rank", F.row_number().over(rarest))
+    edits = F.floor(F.col("n") * (1 - SIMILARITY) + 1e-9)
+    rare = materialised(ranked.where((F.col("rank") <= edits + 1) & (F.col("texts") > 1)).select("key", "word"), "rare")
+    discard(words)
+    return rare
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -194,8 +204,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 good = []
                 for a, b in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
                     if a not in known:
-                        known = {a: word_hashes(a.encode()).tolist()}
-                    good.append(similar(known[a], word_hashes(b.encode()).tolist()))
+                        known = {a: a.encode().split()}
+                    good.append(similar(known[a], b.encode().split()))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(good))
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
@@ -244,28 +254,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         source.join(candidates, "key", "left_semi").groupBy("key").agg(F.min("text").alias("text")), "texts"
     )
 
-    profiles = materialised(_profiles(texts), "profiles")
+    discard(found)
+    discard(candidates)
 
     # First each text against one leader, which connects most of them.
     pairs = buckets.where("key != lead").groupBy(F.col("key").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
     tested = materialised(pairs, "pairs")
     links = materialised(_verified(tested, texts), "links")
     roots = materialised(components(links), "roots")
-    state, leaders = buckets.select("bucket", "key", "words", F.lit(False).alias("led")), FIRST_TURN
-    single = SINGLE_ROUNDS
+    state = buckets.select("bucket", "key", "words", F.lit(False).alias("led"))
+    single, divided, leaders = SINGLE_ROUNDS, False, FIRST_TURN
+    rows = buckets
     while True:
-        # Texts outside their key's largest component are compared with all texts in other components.
-        known = state.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        parts = known.groupBy("bucket", "root").agg(
-            F.count(F.lit(1)).alias("n"), F.count_if(~F.col("led")).alias("waiting"), F.min("key").alias("low")
-        )
-        mains = (
-            parts.groupBy("bucket").agg(F.max(F.struct("n", "root", "waiting", "low")).alias("most"), F.sum("waiting").alias("waiting"))
-            .where("waiting > most.waiting").select("bucket", F.col("most.root").alias("main"), F.col("most.low").alias("low"))
-        )
-        rows = materialised(known.join(mains, "bucket"), "rows")
+        before, rows = rows, materialised(_open(state, roots), "rows")
+        discard(before)
         if rows.isEmpty():
             break
+        state = rows.select("bucket", "key", "words", "led")
         if single:
             # At first each text meets one text of one key's largest component: as many pairs as texts.
             single -= 1
@@ -274,44 +279,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .select(F.least("key", "low").alias("a"), F.greatest("key", "low").alias("b")).distinct()
                 .join(tested, ["a", "b"], "left_anti")
             )
-            pairs = materialised(pairs, "pairs")
-            tested = tested.unionByName(pairs)
-            more = materialised(_verified(pairs, texts), "links")
-            if more.isEmpty():
-                single = 0
-            else:
-                roots = materialised(_joined(roots, more), "roots")
-            state = rows.select("bucket", "key", "words", "led")
+        elif not divided:
+            rare = _rare_words(texts.join(rows.select("key").distinct(), "key", "left_semi"))
+            state = rows.join(rare, "key").select(F.xxhash64("bucket", "word").alias("bucket"), "key", "words", "led")
+            divided = True
             continue
-        turn = Window.partitionBy("bucket").orderBy("key")
-        leads = materialised(
-            rows.where("root != main AND NOT led").withColumn("n", F.row_number().over(turn)).where(F.col("n") <= leaders)
-            .select("bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root"), F.col("words").alias("lead_words")),
-            "leads",
-        )
-        near = F.least("words", "lead_words") >= F.greatest("words", "lead_words") * SIMILARITY - 1e-9
-        # Each edit changes a bin's count by one at most, in either direction.
-        more, fewer = (
-            F.expr(f"aggregate(zip_with(bins, lead_bins, (x, y) -> greatest({d}, 0)), 0, (s, x) -> s + x)")
-            for d in ("x - y", "y - x")
-        )
-        near &= F.greatest(more, fewer) <= F.greatest("words", "lead_words") * (1 - SIMILARITY) + 1e-9
-        leading = leads.join(profiles.select(F.col("key").alias("lead"), F.col("bins").alias("lead_bins")), "lead")
-        pairs = (
-            rows.join(profiles, "key").join(leading, "bucket").where((F.col("root") != F.col("lead_root")) & near)
-            .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
+        else:
+            turn = Window.partitionBy("bucket").orderBy("key")
+            leads = materialised(
+                rows.where("root != main AND NOT led").withColumn("n", F.row_number().over(turn)).where(F.col("n") <= leaders)
+                .select("bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root"), F.col("words").alias("lead_words")),
+                "leads",
+            )
+            near = F.least("words", "lead_words") >= F.greatest("words", "lead_words") * SIMILARITY - 1e-9
+            pairs = (
+                rows.join(leads, "bucket").where((F.col("root") != F.col("lead_root")) & near)
+                .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
+                .join(tested, ["a", "b"], "left_anti")
+            )
+            done = leads.select("bucket", F.col("lead").alias("key"), F.lit(True).alias("done"))
+            state = rows.join(done, ["bucket", "key"], "left").select(
+                "bucket", "key", "words", (F.col("led") | F.col("done").isNotNull()).alias("led")
+            )
+            leaders *= FIRST_TURN
         pairs = materialised(pairs, "pairs")
         tested = tested.unionByName(pairs)
         more = materialised(_verified(pairs, texts), "links")
-        if not more.isEmpty():
-            roots = materialised(_joined(roots, more), "roots")
-        done = leads.select("bucket", F.col("lead").alias("key"), F.lit(True).alias("done"))
-        state = rows.drop("root", "main", "low").join(done, ["bucket", "key"], "left").select(
-            "bucket", "key", "words", (F.col("led") | F.col("done").isNotNull()).alias("led")
-        )
-        leaders *= FIRST_TURN
+        if more.isEmpty():
+            single = 0
+        else:
+            before, roots = roots, materialised(_joined(roots, more), "roots")
+            discard(before)
+        discard(more)
+    discard(texts)
 
     repeated = materialised(_repeated(member), "repeated")
     if not repeated.isEmpty():
@@ -332,6 +332,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def _open(state: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of the keys that hold several components and a text outside the largest one that had no turn.
+
+    With ``root`` of the text, ``main`` and ``low``: root and smallest text of the key's largest component.
+    """
+    known = state.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    parts = known.groupBy("bucket", "root").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("led")).alias("waiting"), F.min("key").alias("low")
+    )
+    mains = (
+        parts.groupBy("bucket").agg(F.max(F.struct("n", "root", "waiting", "low")).alias("most"), F.sum("waiting").alias("waiting"))
+        .where("waiting > most.waiting").select("bucket", F.col("most.root").alias("main"), F.col("most.low").alias("low"))
+    )
+    return known.join(mains, "bucket")
+
+
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     """The roots after more links: only the components that these connect are worked on."""
     new = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(roots, "node", "left_anti")
