@@ -14,10 +14,11 @@ Exact copies are one class from the start and take part as one text. The texts o
 all paired with each other: each is compared with a leader first, then with one text of a key's largest component at a time.
 Keys that still hold several components, such as those made of a passage that thousands of otherwise different texts hold,
 are divided by rare words. Of two texts with ``k`` edits, the longer one lacks at most ``k`` of its words in the other, so
-both have a word in common among the ``k + 1`` words that each holds and that are rarest among all these texts (a word's first,
-second, ... occurrences count as different words). So a link's texts meet in a (key, rare word), and texts that share the
-passage alone do not. In what is left, the texts outside the largest component take turns, more in each round, in
-being compared with all texts in other components. So every candidate pair is compared, already connected, or out of reach of a link.
+both have a word in common among the ``k + 1`` words that each holds and that are rarest among the texts of such keys (a word's
+first, second, ... occurrences count as different words). So the texts of a link meet in a rare word, and texts that share the
+passage alone do not. Among the texts of a rare word, those outside the largest component take turns, more in each round, in
+meeting all texts in other components. Pairs of which one text has more classes of words that the other lacks than a link
+has edits are left out. So every candidate pair is compared, already connected, or out of reach of a link.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ GRAM = 4
 SLICE_BYTES = 2 << 20
 COLUMNS = 65_536  # shingles hashed at once
 CANDIDATE_BYTES = 64 << 20  # up to this measured size the candidates' ids are broadcast
+SIGNS = 8  # 64-bit numbers that say which of 512 classes of words a text holds
 SINGLE_ROUNDS = 3  # rounds of one pair per text, before turns are taken
 FIRST_TURN = 16  # texts of a key that take their turn in the first round; each round has so many times more
 NO_ID = -(1 << 63)  # stands for a null id inside
@@ -169,27 +171,54 @@ def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
 
 
 def _rare_words(texts: DataFrame) -> DataFrame:
-    """(``key``, ``word``): of each text the words one of which it shares with every text that it is similar to.
+    """(``bucket``, ``key``, ``signs``): of each text the words one of which it shares with every text that it is similar to.
 
     That is one word more than a link has edits, the rarest ones among all these texts, and of them those that
-    another text holds too. Words are hashes that tell occurrences apart.
+    another text holds too. Words are hashes that tell occurrences apart; ``signs`` are the classes of the text's words.
     """
 
     def run(batches):
         for batch in batches:
             for part in row_slices(batch, 1, SLICE_BYTES):
-                words = [labelled(word_hashes(t.encode())).view(np.int64) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.list_(pa.int64()))], names=["key", "words"])
-
-    held = texts.select("key", "text").mapInArrow(run, "key bigint, words array<bigint>")
-    words = materialised(held.select("key", F.size("words").alias("n"), F.explode("words").alias("word")), "words")
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("texts"))
-    rarest = Window.partitionBy("key").orderBy("texts", "word")
-    ranked = words.join(counts, "word").withColumn("rank", F.row_number().over(rarest))
+                words = [word_hashes(t.encode()) for t in part.column(1).to_pylist()]
+                signs = np.zeros((len(words), SIGNS), dtype=np.uint64)
+                for row, w in zip(signs, words, strict=True):
+                    bits = np.unique(w % np.uint64(64 * SIGNS))
+                    np.bitwise_or.at(row, (bits >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), pa.array([labelled(w).view(np.int64) for w in words], pa.list_(pa.int64())),
+                        pa.array(list(signs.view(np.int64)), pa.list_(pa.int64())),
+                    ],
+                    names=["key", "words", "signs"],
+                )
+
+    held = materialised(
+        texts.select("key", "text").mapInArrow(run, "key bigint, words array<bigint>, signs array<bigint>"), "held"
+    )
+    words = held.select("key", F.size("words").alias("n"), F.explode("words").alias("bucket"))
+    # A word that one text alone holds is in no pair, but takes a place among the rarest.
+    counts = words.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    shared = words.join(counts, "bucket")
     edits = F.floor(F.col("n") * (1 - SIMILARITY) + 1e-9)
-    rare = materialised(ranked.where((F.col("rank") <= edits + 1) & (F.col("texts") > 1)).select("key", "word"), "rare")
-    discard(words)
-    return rare
+    rarest = Window.partitionBy("key").orderBy("texts", "bucket")
+    kept = shared.withColumn("single", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("key"))).withColumn(
+        "rank", F.col("single") + F.row_number().over(rarest)
+    )
+    rare = kept.where(F.col("rank") <= edits + 1).select("bucket", "key")
+    return rare.join(held.select("key", "signs"), "key")
+
+
+def _near(own: str, other: str):
+    """Whether lengths and classes of words of two texts leave a link possible."""
+    longer = F.greatest("words", "lead_words")
+    edits = F.floor(longer * (1 - SIMILARITY) + 1e-9)
+
+    def lacking(x: str, y: str):
+        return sum((F.bit_count(F.col(x)[i].bitwiseAND(F.bitwise_not(F.col(y)[i]))) for i in range(SIGNS)), F.lit(0))
+
+    # Each word that the other text lacks takes an edit.
+    return (F.least("words", "lead_words") >= longer - edits) & (lacking(own, other) <= edits) & (lacking(other, own) <= edits)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -270,7 +299,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         discard(before)
         if rows.isEmpty():
             break
-        state = rows.select("bucket", "key", "words", "led")
+        state = rows.drop("root", "main", "low")
         if single:
             # At first each text meets one text of one key's largest component: as many pairs as texts.
             single -= 1
@@ -281,26 +310,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             )
         elif not divided:
             rare = _rare_words(texts.join(rows.select("key").distinct(), "key", "left_semi"))
-            state = rows.join(rare, "key").select(F.xxhash64("bucket", "word").alias("bucket"), "key", "words", "led")
+            words = rows.select("key", "words").distinct()
+            state = materialised(rare.join(words, "key").withColumn("led", F.lit(False)), "state")
             divided = True
             continue
         else:
             turn = Window.partitionBy("bucket").orderBy("key")
             leads = materialised(
                 rows.where("root != main AND NOT led").withColumn("n", F.row_number().over(turn)).where(F.col("n") <= leaders)
-                .select("bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root"), F.col("words").alias("lead_words")),
+                .select(
+                    "bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root"), F.col("words").alias("lead_words"),
+                    F.col("signs").alias("lead_signs"),
+                ),
                 "leads",
             )
-            near = F.least("words", "lead_words") >= F.greatest("words", "lead_words") * SIMILARITY - 1e-9
             pairs = (
-                rows.join(leads, "bucket").where((F.col("root") != F.col("lead_root")) & near)
+                rows.join(leads, "bucket").where((F.col("root") != F.col("lead_root")) & _near("signs", "lead_signs"))
                 .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
                 .join(tested, ["a", "b"], "left_anti")
             )
             done = leads.select("bucket", F.col("lead").alias("key"), F.lit(True).alias("done"))
-            state = rows.join(done, ["bucket", "key"], "left").select(
-                "bucket", "key", "words", (F.col("led") | F.col("done").isNotNull()).alias("led")
-            )
+            state = rows.drop("root", "main", "low").join(done, ["bucket", "key"], "left").withColumn(
+                "led", F.col("led") | F.col("done").isNotNull()
+            ).drop("done")
             leaders *= FIRST_TURN
         pairs = materialised(pairs, "pairs")
         tested = tested.unionByName(pairs)
