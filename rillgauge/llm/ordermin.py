@@ -12,13 +12,14 @@ Up to ``GRAMWISE`` words, every run of ``GRAM`` words is a key, since as many ed
 
 Exact copies are one class from the start and take part as one text. The texts of a key are not
 all paired with each other: each is compared with a leader first, then with one text of a key's largest component at a time.
-Keys that still hold several components, such as those made of a passage that thousands of otherwise different texts hold,
-are divided by rare words. Of two texts with ``k`` edits, the longer one lacks at most ``k`` of its words in the other, so
+In keys that still hold several components, the texts outside the largest one take turns, more in each round, in meeting all
+texts in other components; pairs of which one text has more classes of words that the other lacks than a link has edits are
+left out. Before that, keys of more than ``DIRECT`` texts, such as those made of a passage that thousands of otherwise different
+texts hold, are divided by rare words. Of two texts with ``k`` edits, each lacks at most ``k`` of the other's words, so
 both have a word in common among the ``k + 1`` words that each holds and that are rarest among the texts of such keys (a word's
 first, second, ... occurrences count as different words). So the texts of a link meet in a rare word, and texts that share the
-passage alone do not. Among the texts of a rare word, those outside the largest component take turns, more in each round, in
-meeting all texts in other components. Pairs of which one text has more classes of words that the other lacks than a link
-has edits are left out. So every candidate pair is compared, already connected, or out of reach of a link.
+passage alone do not; the turns are then taken among the texts of a rare word. So every candidate pair is compared, already
+connected, or out of reach of a link.
 """
 
 from __future__ import annotations
@@ -48,6 +49,7 @@ SLICE_BYTES = 2 << 20
 COLUMNS = 65_536  # shingles hashed at once
 CANDIDATE_BYTES = 64 << 20  # up to this measured size the candidates' ids are broadcast
 SIGNS = 8  # 64-bit numbers that say which of 512 classes of words a text holds
+DIRECT = 256  # texts of a key up to which they take turns in it, rather than in their rare words
 SINGLE_ROUNDS = 3  # rounds of one pair per text, before turns are taken
 FIRST_TURN = 16  # texts of a key that take their turn in the first round; each round has so many times more
 NO_ID = -(1 << 63)  # stands for a null id inside
@@ -170,43 +172,49 @@ def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
     return edit_distance(a, b, int(longest * (1 - least) + 1e-9)) is not None
 
 
+def _signs(texts: DataFrame) -> DataFrame:
+    """(``key``, ``signs``): the classes of the text's words as bits."""
+
+    def run(batches):
+        for batch in batches:
+            for part in row_slices(batch, 1, SLICE_BYTES):
+                signs = np.zeros((len(part), SIGNS), dtype=np.uint64)
+                for row, t in zip(signs, part.column(1).to_pylist(), strict=True):
+                    bits = np.unique(word_hashes(t.encode()) % np.uint64(64 * SIGNS))
+                    np.bitwise_or.at(row, (bits >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(list(signs.view(np.int64)), pa.list_(pa.int64()))], names=["key", "signs"]
+                )
+
+    return texts.select("key", "text").mapInArrow(run, "key bigint, signs array<bigint>")
+
+
 def _rare_words(texts: DataFrame) -> DataFrame:
-    """(``bucket``, ``key``, ``signs``): of each text the words one of which it shares with every text that it is similar to.
+    """(``bucket``, ``key``): of each text the words one of which it shares with every text that it is similar to.
 
     That is one word more than a link has edits, the rarest ones among all these texts, and of them those that
-    another text holds too. Words are hashes that tell occurrences apart; ``signs`` are the classes of the text's words.
+    another text holds too. Words are hashes that tell occurrences apart.
     """
 
     def run(batches):
         for batch in batches:
             for part in row_slices(batch, 1, SLICE_BYTES):
-                words = [word_hashes(t.encode()) for t in part.column(1).to_pylist()]
-                signs = np.zeros((len(words), SIGNS), dtype=np.uint64)
-                for row, w in zip(signs, words, strict=True):
-                    bits = np.unique(w % np.uint64(64 * SIGNS))
-                    np.bitwise_or.at(row, (bits >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), pa.array([labelled(w).view(np.int64) for w in words], pa.list_(pa.int64())),
-                        pa.array(list(signs.view(np.int64)), pa.list_(pa.int64())),
-                    ],
-                    names=["key", "words", "signs"],
-                )
+                words = [labelled(word_hashes(t.encode())).view(np.int64) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.list_(pa.int64()))], names=["key", "words"])
 
-    held = materialised(
-        texts.select("key", "text").mapInArrow(run, "key bigint, words array<bigint>, signs array<bigint>"), "held"
-    )
+    held = materialised(texts.select("key", "text").mapInArrow(run, "key bigint, words array<bigint>"), "held")
     words = held.select("key", F.size("words").alias("n"), F.explode("words").alias("bucket"))
     # A word that one text alone holds is in no pair, but takes a place among the rarest.
     counts = words.groupBy("bucket").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
     shared = words.join(counts, "bucket")
     edits = F.floor(F.col("n") * (1 - SIMILARITY) + 1e-9)
     rarest = Window.partitionBy("key").orderBy("texts", "bucket")
-    kept = shared.withColumn("single", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("key"))).withColumn(
+    ranked = shared.withColumn("single", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("key"))).withColumn(
         "rank", F.col("single") + F.row_number().over(rarest)
     )
-    rare = kept.where(F.col("rank") <= edits + 1).select("bucket", "key")
-    return rare.join(held.select("key", "signs"), "key")
+    rare = materialised(ranked.where(F.col("rank") <= edits + 1).select("bucket", "key"), "rare")
+    discard(held)
+    return rare
 
 
 def _near(own: str, other: str):
@@ -299,7 +307,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         discard(before)
         if rows.isEmpty():
             break
-        state = rows.drop("root", "main", "low")
+        state = rows.select("bucket", "key", "words", "led", "size")
         if single:
             # At first each text meets one text of one key's largest component: as many pairs as texts.
             single -= 1
@@ -309,30 +317,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .join(tested, ["a", "b"], "left_anti")
             )
         elif not divided:
-            rare = _rare_words(texts.join(rows.select("key").distinct(), "key", "left_semi"))
-            words = rows.select("key", "words").distinct()
-            state = materialised(rare.join(words, "key").withColumn("led", F.lit(False)), "state")
+            signs = materialised(_signs(texts.join(rows.select("key").distinct(), "key", "left_semi")), "signs")
+            large = rows.where(F.col("size") > DIRECT).select("key", "words").distinct()
+            rare = _rare_words(texts.join(large, "key", "left_semi"))
+            state = state.where(F.col("size") <= DIRECT).select("bucket", "key", "words", "led").unionByName(
+                rare.join(large, "key").select("bucket", "key", "words", F.lit(False).alias("led"))
+            )
             divided = True
             continue
         else:
             turn = Window.partitionBy("bucket").orderBy("key")
             leads = materialised(
                 rows.where("root != main AND NOT led").withColumn("n", F.row_number().over(turn)).where(F.col("n") <= leaders)
-                .select(
-                    "bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root"), F.col("words").alias("lead_words"),
-                    F.col("signs").alias("lead_signs"),
-                ),
+                .select("bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root"), F.col("words").alias("lead_words")),
                 "leads",
             )
+            leading = leads.join(signs.select(F.col("key").alias("lead"), F.col("signs").alias("lead_signs")), "lead")
             pairs = (
-                rows.join(leads, "bucket").where((F.col("root") != F.col("lead_root")) & _near("signs", "lead_signs"))
+                rows.join(signs, "key").join(leading, "bucket").where((F.col("root") != F.col("lead_root")) & _near("signs", "lead_signs"))
                 .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
                 .join(tested, ["a", "b"], "left_anti")
             )
             done = leads.select("bucket", F.col("lead").alias("key"), F.lit(True).alias("done"))
-            state = rows.drop("root", "main", "low").join(done, ["bucket", "key"], "left").withColumn(
-                "led", F.col("led") | F.col("done").isNotNull()
-            ).drop("done")
+            state = state.join(done, ["bucket", "key"], "left").withColumn("led", F.col("led") | F.col("done").isNotNull())
             leaders *= FIRST_TURN
         pairs = materialised(pairs, "pairs")
         tested = tested.unionByName(pairs)
@@ -367,15 +374,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _open(state: DataFrame, roots: DataFrame) -> DataFrame:
     """The rows of the keys that hold several components and a text outside the largest one that had no turn.
 
-    With ``root`` of the text, ``main`` and ``low``: root and smallest text of the key's largest component.
+    With ``root`` of the text, ``main`` and ``low``: root and smallest text of the key's largest component, and
+    ``size``, the key's number of texts.
     """
-    known = state.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    known = state.select("bucket", "key", "words", "led").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     parts = known.groupBy("bucket", "root").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("led")).alias("waiting"), F.min("key").alias("low")
     )
     mains = (
-        parts.groupBy("bucket").agg(F.max(F.struct("n", "root", "waiting", "low")).alias("most"), F.sum("waiting").alias("waiting"))
-        .where("waiting > most.waiting").select("bucket", F.col("most.root").alias("main"), F.col("most.low").alias("low"))
+        parts.groupBy("bucket").agg(F.max(F.struct("n", "root", "waiting", "low")).alias("most"), F.sum("waiting").alias("waiting"), F.sum("n").alias("size"))
+        .where("waiting > most.waiting").select("bucket", "size", F.col("most.root").alias("main"), F.col("most.low").alias("low"))
     )
     return known.join(mains, "bucket")
 
