@@ -133,8 +133,10 @@ def test_near_duplicates(spark):
     assert ordermin.near_duplicates(none).count() == 0 and ordermin.drop_near_duplicates(none).count() == 0
 
 
-def test_chains_and_outsiders(spark):
+@pytest.mark.parametrize("direct", [ordermin.DIRECT, 3])
+def test_chains_and_outsiders(spark, monkeypatch, direct):
     """Chains of texts of which only neighbours are similar, and texts that share a passage with all of them."""
+    monkeypatch.setattr(ordermin, "DIRECT", direct)
     base = prose(3, 100).split()
     chain = [base]
     for i in range(5):
