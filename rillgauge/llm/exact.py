@@ -4,7 +4,9 @@ Rows are first combined inside their task, then per (digest, salt), where the sa
 the number of the task that read them, then the salts' winners globally. Every step
 groups by the digest and the whole normalised text, so equal digests of different
 texts never meet. A group holding a third of all rows reaches the first shuffle as one row per
-task and the second as at most ``SALTS`` rows.
+task and the second as at most ``SALTS`` rows. When the rows meet their group's winner they are dealt by the
+digest and a share, which follows from the id; a group is repeated only for the shares that its rows
+have, so a unique text once and a large group up to ``SHARES`` times.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from rillgauge.llm.common import WHITE, whole_text
 from rillgauge.session import materialised
 
 SALTS = 16
+SHARES = 60  # bits of a long
 TOP, WIDTH = 2**63 - 1, 2**64 + 2  # the largest id, and more than there are ids
 
 
@@ -50,19 +53,26 @@ def _base(docs: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
         F.col(id_col).cast("bigint").alias("key"), normalised(text).alias("content"),
         F.char_length(text).alias("length"),
     )
-    return base.withColumn("digest", digest(F.col("content")))
+    return base.withColumn("digest", digest(F.col("content"))).withColumn(
+        "share", F.pmod(F.xxhash64("key"), F.lit(SHARES)).cast("int")
+    )
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256) -> DataFrame:
-    """One row per distinct normalised text: ``digest``, ``content``, ``rank`` of its best row, ``size``."""
+    """One row per distinct normalised text: ``digest``, ``content``, ``rank`` of its best row, ``size``, ``shares``.
+
+    The bits of ``shares`` say which shares the rows of the text have.
+    """
     base = _base(docs, id_col, text_col, digest).select(
         "digest", "content", (F.spark_partition_id() % SALTS).alias("salt"),
-        _rank(F.col("length"), F.col("key")).alias("rank"),
+        _rank(F.col("length"), F.col("key")).alias("rank"), F.expr("shiftleft(1L, share)").alias("shares"),
+    )
+    salted = base.groupBy("digest", "content", "salt").agg(
+        F.max("rank").alias("rank"), F.count(F.lit(1)).alias("size"), F.bit_or("shares").alias("shares")
     )
-    salted = base.groupBy("digest", "content", "salt").agg(F.max("rank").alias("rank"), F.count(F.lit(1)).alias("size"))
     # Dealt by the digest alone, so that the texts of one digest can be counted without another shuffle.
     return salted.repartition("digest").groupBy("digest", "content").agg(
-        F.max("rank").alias("rank"), F.sum("size").alias("size")
+        F.max("rank").alias("rank"), F.sum("size").alias("size"), F.bit_or("shares").alias("shares")
     )
 
 
@@ -76,21 +86,26 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     found = materialised(
         classes(docs, id_col, text_col, digest).groupBy("digest").agg(
-            F.count(F.lit(1)).alias("texts"), F.max("rank").alias("rank"), F.max("size").alias("size")
+            F.count(F.lit(1)).alias("texts"), F.max("rank").alias("rank"), F.max("size").alias("size"),
+            F.bit_or("shares").alias("shares"),
         ),
         "classes",
     )
     base = _base(docs, id_col, text_col, digest)
-    one = found.where("texts = 1").select("digest", "rank", "size")
-    rows = base.select("digest", "key", "length").join(one, "digest")
+    held = F.expr(
+        "explode(if(bit_count(shares) = 1, array(cast(round(log2(shares)) as int)),"
+        f" filter(sequence(0, {SHARES - 1}), x -> (shiftright(shares, x) & 1) = 1)))"
+    )
+    one = found.where("texts = 1").select("digest", held.alias("share"), "rank", "size")
+    rows = base.select("digest", "share", "key", "length").join(one, ["digest", "share"])
     several = found.where("texts > 1").select("digest")
     if not several.isEmpty():  # different texts under one digest: tell them apart by content
         rows = rows.unionByName(
             base.join(classes(docs, id_col, text_col, digest).join(several, "digest"), ["digest", "content"])
-            .select("digest", "key", "length", "rank", "size")
+            .select("digest", "share", "key", "length", "rank", "size")
         )
     rows = rows.withColumn("winner", _rank(F.col("length"), F.col("key")) == F.col("rank"))
-    first = Window.partitionBy("key", "digest", "winner").orderBy(F.lit(0))
+    first = Window.partitionBy("digest", "share", "key", "winner").orderBy(F.lit(0))
     out = rows.withColumn("kept", (F.row_number().over(first) == 1) & F.col("winner"))
     return out.select(
         F.col("key").alias(id_col), _key(F.col("rank")).alias("keep_id"),
@@ -102,10 +117,11 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows that stay, with all their columns; see :func:`duplicates` for which they are."""
     found = materialised(duplicates(docs, id_col, text_col), "duplicates")
     kept = found.where("kept").select(F.col(id_col).alias("k"), F.col("digest").alias("d"))
+    # The text travels once, inside its row.
     keyed = docs.select(
         F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("key"),
-        whole_text(text_col).alias("text"),
-    ).withColumn("digest", sha256(normalised(F.col("text"))))
+        sha256(normalised(whole_text(text_col))).alias("digest"),
+    )
 
     def same(other: DataFrame) -> Column:
         return (F.col("digest") == other["d"]) & F.col("key").eqNullSafe(other["k"])
@@ -116,6 +132,7 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     if repeated.isEmpty():
         return rows.select("row.*")
-    longest = Window.partitionBy("key", "digest").orderBy(F.char_length("text").desc(), "text")
+    text = F.coalesce(F.col("row")[text_col], F.lit(""))
+    longest = Window.partitionBy("key", "digest").orderBy(F.char_length(text).desc(), text)
     one = rows.join(repeated, same(repeated), "left_semi").withColumn("n", F.row_number().over(longest)).where("n = 1")
     return rows.join(repeated, same(repeated), "left_anti").select("row").unionByName(one.select("row")).select("row.*")

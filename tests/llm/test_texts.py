@@ -50,6 +50,17 @@ def test_exact_colliding_digests(odd):
     assert sorted_rows(weak, *columns) == sorted_rows(exact.duplicates(odd), *columns)
 
 
+def test_exact_hot_group_is_dealt_over_shares(spark):
+    """A third of all rows are copies: they meet their winner in many shares, and unique texts in one each."""
+    data = [(i, "hot  text" if i == 1500 else "hot text" if i % 3 == 0 else f"text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact.duplicates(docs).collect()}
+    assert got == {i: (1500, 1000, i == 1500) if i % 3 == 0 else (i, 1, True) for i, _ in data}
+    shares = {r.content: bin(r.shares).count("1") for r in exact.classes(docs).collect()}
+    assert shares.pop("hottext") == exact.SHARES and set(shares.values()) == {1}
+    assert sorted(r.doc_id for r in exact.drop_duplicates(docs).collect()) == sorted({k for k, *_ in got.values()})
+
+
 def test_exact_rows_that_stay(odd, empty, texts):
     rows = exact.drop_duplicates(odd)
     assert rows.columns == odd.columns
