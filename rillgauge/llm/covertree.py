@@ -319,7 +319,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id"
     Vectors of equal labels, not null, and of equal length link when their cosine is ``least`` or more (0 to
     1). ``n_links`` counts the other rows linked directly, copies too; ``component_id`` is the smallest id reached. A vector that is
     null, empty, zero or holds a null or a number that is not finite links with nothing. Rows that repeat an id and
-    vector are copies of each other; a null id takes no part. Ids are integers. Other columns are not read.
+    vector are copies of each other; rows that repeat an id with another vector or label are vectors of their own, each
+    with its own links and component. A null id takes no part. An empty table gives no rows. Ids are integers. Other
+    columns are not read.
     """
     spark = vectors.sparkSession
     ready(spark)
@@ -329,8 +331,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id"
     )
     finite = F.expr("size(row) > 0 AND forall(row, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < float('infinity')) AND exists(row, x -> x != 0)")
     usable = rows.where("vec IS NOT NULL AND label IS NOT NULL AND row IS NOT NULL").where(finite)
+    # Different vectors can have one id, so a number stands for each inside; it is stored with it.
     distinct = materialised(
-        usable.groupBy("label", "row").agg(F.min("vec").alias("vec"), F.count(F.lit(1)).alias("copies")), "distinct"
+        usable.groupBy("label", "row").agg(F.min("vec").alias("least_id"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("vec", F.monotonically_increasing_id()),
+        "distinct",
     )
     width = distinct.agg(F.max(F.size("row"))).first()[0] or 1
     most = max(16, BLOCK_VALUES // width)
@@ -385,10 +390,11 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, id_col: str = "vec_id"
 
     found = materialised(met.repartition("a", "part_a", "b", "part_b").mapInArrow(links, "a bigint, b bigint, n bigint"), "links")
     counts = found.where("a = b").groupBy(F.col("a").alias("vec")).agg(F.sum("n").alias("direct"))
-    reached = components(found.where("a != b").select("a", "b"))
+    reached = materialised(components(found.where("a != b").select("a", "b")), "reached").withColumnRenamed("node", "vec")
+    lowest = distinct.select("vec", "least_id").join(reached, "vec").groupBy("root").agg(F.min("least_id").alias("lowest"))
     by_vector = (
-        distinct.join(counts, "vec", "left").join(reached.withColumnRenamed("node", "vec"), "vec", "left")
-        .select("label", "row", "copies", F.coalesce("direct", F.lit(0)).alias("direct"), F.coalesce("root", "vec").alias("root"))
+        distinct.join(counts, "vec", "left").join(reached.join(lowest, "root").select("vec", "lowest"), "vec", "left")
+        .select("label", "row", "copies", F.coalesce("direct", F.lit(0)).alias("direct"), F.coalesce("lowest", "least_id").alias("root"))
     )
     keyed = rows.withColumn("usable", F.coalesce(F.expr("vec IS NOT NULL AND label IS NOT NULL AND row IS NOT NULL") & finite, F.lit(False)))
     linked = keyed.where("usable").join(by_vector, ["label", "row"]).select(

@@ -11,6 +11,8 @@ The texts are shuffled once, by chunk, and that shuffle serves both passes.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -23,6 +25,7 @@ from rillgauge.llm.common import pieces_for, ready, whole_text
 CHUNK_BYTES = 8 << 20  # of text in a chunk, about; grows with the square root of the corpus
 BUCKET_BYTES = 24 << 20  # of text whose windows fall into a bucket, about
 SLICE_BYTES = 1 << 20
+LONG_WORD = 256  # bytes; a longer word has a cryptographic hash
 _BASE, _WINDOW_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd, so that they have inverses modulo 2**64
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[32, *range(9, 14)]] = True
@@ -61,14 +64,21 @@ def _sums(values: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of the UTF-8 text, words as ``[^\\x20\\x09-\\x0D]+``."""
+    """A 64-bit hash of each word of the UTF-8 text, words as ``[^\\x20\\x09-\\x0D]+``.
+
+    Up to ``LONG_WORD`` bytes by a polynomial. Long words can be built that any such polynomial modulo 2^64 takes for
+    equal, so those have a cryptographic hash.
+    """
     row = np.frombuffer(data, dtype=np.uint8)
     solid = np.concatenate([[False], ~_WHITE[row], [False]])
     edges = np.flatnonzero(solid[1:] != solid[:-1])
     starts, ends = edges[::2], edges[1::2]
     up, down = _BYTES.need(len(row) + 1)
     total = _sums(_VALUES[row] * up[:-1])
-    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    found = mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        found[i] = int.from_bytes(blake2b(data[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return found
 
 
 def slices(texts: list[bytes]):

@@ -176,6 +176,20 @@ def test_near_vectors(spark, monkeypatch, values):
     assert covertree.near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_with_repeated_ids(spark):
+    """One id names two vectors: each has its own links, and the smallest id of a component is found behind it."""
+    rows = [
+        (1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (5, [1.0, 0.01], 0), (6, [0.01, 1.0], 0), (7, [0.02, 1.0], 0), (7, [0.02, 1.0], 0),
+        (0, [-1.0, 0.0], 0), (5, [-1.0, 0.01], 0), (8, [1.0, 0.0], 1), (1, [1.0, 0.0], 1),
+    ]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = sorted(tuple(r) for r in covertree.near_vectors(df).collect())
+    assert got == sorted([
+        (1, 1, 1, True), (1, 3, 1, True), (5, 1, 1, False), (6, 3, 1, False), (7, 3, 1, False), (7, 3, 1, False),
+        (0, 1, 0, True), (5, 1, 0, False), (8, 1, 1, False), (1, 1, 1, True),
+    ])
+
+
 def test_pipeline_on_odd_rows(spark, odd, empty):
     for docs in (odd, empty):
         for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -150,6 +150,15 @@ def test_substring(odd, empty, texts, monkeypatch, sizes):
     assert substring.remove_repeats(empty).count() == 0
 
 
+def test_long_words_made_to_collide():
+    """A Thue-Morse word and its complement are equal for every polynomial modulo 2^64."""
+    for n in (1024, 4096):
+        bits = [bin(i).count("1") % 2 for i in range(n)]
+        a, b = (bytes(97 + (x ^ y) for x in bits) for y in (0, 1))
+        found = substring.word_hashes(b"%s %s\nword %s" % (a, b, a))
+        assert len(found) == 4 and found[0] != found[1] and found[0] == found[3]
+
+
 def test_language(spark, odd, empty):
     held = [("de", "der alte mann und das haus am fluss mit dem hund"), ("en", "the old man and the house at the river with the dog")]
     labelled = spark.createDataFrame([*held, (None, "x"), ("fr", None)] * 3, "lang string, text string")
