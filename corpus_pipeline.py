@@ -8,7 +8,7 @@ returns the packed pieces. ``run`` writes every stage to the shared folder and r
 * ``exact_dedup``: of equal texts the longest row stays, of those the smallest id.
 * ``near_dedup``: of near duplicates the row with the smallest id stays.
 * ``secret_scan``: secrets in the text are replaced by a mark; no document is dropped. ``n_chars`` follows the text.
-* ``packing``: the texts' tokens in sequences of 2048.
+* ``packing``: the texts' tokens in sequences of 2048, each piece with its ``token_ids`` (little-endian unsigned 32-bit).
 
 Rows are handled as the operators state: a null id is an id of its own, a document without a text goes in the first stage,
 and an empty table gives empty stages.
@@ -49,7 +49,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pieces = packing.cut(docs, BYTE_BPE, BYTE_RANKS, public_tokenizers.PATTERN)
-    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("token_ids").alias("ids_crc32")))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("token_ids")))
 
 
 STAGES = [

@@ -1,13 +1,17 @@
 """Near duplicates of texts and vectors, components, and the pipeline, against brute force."""
 
 import os
+import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from rillgauge.llm import covertree, ordermin
+from rillgauge.llm.common import SCHEMAS
 from rillgauge.llm.components import components
+from rillgauge.llm.queries import BYTE_BPE
 
 from .conftest import prose
 
@@ -208,3 +212,29 @@ def test_pipeline_keeps_one_of_each_class(spark):
         by_words.setdefault("".join(d.text.split()), []).append(d.doc_id)
     left = {p.doc_id for p in pieces}
     assert all(len(left & set(same)) <= 1 for same in by_words.values()) and left <= {d.doc_id for d in docs}
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="given tables not present")
+def test_pipeline_ends_without_secrets_and_copies(spark, tmp_path):
+    """Planted rows: one holds keys, one is its near copy, one an exact copy, one has no letters; the ids at the end tell."""
+    docs = spark.read.schema(SCHEMAS["documents"]).parquet(f"{TABLES}/documents.parquet")
+    key, account = "q7Zk2VxP9sLm4TtRw8Yb3NcE", "AKIA" + "Q3Z7" * 5
+    body = prose(11, 150)
+    text = f"{body} api_key = {key} and then {account} {prose(12, 40)}"
+    planted = [
+        (900_001, text), (900_002, text.replace("river", "canal", 1)), (900_003, text.replace(" ", "  ", 3)),
+        (900_004, "12345 67890 --"), (900_005, None),
+    ]
+    rows = spark.createDataFrame([(k, t, None, "web", len(t or "")) for k, t in planted], SCHEMAS["documents"])
+    docs.unionByName(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    decode = Tokenizer.from_file(BYTE_BPE).decode
+    ids = {}
+    for p in sorted(pieces, key=lambda p: (p.doc_id, p.piece)):
+        assert len(p.token_ids) == 4 * p.length and zlib.crc32(bytes(p.token_ids)) == p.ids_crc32
+        ids.setdefault(p.doc_id, []).extend(np.frombuffer(bytes(p.token_ids), "<u4").tolist())
+    left = {k for k in ids if k > 900_000}
+    # Of exact copies the longest stays, then of near copies the smallest id.
+    assert left == {900_002}
+    out = decode(ids[900_002][:-1], skip_special_tokens=False)
+    assert key not in out and account not in out and out.count("[secret]") == 2 and "canal" in out
