@@ -402,6 +402,30 @@ def empty_report(spark, sf_dir):
     return spark.read.schema(report.schema).option("header", True).csv(path)
 
 
+def reports_by_year(spark, sf_dir):
+    """A year with readings and one without, stored alike: each file's header, number of rows and total."""
+    dmr, naics = t.dmr_from_events(spark, sf_dir), t.naics_from_customer(spark, sf_dir)
+    found = None
+    for year in ("1900", "2024"):
+        path = scratch_path(spark, "report")
+        sinks.write_report(reports.industry_load(dmr, naics, year), path, reports.industry_order())
+        stored = spark.read.option("header", True).csv(path)
+        summary = stored.agg(
+            F.lit(year).alias("year"), F.lit(",".join(stored.columns)).alias("header"), F.count(F.lit(1)).alias("n_rows"),
+            F.sum(F.col("total_annual_load_kg").cast("double")).alias("total"),
+        )
+        found = summary if found is None else found.unionByName(summary)
+    return found
+
+
+REPORT_HEADER = "NAICS_DESC,total_annual_load_kg,avg_daily_load_per_report_kg,num_paired_measurements"
+REPORTS_BY_YEAR = f"""
+SELECT '1900' AS year, '{REPORT_HEADER}' AS header, 0 AS n_rows, NULL::DOUBLE AS total
+UNION ALL
+SELECT '2024', '{REPORT_HEADER}', count(*), sum(total_annual_load_kg) FROM ({loads.BY_SECTOR})
+"""
+
+
 def stored_list(spark, sf_dir):
     """The name list as its file gives it back."""
     path = scratch_path(spark, "names")
@@ -519,6 +543,7 @@ CASES = [
     Case("gbt_forecast", gbt_daily, GBT_DAILY),
     Case("gbt_facility_forecasts", gbt_facilities, GBT_FACILITIES),
     Case("empty_report", empty_report, loads.BY_SECTOR.replace("GROUP BY", "AND 1 = 0 GROUP BY")),
+    Case("reports_by_year_stored", reports_by_year, REPORTS_BY_YEAR),
     Case("name_list_stored", stored_list, nesting.NAMES),
     Case("line_break_round_trip", line_breaks, LINE_BREAKS),
     Case("refused_ingest_keeps_rows", refused, REFUSED),

@@ -29,7 +29,7 @@ def cell(v):
     "daily_resample_ffill", "monthly_features", "nested_in_parts", "explode_by_year", "proximity_flag",
     "site_view_only_matched", "site_view_two_labels", "site_view_of_state", "site_view_label_only", "proximity_wide",
     "name_catalogue", "try_parse", "gbt_forecast", "gbt_facility_forecasts", "empty_report", "name_list_stored",
-    "line_break_round_trip", "refused_ingest_keeps_rows", "menus_stored",
+    "line_break_round_trip", "refused_ingest_keeps_rows", "menus_stored", "reports_by_year_stored",
 ])
 def test_equals_plain_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
