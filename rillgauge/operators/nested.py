@@ -44,10 +44,10 @@ def nest_measurements(
     Input columns: the keys (not NULL), columns ``carried`` along that are constant
     within a key, ``date``, ``value``, ``unit`` and ``pos`` (source order: a whole number, or a struct that ends with one).
 
-    Every key is cut by ``cal_year``, and ``by_month`` cuts further; ``part`` is then the month, else 0. Measurements are put together
-    twice: those of a key in one chunk of the source, which the task that reads the chunk can do, and then the chunks of
-    a record. A key year with more than ``record_rows`` measurements becomes several records, cut between chunks, with 100, 200 and
-    so on added to ``part``; so a key with a third of all rows is dealt over tasks, and no record is larger for being collected in one.
+    Every key is cut by ``cal_year``, and ``by_month`` cuts further; ``part`` is then the month, else 0. First the measurements
+    of each key are counted, without their values; a key year with more than ``record_rows`` measurements becomes several
+    records, cut between chunks of the source, with 100, 200 and so on added to ``part``; so a key with a third of all rows is
+    dealt over tasks, and no record is larger for being collected in one. Then the measurements are shuffled once into records.
     """
     month = F.month(clean.to_period_date("date")).cast("bigint")
     cut = [*keys, "cal_year", "part"]
@@ -55,23 +55,17 @@ def nest_measurements(
     dated = rows.withColumns(
         {"cal_year": year_text(F.col("date")), "part": month if by_month else F.lit(0).cast("bigint"), "chunk": _chunk(rows)}
     )
-    chunks = materialised(
-        dated.groupBy(*cut, "chunk").agg(
-            *[F.max(c).alias(c) for c in carried], F.sort_array(F.collect_list(entry)).alias("entries"), F.count(F.lit(1)).alias("n")
-        ).withColumn("id", F.monotonically_increasing_id()),
-        "chunks",
-    )
-    large = chunks.groupBy(*cut).agg(F.sum("n").alias("all")).where(F.col("all") > record_rows).drop("all")
-    # The chunks of large keys are numbered without their measurements: a few bytes for CHUNK_ROWS rows.
+    # Counts only: a few bytes a key, and a few for each chunk of a large key; the values stay where they are read.
+    sizes = dated.groupBy(*cut).agg(F.count(F.lit(1)).alias("all"))
+    large = materialised(sizes.where(F.col("all") > record_rows).drop("all"), "large")
+    counts = dated.join(broadcast_if_small(large), cut, "left_semi").groupBy(*cut, "chunk").agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy(*cut).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(order), F.lit(0))
-    numbered = chunks.select(*cut, "chunk", "n", "id").join(broadcast_if_small(large), cut, "left_semi").select(
-        "id", (100 * F.floor(before / record_rows)).alias("more")
-    )
-    placed = chunks.join(broadcast_if_small(materialised(numbered, "numbered")), "id", "left").withColumn(
+    numbered = counts.select(*cut, "chunk", (100 * F.floor(before / record_rows)).alias("more"))
+    placed = dated.join(broadcast_if_small(materialised(numbered, "numbered")), [*cut, "chunk"], "left").withColumn(
         "part", F.col("part") + F.coalesce("more", F.lit(0))
     )
-    held = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "entries"))), lambda c: c["entries"]))
+    held = F.sort_array(F.collect_list(entry))
     return (
         placed.groupBy(*cut)
         .agg(*[F.max(c).alias(c) for c in carried], held.alias("entries"))

@@ -243,3 +243,20 @@ def test_pollutant_folders_come_from_the_listing(spark, tmp_path):
     found = scans.pollutant_folders(spark, str(tmp_path / "p"))
     stored = scans.read_pollutant_json(spark, str(tmp_path / "p")).select("year", "safe_name").distinct()
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, stored.collect()))
+
+
+def test_nesting_stores_no_measurements_on_the_way(spark):
+    """Only counts are written to scratch tables; the measurements are shuffled once, straight into records."""
+    from rillgauge import session
+
+    data = [(f"k{i % 7}", "1/1/2000", str(i), "u", i) for i in range(200)]
+    rows = spark.createDataFrame(data, "npdes string, date string, value string, unit string, pos bigint")
+    before = len(session._SCRATCH)
+    records = nested.nest_measurements(rows, ["npdes"], record_rows=10)
+    written = session._SCRATCH[before:]
+    assert written
+    for folder in written:
+        stored = spark.read.parquet(folder + "/*")
+        assert not {"entries", "value", "date"} & set(stored.columns), stored.columns
+    got = {(r.npdes, r.part): [m.value for m in r.measurements] for r in records.collect()}
+    assert sorted(int(v) for vs in got.values() for v in vs) == list(range(200))
