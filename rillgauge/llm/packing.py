@@ -231,7 +231,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc
     ``length`` must be from 1 to ``capacity``. Pieces alike in ``length`` are taken in ``order``;
     which of repeated rows comes first does not matter. The pieces are written to the shared folder once.
     """
-    pieces = materialised(pieces, "pieces")
+    columns = pieces.columns
+    # Each stored piece gets a number of its own, so that its rank can be found on narrow rows and joined back.
+    pieces = materialised(pieces.withColumn("_piece_row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     if any(not 1 <= k <= capacity for k in counts):
         raise ValueError("a piece is empty or longer than a sequence")
@@ -252,17 +254,19 @@ def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc
 
     # The pieces of one length are ranked in shares of about SHARE.
     shares = ",".join(str(-(-counts.get(k, 0) // SHARE) or 1) for k in range(1, capacity + 1))
-    salted = pieces.withColumn(
+    salted = pieces.select("length", *order, "_piece_row").withColumn(
         "_share", F.expr(f"pmod(xxhash64({', '.join(order)}), element_at(array({shares}), int(length)))")
     )
     sizes = salted.groupBy("length", "_share").count()
     before = Window.partitionBy("length").orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("length", "_share", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
     inside = Window.partitionBy("length", "_share").orderBy(*order)
-    rows = salted.withColumn("_n", F.row_number().over(inside) - 1).join(base, ["length", "_share"])
-    rows = rows.select(*pieces.columns, (F.col("_base") + F.col("_n")).alias("_rank"))
-    at_length = pieces.columns.index("length")
-    keep = len(pieces.columns)
+    ranks = salted.withColumn("_n", F.row_number().over(inside) - 1).join(base, ["length", "_share"])
+    ranks = ranks.select("_piece_row", (F.col("_base") + F.col("_n")).alias("_rank"))
+    # The whole pieces are shuffled once to meet their ranks, neither sorted nor held by length.
+    rows = pieces.join(ranks.hint("shuffle_hash"), "_piece_row").select(*columns, "_rank")
+    at_length = columns.index("length")
+    keep = len(columns)
 
     def place(batches):
         lengths, firsts = places[0], places[1]
@@ -282,5 +286,5 @@ def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc
                 names=[*batch.schema.names[:keep], "sequence_id", "offset"],
             )
 
-    schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    schema = StructType([*(pieces.schema[c] for c in columns), StructField("sequence_id", LongType()), StructField("offset", LongType())])
     return rows.mapInArrow(place, schema)

@@ -325,6 +325,24 @@ def test_packing(odd, empty, texts, library):
     assert packing.pack(packing.cut(empty, *ARGS), 2048).count() == 0
 
 
+def test_packing_ranks_narrow_rows(odd):
+    """The ranking window holds no token ids: a length's pieces are not buffered whole (pipeline, over 3000 MB)."""
+    packed = packing.pack(packing.cut(odd, *ARGS, capacity=64), 64)
+
+    def nodes(plan):
+        yield plan
+        children = plan.children()
+        for i in range(children.size()):
+            yield from nodes(children.apply(i))
+
+    windows = [n for n in nodes(packed._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Window"]
+    assert windows
+    assert not any("token_ids" in n.output().mkString(",") for n in windows)
+    got = packed.collect()
+    assert sorted(r.doc_id or 0 for r in got) == sorted(r.doc_id or 0 for r in packing.cut(odd, *ARGS, capacity=64).collect())
+    assert "_piece_row" not in packed.columns
+
+
 def test_packing_plans():
     import random
 
