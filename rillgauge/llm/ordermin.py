@@ -10,7 +10,8 @@ Texts too short for hashing have exact keys, so that no link between them is mis
 words in the same order but for ``k`` words of the longer one: up to ``WORDWISE`` words, every such choice of words is a key.
 Up to ``GRAMWISE`` words, every run of ``GRAM`` words is a key, since as many edits as a link allows leave one run unbroken.
 
-Exact copies are one class from the start and take part as one text. The texts of a key are not
+Exact copies are one class from the start and take part as one text. Pairs whose lengths or classes of words leave no link possible
+are left out before their texts are read. The texts of a key are not
 all paired with each other: each is compared with a leader first, then with one text of a key's largest component at a time.
 In keys that still hold several components, the texts outside the largest one take turns, more in each round, in meeting all
 texts in other components; pairs of which one text has more classes of words that the other lacks than a link has edits are
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from collections import Counter
 from itertools import combinations
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,8 @@ from pyspark.sql import functions as F
 
 from rillgauge.llm.common import ready, row_slices, whole_text
 from rillgauge.llm.components import components
-from rillgauge.llm.substring import hashed, mixed, windows, word_hashes
+from rillgauge.llm.phrases import DIGITS, among, bit_table
+from rillgauge.llm.substring import hashed, mixed, windows
 from rillgauge.operators.sizing import broadcast_if_small
 from rillgauge.session import discard, materialised
 
@@ -46,7 +49,9 @@ WORDWISE = 15  # words of the longer text of a pair, up to which choices of word
 GRAMWISE = 40  # and up to which runs of GRAM words are; from WORDWISE + 1 words on, a link leaves one unbroken
 GRAM = 4
 SLICE_BYTES = 2 << 20
-COLUMNS = 65_536  # shingles hashed at once
+COLUMNS = 65_536  # shingles hashed at once, of whole texts
+NEAREST = 12  # of a text's shingles, about, are looked through for the smallest ones
+BITWISE = 1 << 14  # words of a text up to which its words are bits of one number
 CANDIDATE_BYTES = 64 << 20  # up to this measured size the candidates' ids are broadcast
 SIGNS = 8  # 64-bit numbers that say which of 512 classes of words a text holds
 DIRECT = 256  # texts of a key up to which they take turns in it, rather than in their rare words
@@ -57,11 +62,11 @@ _ODD = mixed(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64))
 _TIMES, _PLUS = _ODD[:SKETCHES, None] | np.uint64(1), _ODD[SKETCHES:, None]
 
 
-def labelled(shingles: np.ndarray) -> np.ndarray:
-    """Shingle hashes that also tell first, second, ... occurrences apart."""
+def labelled(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of shingles, or words, that also tell first, second, ... occurrences in a text apart; ``sizes`` has their number in each text."""
     order = np.argsort(shingles, kind="stable")
-    ordered = shingles[order]
-    fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    ordered, owner = shingles[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+    fresh = np.concatenate([[True], (ordered[1:] != ordered[:-1]) | (owner[1:] != owner[:-1])])[: len(order)]
     if fresh.all():
         return mixed(shingles)
     place = np.arange(len(order))
@@ -70,23 +75,41 @@ def labelled(shingles: np.ndarray) -> np.ndarray:
     return mixed(shingles + number * np.uint64(0x9FB21C651E98DF25))
 
 
+def sketched(marks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The keys of texts, a row each, from their labelled shingles in order, ``ORDERED`` a text at least.
+
+    Only the shingles under a bound that about ``NEAREST`` of a text's are under are compared; a text with too few of them is looked through whole.
+    """
+    every = np.iinfo(np.uint64).max
+    out = np.empty((len(sizes), SKETCHES), dtype=np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    limit = np.repeat(every // np.maximum(sizes, NEAREST).astype(np.uint64) * np.uint64(NEAREST), sizes)
+    for i in range(SKETCHES):
+        values = (marks ^ _PLUS[i]) * _TIMES[i]
+        at = np.flatnonzero(values <= limit)
+        first = np.searchsorted(at, starts)
+        held = np.diff(first, append=len(at))
+        if (held < ORDERED).any():
+            at = np.flatnonzero((values <= limit) | np.repeat(held < ORDERED, sizes))
+            first = np.searchsorted(at, starts)
+            held = np.diff(first, append=len(at))
+        least, picked = values[at], []
+        for _ in range(ORDERED):
+            found = np.flatnonzero(least == np.repeat(np.minimum.reduceat(least, first), held))
+            one = found[np.searchsorted(found, first)]
+            picked.append(at[one])
+            least[one] = every
+        key = _PLUS[i]
+        for chosen in marks[np.sort(picked, axis=0)]:
+            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + chosen)
+        out[:, i] = key
+    return out.view(np.int64)
+
+
 def sketch(shingles: np.ndarray) -> np.ndarray:
     """The keys of a text from its shingles in order."""
-    marks = labelled(shingles)
-    least = np.empty((SKETCHES, 0), dtype=np.int64)
-    for at in range(0, len(marks), COLUMNS):
-        more = np.arange(at, min(at + COLUMNS, len(marks)))
-        part = np.concatenate([least, np.broadcast_to(more, (SKETCHES, len(more)))], axis=1)
-        values = (marks[part] ^ _PLUS) * _TIMES
-        if part.shape[1] > ORDERED:
-            picked = np.argpartition(values, ORDERED - 1, axis=1)[:, :ORDERED]
-            part = np.take_along_axis(part, picked, axis=1)
-        least = part
-    chosen = marks[np.sort(least, axis=1)]
-    key = _PLUS[:, 0].copy()
-    for i in range(chosen.shape[1]):
-        key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + chosen[:, i])
-    return key.view(np.int64)
+    sizes = np.array([len(shingles)])
+    return sketched(labelled(shingles, sizes), sizes)[0]
 
 
 def allowed(longer: int) -> int:
@@ -116,6 +139,13 @@ def sketches(texts: list[bytes]) -> list[np.ndarray]:
     starts = ends - counts
     first, last = np.searchsorted(at, starts), np.searchsorted(at, ends)
     first_gram, last_gram = np.searchsorted(gram_at, starts), np.searchsorted(gram_at, ends)
+    long, rows = np.flatnonzero(counts >= GRAMWISE + 1 - allowed(GRAMWISE + 1)), {}
+    # The shingles of texts behind one another, of so many texts at once that they stay near the processor.
+    group = np.cumsum((last - first)[long]) // COLUMNS
+    for some in np.split(long, np.flatnonzero(np.diff(group)) + 1) if len(long) else []:
+        sizes = (last - first)[some]
+        inside = np.repeat(first[some] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        rows.update(zip(some.tolist(), sketched(labelled(every[inside], sizes), sizes), strict=True))
     out = []
     for i, n in enumerate(counts.tolist()):
         keys = [np.empty(0, dtype=np.int64)]
@@ -124,8 +154,8 @@ def sketches(texts: list[bytes]) -> list[np.ndarray]:
         # A text has a link with a longer one of up to n / SIMILARITY words, so it takes part from fewer words on.
         if WORDWISE + 1 - allowed(WORDWISE + 1) <= n <= GRAMWISE:
             keys.append(mixed(np.unique(grams[first_gram[i] : last_gram[i]])).view(np.int64))
-        if n >= GRAMWISE + 1 - allowed(GRAMWISE + 1):
-            keys.append(sketch(every[first[i] : last[i]]))
+        if i in rows:
+            keys.append(rows[i])
         out.append(np.concatenate(keys))
     return out
 
@@ -133,7 +163,8 @@ def sketches(texts: list[bytes]) -> list[np.ndarray]:
 def edit_distance(a: list, b: list, limit: int) -> int | None:
     """Least number of words to insert, delete or replace, or None when it is over ``limit``.
 
-    Per number of edits, the furthest place reached on each diagonal of the band.
+    Per number of edits, the furthest place reached on each diagonal of the band. When there are more than a few edits, and the texts are
+    not very long, the columns of the table of distances are worked out as numbers of as many bits as there are words.
     """
     n, m = len(a), len(b)
     if abs(n - m) > limit:
@@ -150,7 +181,8 @@ def edit_distance(a: list, b: list, limit: int) -> int | None:
     if max(n, m) - sum((Counter(a) & Counter(b)).values()) > limit:
         return None
     goal, far = m - n, {0: 0}
-    for edits in range(1, limit + 1):
+    few = limit if min(n, m) > BITWISE else min(limit, isqrt(max(n, m)))
+    for edits in range(1, few + 1):
         reach = {}
         for k in range(max(-n, goal - (limit - edits), -edits), min(m, goal + (limit - edits), edits) + 1):
             i = max(far.get(k, -2) + 1, far.get(k - 1, -2), far.get(k + 1, -2) + 1)
@@ -163,7 +195,32 @@ def edit_distance(a: list, b: list, limit: int) -> int | None:
         if reach.get(goal, -1) >= n:
             return edits
         far = reach
-    return None
+    return _bitwise(a, b, limit) if few < limit else None
+
+
+def _bitwise(a: list, b: list, limit: int) -> int | None:
+    """The edit distance by differences along the columns of the table, each a bit (Myers, Hyyro)."""
+    if len(a) > len(b):
+        a, b = b, a
+    n, m = len(a), len(b)
+    both, at = set(b), {}
+    for i, word in enumerate(a):
+        if word in both:
+            at[word] = at.get(word, 0) | 1 << i
+    every, last = (1 << n) - 1, n - 1
+    up, down, edits = every, 0, n
+    for j, word in enumerate(b):
+        same = at.get(word, 0)
+        level = same | down
+        across = (((same & up) + up) ^ up) | same
+        more, less = down | (every & ~(across | up)), up & across
+        edits += (more >> last & 1) - (less >> last & 1)
+        # Each word that is left takes one edit back at most.
+        if edits - (m - 1 - j) > limit:
+            return None
+        more = more << 1 | 1
+        up, down = (less << 1 & every) | (every & ~(level | more)), more & level
+    return edits
 
 
 def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
@@ -172,21 +229,36 @@ def similar(a: list, b: list, least: float = SIMILARITY) -> bool:
     return edit_distance(a, b, int(longest * (1 - least) + 1e-9)) is not None
 
 
-def _signs(texts: DataFrame) -> DataFrame:
-    """(``key``, ``signs``): the classes of the text's words as bits."""
+def _sized(texts: DataFrame) -> DataFrame:
+    """(``key``, ``text``, ``words``, ``signs``): with the number of words and the classes of words as bits."""
 
     def run(batches):
         for batch in batches:
             for part in row_slices(batch, 1, SLICE_BYTES):
-                signs = np.zeros((len(part), SIGNS), dtype=np.uint64)
-                for row, t in zip(signs, part.column(1).to_pylist(), strict=True):
-                    bits = np.unique(word_hashes(t.encode()) % np.uint64(64 * SIGNS))
-                    np.bitwise_or.at(row, (bits >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63)))
+                hashes, counts = hashed([t.encode() for t in part.column(1).to_pylist()])
+                held = np.zeros((len(part), 64 * SIGNS), dtype=bool)
+                held[np.repeat(np.arange(len(part)), counts), (hashes % np.uint64(64 * SIGNS)).astype(np.int64)] = True
+                signs = np.packbits(held, axis=1, bitorder="little").view("<i8").ravel()
+                signs = pa.ListArray.from_arrays(pa.array(np.arange(0, len(signs) + 1, SIGNS, dtype=np.int32)), pa.array(signs))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(list(signs.view(np.int64)), pa.list_(pa.int64()))], names=["key", "signs"]
+                    [part.column(0), part.column(1), pa.array(counts), signs], names=["key", "text", "words", "signs"]
                 )
 
-    return texts.select("key", "text").mapInArrow(run, "key bigint, signs array<bigint>")
+    return texts.select("key", "text").mapInArrow(run, "key bigint, text string, words bigint, signs array<bigint>")
+
+
+def _sifted(unique: DataFrame, table) -> DataFrame:
+    """(``key``, ``bucket``): the keys that both bits of a broadcast table are marked for, see :func:`phrases.bit_table`."""
+
+    def run(batches):
+        for batch in batches:
+            keys = batch.column(1)
+            flat = keys.flatten().to_numpy(zero_copy_only=False)
+            good = among(table.value, flat.view(np.uint64))
+            owner = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), pa.compute.list_value_length(keys).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([pa.array(owner[good]), pa.array(flat[good])], names=["key", "bucket"])
+
+    return unique.select("key", "keys").mapInArrow(run, "key bigint, bucket bigint")
 
 
 def _rare_words(texts: DataFrame) -> DataFrame:
@@ -199,8 +271,10 @@ def _rare_words(texts: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in row_slices(batch, 1, SLICE_BYTES):
-                words = [labelled(word_hashes(t.encode())).view(np.int64) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.list_(pa.int64()))], names=["key", "words"])
+                hashes, counts = hashed([t.encode() for t in part.column(1).to_pylist()])
+                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                words = pa.ListArray.from_arrays(ends, pa.array(labelled(hashes, counts).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), words], names=["key", "words"])
 
     held = materialised(texts.select("key", "text").mapInArrow(run, "key bigint, words array<bigint>"), "held")
     words = held.select("key", F.size("words").alias("n"), F.explode("words").alias("bucket"))
@@ -229,10 +303,19 @@ def _near(own: str, other: str):
     return (F.least("words", "lead_words") >= longer - edits) & (lacking(own, other) <= edits) & (lacking(other, own) <= edits)
 
 
+def _possible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) that may be linked by their lengths and classes of words; no text is read."""
+    first = texts.select(F.col("key").alias("a"), "words", "signs")
+    second = texts.select(F.col("key").alias("b"), F.col("words").alias("lead_words"), F.col("signs").alias("lead_signs"))
+    return pairs.join(first, "a").join(second, "b").where(_near("signs", "lead_signs")).select("a", "b")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose texts are similar."""
-    second = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    both = second.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
+    inside = broadcast_if_small(materialised(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "inside"), CANDIDATE_BYTES)
+    some = texts.select("key", "text").join(inside, "key", "left_semi")
+    second = pairs.join(some.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+    both = second.join(some.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
 
     def check(batches):
         for batch in batches:
@@ -257,7 +340,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null id counts as the smallest of all; rows that repeat an id are one class, of which one row is kept. An empty
     table gives no rows. Other columns are not read.
     """
-    ready(docs.sparkSession)
+    spark = docs.sparkSession
+    ready(spark)
     source = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("key"), whole_text(text_col).alias("text")
     )
@@ -269,37 +353,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for part in row_slices(batch, 1, SLICE_BYTES):
                 texts = [t.encode() for t in part.column(1).to_pylist()]
                 digests = [sha256(b" ".join(t.split())).digest() for t in texts]
-                words = [len(t.split()) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), pa.array(digests, pa.binary()), pa.array(words, pa.int64()),
-                        pa.array(sketches(texts), pa.list_(pa.int64())),
-                    ],
-                    names=["key", "digest", "words", "keys"],
+                    [part.column(0), pa.array(digests, pa.binary()), pa.array(sketches(texts), pa.list_(pa.int64()))],
+                    names=["key", "digest", "keys"],
                 )
 
-    found = materialised(source.mapInArrow(run, "key bigint, digest binary, words bigint, keys array<bigint>"), "sketches")
+    found = materialised(source.mapInArrow(run, "key bigint, digest binary, keys array<bigint>"), "sketches")
     firsts = found.groupBy("digest").agg(F.min("key").alias("copy"))
     member = materialised(found.select("key", "digest").join(firsts, "digest").select("key", "copy", "digest"), "copies")
 
     only = member.select(F.col("copy").alias("key"), "digest").distinct()
-    exploded = found.join(only, ["key", "digest"], "left_semi").select("key", "words", F.explode("keys").alias("bucket"))
-    shared = exploded.groupBy("bucket").agg(F.min("key").alias("lead"), F.max("key").alias("top")).where("lead != top")
-    buckets = materialised(exploded.join(shared.select("bucket", "lead"), "bucket"), "buckets")
-    candidates = broadcast_if_small(materialised(buckets.select("key").distinct(), "candidates"), CANDIDATE_BYTES)
-    texts = materialised(
-        source.join(candidates, "key", "left_semi").groupBy("key").agg(F.min("text").alias("text")), "texts"
-    )
-
+    unique = materialised(found.join(only, ["key", "digest"], "left_semi").select("key", "keys"), "unique")
     discard(found)
+    leads = unique.select("key", F.explode("keys").alias("bucket")).groupBy("bucket").agg(F.min("key").alias("lead"), F.max("key").alias("top"))
+    shared = materialised(leads.where("lead != top").select("bucket", "lead"), "shared")
+    # Most keys are those of one text. A table of fixed size leaves nearly all of them out of the shuffle to the others' leaders.
+    table = spark.sparkContext.broadcast(bit_table(shared.select(F.shiftrightunsigned("bucket", 64 - DIGITS).alias("h"))))
+    buckets = materialised(_sifted(unique, table).join(shared, "bucket"), "buckets")
+    table.destroy()
+    discard(unique)
+    discard(shared)
+    candidates = materialised(buckets.select("key").distinct(), "candidates")
+    own = source.join(broadcast_if_small(candidates, CANDIDATE_BYTES), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    texts = materialised(_sized(own), "texts")
     discard(candidates)
 
     # First each text against one leader, which connects most of them.
     pairs = buckets.where("key != lead").groupBy(F.col("key").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
-    tested = materialised(pairs, "pairs")
+    tested = materialised(_possible(pairs, texts), "pairs")
     links = materialised(_verified(tested, texts), "links")
     roots = materialised(components(links), "roots")
-    state = buckets.select("bucket", "key", "words", F.lit(False).alias("led"))
+    state = buckets.select("bucket", "key", F.lit(False).alias("led"))
     single, divided, leaders = SINGLE_ROUNDS, False, FIRST_TURN
     rows = buckets
     while True:
@@ -307,7 +391,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         discard(before)
         if rows.isEmpty():
             break
-        state = rows.select("bucket", "key", "words", "led", "size")
+        state = rows.select("bucket", "key", "led", "size")
         if single:
             # At first each text meets one text of one key's largest component: as many pairs as texts.
             single -= 1
@@ -316,12 +400,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .select(F.least("key", "low").alias("a"), F.greatest("key", "low").alias("b")).distinct()
                 .join(tested, ["a", "b"], "left_anti")
             )
+            pairs = _possible(pairs, texts)
         elif not divided:
-            signs = materialised(_signs(texts.join(rows.select("key").distinct(), "key", "left_semi")), "signs")
-            large = rows.where(F.col("size") > DIRECT).select("key", "words").distinct()
+            signs = materialised(texts.join(rows.select("key").distinct(), "key", "left_semi").select("key", "words", "signs"), "signs")
+            large = rows.where(F.col("size") > DIRECT).select("key").distinct()
             rare = _rare_words(texts.join(large, "key", "left_semi"))
-            state = state.where(F.col("size") <= DIRECT).select("bucket", "key", "words", "led").unionByName(
-                rare.join(large, "key").select("bucket", "key", "words", F.lit(False).alias("led"))
+            state = state.where(F.col("size") <= DIRECT).select("bucket", "key", "led").unionByName(
+                rare.select("bucket", "key", F.lit(False).alias("led"))
             )
             divided = True
             continue
@@ -329,10 +414,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             turn = Window.partitionBy("bucket").orderBy("key")
             leads = materialised(
                 rows.where("root != main AND NOT led").withColumn("n", F.row_number().over(turn)).where(F.col("n") <= leaders)
-                .select("bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root"), F.col("words").alias("lead_words")),
+                .select("bucket", F.col("key").alias("lead"), F.col("root").alias("lead_root")),
                 "leads",
             )
-            leading = leads.join(signs.select(F.col("key").alias("lead"), F.col("signs").alias("lead_signs")), "lead")
+            leading = leads.join(signs.select(F.col("key").alias("lead"), F.col("words").alias("lead_words"), F.col("signs").alias("lead_signs")), "lead")
             pairs = (
                 rows.join(signs, "key").join(leading, "bucket").where((F.col("root") != F.col("lead_root")) & _near("signs", "lead_signs"))
                 .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
@@ -377,7 +462,7 @@ def _open(state: DataFrame, roots: DataFrame) -> DataFrame:
     With ``root`` of the text, ``main`` and ``low``: root and smallest text of the key's largest component, and
     ``size``, the key's number of texts.
     """
-    known = state.select("bucket", "key", "words", "led").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    known = state.select("bucket", "key", "led").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     parts = known.groupBy("bucket", "root").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("led")).alias("waiting"), F.min("key").alias("low")
     )

@@ -161,8 +161,8 @@ def _sums(docs: DataFrame, tables) -> DataFrame:
     return docs.mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def _table(hashes: DataFrame) -> np.ndarray:
-    """A table of fixed size with the two bits of each hash; tasks make parts of it."""
+def bit_table(hashes: DataFrame) -> np.ndarray:
+    """A table of fixed size with the two bits of each hash ``h`` of ``DIGITS`` bits; tasks make parts of it."""
     assert 20 <= BITS < DIGITS
     both = F.array(F.shiftright(F.col("h"), DIGITS - BITS), F.col("h").bitwiseAND((1 << BITS) - 1))
     rows = hashes.select(F.explode(both).alias("bit")).select(
@@ -449,7 +449,7 @@ def phrase_counts(
     tables = []
     for _ in range(longest - 1):
         likely = _sums(rows, list(tables)).where(F.col("n") >= least)
-        tables.append(spark.sparkContext.broadcast(_table(likely)))  # 8 MB, whatever the input is
+        tables.append(spark.sparkContext.broadcast(bit_table(likely)))  # 8 MB, whatever the input is
     keys = materialised(_named(rows, tables), "keys")
     total = keys.agg(F.coalesce(F.sum(F.octet_length("key")), F.lit(0)).alias("b")).first().b
     shards = min(pieces_for(total, SHARD_BYTES * 3 // 4), 1 << 16)

@@ -59,6 +59,40 @@ def test_edit_distance():
         assert ordermin.edit_distance(a, b, limit) == (d if d <= limit else None)
 
 
+def test_edit_distance_of_many_edits():
+    rng = np.random.default_rng(3)
+    for n, edits in ((200, 40), (300, 5), (300, 100), (150, 150)):
+        a = rng.integers(0, 60, n).tolist()
+        b = a[:]
+        for _ in range(edits):
+            at = int(rng.integers(0, len(b)))
+            b[at : at + int(rng.integers(0, 2))] = [int(rng.integers(0, 80))]
+        d = plain_distance(a, b)
+        assert ordermin.edit_distance(a, b, d) == ordermin.edit_distance(b, a, d + 20) == d and ordermin.edit_distance(a, b, d - 1) is None
+
+
+def test_sketches_of_many_texts_are_those_of_each():
+    texts = [prose(i, n).encode() for i, n in enumerate([0, 3, 20, 33, 35, 41, 300, 2000, 34, 500])]
+    for text, keys in zip(texts, ordermin.sketches(texts), strict=True):
+        assert (ordermin.sketches([text])[0] == keys).all()
+
+
+def test_texts_of_impossible_pairs_are_not_read(spark, monkeypatch):
+    """Texts that share a run of words, but whose lengths or classes of words leave no link possible, are not compared."""
+    read, verified = [], ordermin._verified
+
+    def seen(pairs, texts):
+        read.extend((r.a, r.b) for r in pairs.collect())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(ordermin, "_verified", seen)
+    base = [f"b{i}" for i in range(20)]
+    rows = [base, base[:10] + [f"c{i}" for i in range(25)], base[:8] + [f"d{i}" for i in range(12)], base[:-1] + ["e"]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id bigint, text string")
+    got = {r.doc_id: r.class_id for r in ordermin.near_duplicates(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 0} and read == [(0, 3)]
+
+
 def test_sketch_keeps_order():
     x = ordermin.mixed(np.arange(1, 200, dtype=np.uint64))
     same, turned = ordermin.sketch(x), ordermin.sketch(x[::-1].copy())
