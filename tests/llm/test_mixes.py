@@ -106,6 +106,29 @@ def test_collocations_in_many_shards_and_slices(spark, monkeypatch, small_tables
     assert got == want
 
 
+def test_hash_sums_are_packed(spark):
+    """Sums of hashes over several parts, counts of over 255 too, and no row per hash in the shuffle."""
+    rng = np.random.default_rng(5)
+    want, parts = Counter(), {}
+    for _ in range(3):
+        some = rng.integers(0, 1 << phrases.DIGITS, 3000, dtype=np.uint64)
+        some = np.concatenate([some, some[:20].repeat(700), some[:1].repeat(255), rng.integers(0, 900, 2000).astype(np.uint64), [0, (1 << phrases.DIGITS) - 1]])
+        want.update(some.astype(np.uint64).tolist())
+        batch = phrases.packed(*np.unique(some.astype(np.uint64), return_counts=True))
+        for group, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            parts.setdefault(group, []).append(data)
+    got = {}
+    for group, data in parts.items():
+        found, times = phrases.unpacked(group, data)
+        got |= dict(zip(found.tolist(), times.tolist(), strict=True))
+    assert got == want
+    rows = [("en", "one two " * 9 + "three"), ("en", "One two, four"), ("en", "one two"), (None, "one two " * 4)]
+    docs = spark.createDataFrame(rows, "lang string, text string").fillna("und")
+    assert [phrases._frequent(docs, [], n).count() for n in (1, 4, 8, 11, 12)] == [5, 3, 2, 1, 0]
+    plan = phrases._frequent(docs, [], 1)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("Exchange") == 1
+
+
 def test_scores_are_exact_beyond_64_bits(spark, monkeypatch):
     big = 3_000_000_019
     counts = spark.createDataFrame([("x", "p q", big), ("x", "p", big + 2), ("x", "q", big + 7)], "lang string, phrase string, n bigint")
