@@ -21,10 +21,16 @@ from rillgauge.session import scratch_path
 from rillgauge.sources import scans, sinks
 
 
+CSV_RECORDS = 1_000_000  # of a source file; a compressed one is read by one task
+
+
 def _as_csv(df, columns, path):
-    """Write the frame in a source file's full column order, absent columns blank."""
+    """Write the frame in a source file's full column order, absent columns blank; compressed, as most fields are."""
     have = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
-    df.select(*have).write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    (
+        df.select(*have).write.option("header", True).option("quoteAll", True).option("escape", '"')
+        .option("compression", "gzip").option("maxRecordsPerFile", CSV_RECORDS).csv(path)
+    )
 
 
 def dmr_round_trip(spark, sf_dir):

@@ -22,6 +22,7 @@ def balanced(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 FILE_BYTES = 512 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _FILE_SIZE = Lock()  # the size of files is a setting of the session: one write at a time
 
 
@@ -32,16 +33,20 @@ def write_partitioned(
 
     Sorting inside each file by the columns queries filter on lets Parquet skip
     row groups. ``file_bytes`` of shuffled rows make a file, so that a large table does not become
-    very many small ones; a folder with fewer is one file.
+    very many small ones; a folder with fewer is one file. The shuffled rows leave the disk when the write ends, not when
+    the driver next collects its garbage.
     """
-    conf, name = df.sparkSession.conf, "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    conf = df.sparkSession.conf
+    during = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes), CLEANUP: "true"}
     with _FILE_SIZE:
-        before = conf.get(name)
-        conf.set(name, str(file_bytes))
+        before = {name: conf.get(name, None) for name in during}
+        for name, value in during.items():
+            conf.set(name, value)
         try:
             _write_partitioned(df, path, keys, sort)
         finally:
-            conf.set(name, before)
+            for name, value in before.items():
+                conf.unset(name) if value is None else conf.set(name, value)
 
 
 def _write_partitioned(df: DataFrame, path: str, keys: list[str], sort: list[str] | None) -> None:

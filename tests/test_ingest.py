@@ -1,5 +1,7 @@
 import csv
+import os
 import random
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -389,3 +391,49 @@ def test_shared_folder_is_required(spark):
     session.release(spark)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+def shuffled_bytes(spark):
+    folders = [d.getPath() for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    return sum(os.path.getsize(os.path.join(d, f)) for top in folders for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_"))
+
+
+def test_partitioned_write_leaves_no_shuffle_files(spark, tmp_path):
+    """The shuffled rows of a write go when it ends; the settings are as before."""
+    before = {n: spark.conf.get(n, None) for n in (sinks.CLEANUP, "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    held = shuffled_bytes(spark)
+    sinks.write_partitioned(spark.range(200_000).selectExpr("id % 5 AS k", "uuid() AS v"), str(tmp_path / "t"), ["k"], ["v"])
+    for _ in range(50):
+        if shuffled_bytes(spark) <= held:
+            break
+        time.sleep(0.1)
+    assert shuffled_bytes(spark) <= held
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200_000
+    assert before == {n: spark.conf.get(n, None) for n in before}
+
+
+def test_compressed_sources(spark, tmp_path):
+    """A label's folder of compressed part files, one with a line break in a field, gives the rows of plain ones."""
+    names = S.DMR_COLUMNS
+    data = [tuple(f"{c} {i}" + ("\nmore" if i == 3 and c == names[-1] else "") for c in names) for i in range(40)]
+    rows = spark.createDataFrame(data, S.text_schema(S.DMR_COLUMNS)).repartition(3)
+    got = []
+    for codec in ("none", "gzip"):
+        folder = str(tmp_path / codec)
+        rows.write.options(header=True, quoteAll=True, escape='"', compression=codec, maxRecordsPerFile=7).csv(scans.source_path(folder, "2024"))
+        assert scans.present_labels(spark, folder, ["2024"]) == ["2024"]
+        found = scans.scan_dmr(spark, folder, ["2024"], checked=True).drop("source_pos").collect()
+        assert all(r.malformed is None and r.label == "2024" for r in found)
+        got.append(sorted(tuple(r[n] for n in names) for r in found))
+    assert got[0] == got[1] == sorted(data)
+
+
+def test_built_sources_take_little_disk(spark, tmp_path):
+    """Sources that are mostly blank fields are stored compressed."""
+    from analogues import stored
+
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("EXTERNAL_PERMIT_NMBR"))
+    path = scans.source_path(str(tmp_path), "2024")
+    stored._as_csv(rows, S.DMR_COLUMNS, path)
+    assert sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path)) < 20_000 * 20
+    assert scans.scan_dmr(spark, str(tmp_path), ["2024"]).select("EXTERNAL_PERMIT_NMBR").distinct().count() == 20_000
