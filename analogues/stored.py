@@ -21,7 +21,7 @@ from rillgauge.session import scratch_path
 from rillgauge.sources import scans, sinks
 
 
-CSV_RECORDS = 1_000_000  # of a source file; a compressed one is read by one task
+CSV_RECORDS = 100_000  # of a source file; a compressed one is read by one task
 
 
 def _as_csv(df, columns, path):
